@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metrolith.llm import ngram_llr, substring_dedup, vp_simhash, zstd_quality
+from metrolith.llm import common, ngram_llr, substring_dedup, token_files, vp_simhash, zstd_quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = common.scratch(spark, "token-files")
+    token_files.write_tokens(spark, _table(spark, sf_dir, "documents"), path)
+    return token_files.read_documents(spark, path)
+
+
 def op3_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.remove_repeats(spark, _table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -33,7 +39,7 @@ def op10_ngram_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_recompression_dedup, op7_simhash_vp_tree, op9_compression_quality, op10_ngram_quality_rules)}
+    return {f.__name__: f for f in (op2_rans_token_files, op3_recompression_dedup, op7_simhash_vp_tree, op9_compression_quality, op10_ngram_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
