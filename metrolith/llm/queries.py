@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metrolith.llm import common, ngram_llr, substring_dedup, token_files, vp_simhash, zstd_quality
+from metrolith.llm import common, ngram_llr, sentencepiece_scan, substring_dedup, token_files, vp_simhash, zstd_quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and the SHA-256 of what they decode to."""
+    encoded = sentencepiece_scan.encode(spark, _table(spark, sf_dir, "documents"))
+    encoded = encoded.withColumn("kept_ids", F.col("ids"))
+    decoded = sentencepiece_scan.decode(spark, encoded)
+    return decoded.select("doc_id", F.size("kept_ids").alias("n_tokens"), F.col("kept_ids").alias("ids"), "n_chunks", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op2_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.scratch(spark, "token-files")
     token_files.write_tokens(spark, _table(spark, sf_dir, "documents"), path)
@@ -39,7 +47,7 @@ def op10_ngram_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_rans_token_files, op3_recompression_dedup, op7_simhash_vp_tree, op9_compression_quality, op10_ngram_quality_rules)}
+    return {f.__name__: f for f in (op1_sentencepiece_scan, op2_rans_token_files, op3_recompression_dedup, op7_simhash_vp_tree, op9_compression_quality, op10_ngram_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -66,29 +66,37 @@ def model(name: str = MODEL) -> WordTokens:
     return _MODELS[name]
 
 
-def distinct(w: common.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Each word's number among the distinct words, and where each of these is first.
+def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each span's number among the distinct spans, and where each of these is first.
 
-    Words are told apart by hash; length and both ends are compared as well.
+    Spans are told apart by hash; length and both ends are compared as well.
     """
-    code, _ = pd.factorize(w.hashes)
+    code, _ = pd.factorize(hashes)
     first = np.empty(code.max() + 1 if len(code) else 0, np.int64)
     first[code[::-1]] = np.arange(len(code))[::-1]
-    width = w.ends - w.starts
+    width = ends - starts
     same = width == width[first][code]
-    for edge in (w.starts, w.ends - 1):
-        same &= w.data[edge] == w.data[edge[first]][code]
+    for edge in (starts, ends - 1):
+        same &= data[edge] == data[edge[first]][code]
     if not same.all():
-        raise ValueError("two words have one hash")
+        raise ValueError("two spans have one hash")
     return code, first
 
 
+def gather(flat: np.ndarray, size: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` (run k has size[k] entries) that ``code`` asks for, in a row, and their sizes."""
+    start = (np.cumsum(size) - size)[code]
+    asked = size[code]
+    at = np.cumsum(asked) - asked
+    return flat[np.repeat(start - at, asked) + np.arange(int(asked.sum()))], asked
+
+
 class Tokens:
     """The ids of a column of texts: ``ids`` of all texts in a row, and n+1 offsets."""
 
     def __init__(self, column: pa.Array, name: str = MODEL, end_id: int | None = END_ID):
         w = common.scan_words(column)
-        code, first = distinct(w)
+        code, first = distinct(w.data, w.starts, w.ends, w.hashes)
         packed = model(name).ids([w.word(i) for i in first.tolist()])
         flat = np.frombuffer(b"".join(packed), _KIND)
         size = np.array([len(p) // _KIND().itemsize for p in packed], np.int64)
@@ -107,14 +115,10 @@ class Tokens:
         return out
 
     def ids(self) -> np.ndarray:
-        size = self._size[self._code]
-        start = (np.cumsum(self._size) - self._size)[self._code]
-        total = int(size.sum())
-        at = np.cumsum(size) - size
-        out = np.empty(int(self.offsets[-1]), _KIND)
-        value = self._flat[np.repeat(start - at, size) + np.arange(total)]
+        value, size = gather(self._flat, self._size, self._code)
         if self._end is None:
             return value
+        out = np.empty(int(self.offsets[-1]), _KIND)
         out[self.offsets[1:] - 1] = self._end
-        out[np.arange(total) + np.repeat(self.text_of_word, size)] = value
+        out[np.arange(len(value)) + np.repeat(self.text_of_word, size)] = value
         return out
