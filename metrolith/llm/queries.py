@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metrolith.llm import common, ngram_llr, sentencepiece_scan, substring_dedup, token_files, vp_simhash, zstd_quality
+from metrolith.llm import common, line_winnow, ngram_llr, packing, sentencepiece_scan, substring_dedup, token_files, url_rules, vp_simhash, zstd_quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,10 +33,24 @@ def op3_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_fpgrowth_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.checkpoint_root(spark)
+    return url_rules.filter_urls(spark, _table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit(spark, packing.token_lengths(spark, _table(spark, sf_dir, "documents")))
+
+
 def op7_simhash_vp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vp_simhash.near_duplicates(spark, _table(spark, sf_dir, "documents"))
 
 
+def op8_winnowing_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_winnow.remove_repeated_lines(spark, _table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op9_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zstd_quality.quality_scores(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -47,8 +61,8 @@ def op10_ngram_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece_scan, op2_rans_token_files, op3_recompression_dedup, op7_simhash_vp_tree, op9_compression_quality, op10_ngram_quality_rules)}
+    return {f.__name__: f for f in (op1_sentencepiece_scan, op2_rans_token_files, op3_recompression_dedup, op5_fpgrowth_url_filter, op6_best_fit_packing, op7_simhash_vp_tree, op8_winnowing_line_dedup, op9_compression_quality, op10_ngram_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_winnowing_line_dedup": line_winnow.oracle_sql()}
