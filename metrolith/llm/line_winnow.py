@@ -87,21 +87,21 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, *, run: int = RU
 
 def oracle_sql(table: str = "documents", run: int = RUN) -> str:
     """The same by plain SQL: every window by its lines themselves."""
-    parts = ", ".join(f"lead(line, {k}) over (partition by doc_id order by at) as l{k}" for k in range(1, run))
+    parts = ", ".join(f"lead(line, {k}) over (partition by doc_id order by pos) as l{k}" for k in range(1, run))
     names = ", ".join(["line", *(f"l{k}" for k in range(1, run))])
     return f"""
 with lines as (
-  select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as at from {table}
-), windows as (
-  select doc_id, at, {names}, count(*) over (partition by doc_id) - at >= {run} as whole from (select *, {parts} from lines)
+  select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as pos from {table}
+), led as (
+  select doc_id, pos, line, {parts}, count(*) over (partition by doc_id) as total from lines
 ), ranked as (
-  select doc_id, at, row_number() over (partition by {names} order by doc_id, at) as place from windows where whole
+  select doc_id, pos, row_number() over (partition by {names} order by doc_id, pos) as place from led where total - pos >= {run}
 ), gone as (
-  select distinct doc_id, at + k as at from ranked, range({run}) t(k) where place > 1
+  select distinct doc_id, pos + k as pos from ranked, range({run}) t(k) where place > 1
 ), joined as (
-  select l.doc_id, l.line, l.at, g.at is not null as removed from lines l left join gone g on l.doc_id = g.doc_id and l.at = g.at
+  select l.doc_id, l.line, l.pos, g.pos is not null as removed from lines l left join gone g on l.doc_id = g.doc_id and l.pos = g.pos
 )
-select doc_id, coalesce(string_agg(line, chr(10) order by at) filter (not removed), '') as text,
+select doc_id, coalesce(string_agg(line, chr(10) order by pos) filter (where not removed), '') as text,
   count(*) as n_lines, sum(removed::int)::bigint as n_removed
 from joined group by doc_id
 """

@@ -163,3 +163,20 @@ def quality_rules(
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], *(pa.array(found[n]) for n in names[1:])], names)
 
     return common.id_and_bytes(docs).mapInArrow(score, SCHEMA)
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, trusted: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is kept by ``quality_rules``."""
+    common.prepare(spark)
+    threshold = options.pop("threshold", THRESHOLD)
+    table = ratio_table(*count_grams(docs, trusted, **options))
+    place = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in common.slices(batch.column(place)):
+                part = batch.slice(a, b - a)
+                texts = part.column(place).cast(pa.binary())
+                yield part.filter(pa.array(score_texts(texts, table, threshold)["kept"]))
+
+    return docs.mapInArrow(keep, docs.schema)

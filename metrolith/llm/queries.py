@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metrolith.llm import common, line_winnow, ngram_llr, packing, sentencepiece_scan, substring_dedup, token_files, url_rules, vp_simhash, zstd_quality
+from metrolith.llm import common, line_winnow, multi_index, ngram_llr, packing, sentencepiece_scan, substring_dedup, token_files, url_rules, vp_simhash, zstd_quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op3_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(spark, _table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_fpgrowth_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     common.checkpoint_root(spark)
     return url_rules.filter_urls(spark, _table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
@@ -61,7 +65,7 @@ def op10_ngram_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece_scan, op2_rans_token_files, op3_recompression_dedup, op5_fpgrowth_url_filter, op6_best_fit_packing, op7_simhash_vp_tree, op8_winnowing_line_dedup, op9_compression_quality, op10_ngram_quality_rules)}
+    return {f.__name__: f for f in (op1_sentencepiece_scan, op2_rans_token_files, op3_recompression_dedup, op4_multi_index_hashing, op5_fpgrowth_url_filter, op6_best_fit_packing, op7_simhash_vp_tree, op8_winnowing_line_dedup, op9_compression_quality, op10_ngram_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -62,6 +62,6 @@ def fingerprints(column: pa.Array, plan: tuple[tuple[int, int], ...] = ((3, 1),)
             h, t = head[a : a + 1_000_000], tail[a : a + 1_000_000]
             hashes[a : a + len(h)] = xxh64_spans(buffer, at[h], at[t] + width[t] - at[h], seed)
         for k in range(n):
-            out[some, place] = majority(common.mix(hashes + np.uint64(k) * np.uint64(0x9E3779B97F4A7C15)) if k else hashes, begin, count)
+            out[some, place] = majority(common.mix(hashes + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)) if k else hashes, begin, count)
             place += 1
     return out

@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -188,8 +189,11 @@ def kept_texts(words: common.Words, keep: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), n_texts, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())]).cast(pa.string())
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, *, width: int = WIDTH, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_text, and the carried columns, for each row of ``docs``."""
+def remove_repeats(spark: SparkSession, docs: DataFrame, *, width: int = WIDTH, carry: tuple[str, ...] = (), keep_layout: bool = False) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_text, and the carried columns, for each row of ``docs``.
+
+    With ``keep_layout`` a text that loses no word stays as it is, white space included.
+    """
     common.prepare(spark)
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     batches = max(1, math.ceil(size / BATCH_BYTES))
@@ -242,7 +246,11 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, *, width: int = WIDTH,
         removed = np.cumsum(edge)[: len(batch.words.hashes)] > 0
         total = np.concatenate(([0], np.cumsum(removed)))
         off = batch.words.offsets
-        columns = [table.column("doc_id"), pa.array(np.diff(off)), pa.array(total[off[1:]] - total[off[:-1]]), kept_texts(batch.words, ~removed)]
+        n_removed = total[off[1:]] - total[off[:-1]]
+        texts = kept_texts(batch.words, ~removed)
+        if keep_layout:
+            texts = pc.if_else(pa.array(n_removed == 0), table.column("text").cast(pa.string()), texts)
+        columns = [table.column("doc_id"), pa.array(np.diff(off)), pa.array(n_removed), texts]
         return pa.table([*columns, *(table.column(f"carried_{i}") for i in range(len(carry)))], names=names)
 
     first = dealt.groupBy("batch").applyInArrow(ask, _PARCEL_SQL).groupBy("dest").applyInArrow(answer_classes, _PARCEL_SQL)
