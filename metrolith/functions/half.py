@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LARGEST = 65_504.0
 
@@ -27,12 +28,12 @@ def raise_to(bits: np.ndarray, least: np.ndarray) -> np.ndarray:
     return bits
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def to_half(value: pd.Series) -> pd.Series:
     out = pd.Series(half_bits(value.fillna(0.0).to_numpy())).astype("Int32")
     return out.mask(value.isna().to_numpy())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def from_half(bits: pd.Series) -> pd.Series:
     return pd.Series(half_value(bits.fillna(0).to_numpy(np.int64))).mask(bits.isna().to_numpy())

@@ -83,12 +83,12 @@ def stations(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer")
     key = F.col("c_custkey")
     return c.select(
-        key.alias("ord"), (key % 997).cast("string").alias("station_id"), F.when(key % 11 == 0, "").otherwise(F.concat((key % 500).cast("string"), F.lit("."), (key % 90).cast("string"))).alias("short_name"),
+        key.alias("ord"), (key % 997).cast("string").alias("station_id"), F.when(key % 11 == 0, "").otherwise(F.concat((key % 50).cast("string"), F.lit("."), (key % 91).cast("string"))).alias("short_name"),
         F.when(key % 7 != 0, (F.col("c_nationkey") + 170).cast("string")).alias("region"), (key % 5 - 1).cast("int").alias("capacity"),
         (40_700_000 + key * 7_919 % 60_000).cast("int").alias("lat_e6"), (-74_000_000 + key * 104_729 % 60_000).cast("int").alias("lon_e6"),
     )
 
 
-STATIONS = """stations as (select c_custkey as ord, cast(c_custkey % 997 as varchar) as station_id, case when c_custkey % 11 = 0 then '' else concat(c_custkey % 500, '.', c_custkey % 90) end as short_name,
+STATIONS = """stations as (select c_custkey as ord, cast(c_custkey % 997 as varchar) as station_id, case when c_custkey % 11 = 0 then '' else concat(c_custkey % 50, '.', c_custkey % 91) end as short_name,
   case when c_custkey % 7 <> 0 then cast(c_nationkey + 170 as varchar) end as region, cast(c_custkey % 5 - 1 as integer) as capacity,
   cast(40700000 + c_custkey * 7919 % 60000 as integer) as lat_e6, cast(-74000000 + c_custkey * 104729 % 60000 as integer) as lon_e6 from customer)"""

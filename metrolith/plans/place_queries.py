@@ -162,13 +162,13 @@ def f35_p8_street_rules(spark, sf):
 
 # links
 
-_TRANSFERS = """tr as (select l_suppkey % 40 as from_stop, l_partkey % 40 as to_stop, cast(l_linenumber % 4 as integer) as kind, case when l_partkey % 2 = 0 then l_partkey % 400 end as seconds, cast(l_suppkey * 3 as bigint) as walk, l_orderkey % 10 = 0 as trip_specific from lineitem where l_orderkey % 30 = 0),
+_TRANSFERS = """tr as (select l_suppkey % 40 as from_stop, l_partkey % 40 as to_stop, cast(l_linenumber % 4 as integer) as kind, case when l_partkey % 2 = 0 then l_partkey % 400 end as seconds, cast(l_suppkey * 3 as bigint) as walk, l_orderkey % 20 = 0 as trip_specific from lineitem where l_orderkey % 30 = 0),
 pf as (select s_suppkey % 40 as station, 1000 + s_suppkey as platform from supplier)"""
 
 
 def _transfers(spark, sf):
     line = table(spark, sf, "lineitem").where("l_orderkey % 30 = 0")
-    rows = line.select((F.col("l_suppkey") % 40).alias("from_stop"), (F.col("l_partkey") % 40).alias("to_stop"), (F.col("l_linenumber") % 4).alias("kind"), F.when(F.col("l_partkey") % 2 == 0, F.col("l_partkey") % 400).alias("seconds"), (F.col("l_suppkey") * 3).alias("walk"), (F.col("l_orderkey") % 10 == 0).alias("trip_specific"))
+    rows = line.select((F.col("l_suppkey") % 40).alias("from_stop"), (F.col("l_partkey") % 40).alias("to_stop"), (F.col("l_linenumber") % 4).alias("kind"), F.when(F.col("l_partkey") % 2 == 0, F.col("l_partkey") % 400).alias("seconds"), (F.col("l_suppkey") * 3).alias("walk"), (F.col("l_orderkey") % 20 == 0).alias("trip_specific"))
     platforms = table(spark, sf, "supplier").select((F.col("s_suppkey") % 40).alias("station"), (F.col("s_suppkey") + 1000).alias("platform"))
     return rows, platforms
 
@@ -298,7 +298,7 @@ def _sparse(spark, sf):
     return line.select((F.col("l_orderkey") % 3000).alias("src"), ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 3000).alias("dst")).distinct()
 
 
-@query(f"""with recursive {_SPARSE}, both as (select src, dst from sp union select dst, src from sp), reach as (select src as node, src as at from both union select r.node, b.dst from reach r join both b on b.src = r.at) select node, least(min(at), node) as root from reach group by node""".replace("as at from", 'as "at" from').replace("r.at)", 'r."at")').replace("min(at)", 'min("at")'))
+@query(f"""with recursive {_SPARSE}, pairs as (select src, dst from sp union select dst, src from sp), reach as (select src as node, src as seen from pairs union select r.node, b.dst from reach r join pairs b on b.src = r.seen) select node, least(min(seen), node) as root from reach group by node""")
 def g9_components(spark, sf):
     return graph.components(spark, _sparse(spark, sf))
 

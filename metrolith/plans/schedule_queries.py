@@ -146,10 +146,10 @@ def p4_trip_drop_reasons(spark, sf):
     return timetable.trip_drop_reason(a.events_of_trips(spark, sf).withColumn("stop", F.col("stop")))
 
 
-@query(f"with {a.EVENTS_OF_TRIPS} select cast(stop % 60 as bigint) * 100000 + pos * 1000 + stop as stop from calls group by 1 having bool_and(pickup = 1 and drop_off = 1)")
+@query(f"with {a.EVENTS_OF_TRIPS} select l_partkey % 300 as stop from (select l_partkey, cast(l_partkey % 3 = 0 as integer) as pickup, cast(l_partkey % 3 = 0 as integer) as drop_off from lines) group by 1 having bool_and(pickup = 1 and drop_off = 1)")
 def p3_pass_through_stops(spark, sf):
-    events = a.events_of_trips(spark, sf)
-    return timetable.pass_through_stops(events.withColumn("stop", F.col("stop") % 60 * 100000 + F.col("pos") * 1000 + F.col("stop")))
+    none = (F.col("l_partkey") % 3 == 0).cast("int")
+    return timetable.pass_through_stops(a.lines(spark, sf).select((F.col("l_partkey") % 300).alias("stop"), none.alias("pickup"), none.alias("drop_off")))
 
 
 @query("""with c as (select distinct cast(l_suppkey as bigint) as stop from lineitem where l_orderkey % 50 = 0), p as (select s_suppkey as stop, case when s_suppkey > 3 then s_suppkey // 3 end as parent from supplier),
@@ -317,12 +317,12 @@ def a15_overtaking(spark, sf):
     return pairs.select("trip", timetable.overtaking(F.col("times"), F.col("later")).alias("overtaken"))
 
 
-@query(f"""with {a.LINES}, p as (select l_orderkey as pattern, l_orderkey % 30 as route, list(l_suppkey % 4 order by l_linenumber) as stops, l_orderkey % 3 = 0 as has_shape from lines where l_orderkey < 600 group by 1), f as (select a.pattern, b.pattern as lender, len(b.stops) as n from p a join p b on a.route = b.route and b.has_shape where not a.has_shape
+@query(f"""with {a.LINES}, p as (select l_orderkey as pattern, l_orderkey % 30 as route, list(l_suppkey % 2 order by l_linenumber) as stops, l_orderkey % 4 = 0 as has_shape from lines where l_orderkey < 600 group by 1), f as (select a.pattern, b.pattern as lender, len(b.stops) as n from p a join p b on a.route = b.route and b.has_shape where not a.has_shape
   and list_reduce(list_prepend(0::bigint, b.stops), lambda k, x: case when k < len(a.stops) and a.stops[k + 1] = x then k + 1 else k end) = len(a.stops)) select pattern, lender from f qualify row_number() over (partition by pattern order by n, lender) = 1""")
 def w8_borrowed_shapes(spark, sf):
     line = a.lines(spark, sf).where("l_orderkey < 600")
     p = line.groupBy(F.col("l_orderkey").alias("pattern")).agg(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", (F.col("l_suppkey") % 4).alias("s")))), lambda x: x["s"]).alias("stops"))
-    return timetable.borrowed_shapes(p.select("pattern", (F.col("pattern") % 30).alias("route"), "stops", (F.col("pattern") % 3 == 0).alias("has_shape")))
+    return timetable.borrowed_shapes(p.select("pattern", (F.col("pattern") % 30).alias("route"), "stops", (F.col("pattern") % 4 == 0).alias("has_shape")))
 
 
 @query("""with l as (select l_orderkey as trip, l_linenumber as pos, lpad(cast(l_partkey % 48 as varchar), case when l_suppkey % 2 = 0 then 1 else 2 end, '0') as h, l_partkey as k from lineitem),
