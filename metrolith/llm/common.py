@@ -71,6 +71,7 @@ def binary_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _TABLE = _RANDOM.integers(0, 2**64, 64 * 256, np.uint64)
+_SECOND_TABLE = _RANDOM.integers(0, 2**64, 64 * 256, np.uint64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IS_WORD = np.ones(256, bool)
@@ -79,8 +80,9 @@ _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 _WORDS_AT_ONCE = 300_000
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Tabulation hash of data[start:end] for disjoint ascending spans, none empty."""
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, second: bool = False) -> np.ndarray:
+    """Tabulation hash of data[start:end], none empty; ``second`` asks for another, independent one."""
+    table = _SECOND_TABLE if second else _TABLE
     out = np.empty(len(starts), np.uint64)
     for a in range(0, len(starts), _WORDS_AT_ONCE):
         s, e = starts[a : a + _WORDS_AT_ONCE], ends[a : a + _WORDS_AT_ONCE]
@@ -88,7 +90,7 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         first = np.cumsum(width) - width
         place = np.arange(first[-1] + width[-1]) - np.repeat(first, width)
         piece = data[np.repeat(s, width) + place]
-        value = _TABLE[((place & 63) << 8) | piece]
+        value = table[((place & 63) << 8) | piece]
         if width.max() > 64:
             far = np.flatnonzero(place >= 64)
             value[far] = mix(value[far] + (place[far] >> 6).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))

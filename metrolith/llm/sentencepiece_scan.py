@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metrolith.llm import common, pieces, tokens
+from metrolith.llm.memory import SpanMemory, distinct, gather
 
 MODEL = "piece_bpe_32k.model"
 GIANT = 65_536
 CHUNK = 16_384
-CACHE_UNITS = 500_000
 _MARK_BYTES = pieces.MARK.encode()
 
 
@@ -39,7 +39,7 @@ class Encoder:
 
     def __init__(self, name: str):
         self.model = pieces.Model(tokens.model_path(name))
-        self.seen: dict[bytes, bytes] = {}
+        self.memory = SpanMemory(self.units, np.int32)
         raw = [b"" if p in ("<s>", "</s>") else p.replace(pieces.MARK, " ").encode() for p in self.model.pieces]
         for b, i in self.model.byte_id.items():
             raw[i] = bytes([b])
@@ -47,21 +47,10 @@ class Encoder:
         self.piece_size = np.array([len(r) for r in raw], np.int64)
         self.piece_bytes = np.frombuffer(b"".join(raw), np.uint8)
 
-    def unit(self, text: str) -> bytes:
-        return np.array(self.model.ids(self.model.unit(text)), np.int32).tobytes()
-
-    def units(self, raw: list[bytes], heads: list[bool]) -> list[bytes]:
-        """Ids of units; a head is the first of its text and gets the dummy prefix."""
-        if len(self.seen) > CACHE_UNITS:
-            self.seen.clear()
-        out = []
-        for u, head in zip(raw, heads):
-            u = b" " + u if head and self.model.prefix else u
-            known = self.seen.get(u)
-            if known is None:
-                known = self.seen[u] = self.unit(u.decode().replace(" ", pieces.MARK))
-            out.append(known)
-        return out
+    def units(self, raw: list[bytes]) -> list[np.ndarray]:
+        """Ids of units, given with the dummy prefix where they have one."""
+        ids, unit = self.model.ids, self.model.unit
+        return [np.array(ids(unit(u.decode().replace(" ", pieces.MARK))), np.int32) for u in raw]
 
     def column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and n+1 offsets."""
@@ -72,17 +61,22 @@ class Encoder:
             begin, end, owner = _units(w, None)
         head = np.ones(len(owner), bool)
         head[1:] = owner[1:] != owner[:-1]
-        hashes = common.hash_spans(w.data, begin, end) ^ np.where(head, np.uint64(0x9E3779B97F4A7C15), np.uint64(0))
-        code, first = tokens.distinct(w.data, begin, end, hashes)
-        packed = self.units([w.data[b:e].tobytes() for b, e in zip(begin[first].tolist(), end[first].tolist())], head[first].tolist())
-        size = np.array([len(p) // 4 for p in packed], np.int64)
-        ids, asked = tokens.gather(np.frombuffer(b"".join(packed), np.int32), size, code)
+        heads = np.where(head, np.uint64(0x9E3779B97F4A7C15), np.uint64(0))
+        hashes = common.hash_spans(w.data, begin, end) ^ heads
+        code, first = distinct(w.data, begin, end, hashes)
+        second = common.hash_spans(w.data, begin[first], end[first], second=True) ^ heads[first]
+        prefix = b" " if self.model.prefix else b""
+        span = lambda i: prefix * bool(head[first[i]]) + w.data[begin[first[i]] : end[first[i]]].tobytes()
+        pool, start, size = self.memory.find(hashes[first], second, span)
+        asked = size[code]
+        ids = gather(pool, start[code], asked)
         each = np.bincount(owner, weights=asked, minlength=len(w.offsets) - 1).astype(np.int64)
         return ids, np.concatenate(([0], np.cumsum(each)))
 
     def decoded(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
         """Texts of id runs, as large_binary."""
-        data, size = tokens.gather(self.piece_bytes, self.piece_size, ids)
+        size = self.piece_size[ids]
+        data = gather(self.piece_bytes, (np.cumsum(self.piece_size) - self.piece_size)[ids], size)
         total = np.concatenate(([0], np.cumsum(size)))[offsets]
         if self.model.prefix:  # each text's first byte is the dummy prefix's space
             filled = np.flatnonzero(np.diff(total))

@@ -12,7 +12,7 @@ Blocks hold a fixed number of ids, whatever documents these belong to, so a very
 many blocks.  Any block can be decoded without the others.
 
 Defined results: a null or empty text is the end id alone.  Rows that repeat a doc_id are documents of their
-own, in the order of their texts.  Columns other than doc_id and text are not read.  An empty table gives an empty file set.
+own, in the order of their ids.  Columns other than doc_id and text are not read.  An empty table gives an empty file set.
 """
 
 from __future__ import annotations
@@ -37,20 +37,41 @@ _BLOCKS = "shard int, block int, first long, n_tokens int, payload binary, piece
 _PIECE = np.dtype([("row", "<i8"), ("doc_id", "<i8"), ("null", "<i8"), ("part", "<i8"), ("n", "<i8"), ("start", "<i8")])
 
 
-def count_ids(docs: DataFrame, model: str, end_id: int | None) -> np.ndarray:
+def stash_ids(spark: SparkSession, docs: DataFrame, path: str, model: str, end_id: int | None) -> DataFrame:
+    """doc_id and ids (binary) of every text, written in the shared folder: each text is tokenized once."""
+    kind = np.uint16 if tokens.model(model).size <= 1 << 16 else np.uint32
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in common.slices(batch.column(1)):
+                found = tokens.Tokens(batch.column(1)[a:b], model, end_id)
+                offsets = found.offsets.astype(np.int64) * kind().itemsize
+                held = pa.Array.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(found.ids().astype(kind).tobytes())])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], held.cast(pa.binary())], ["doc_id", "ids"])
+
+    rows = common.id_and_bytes(docs).mapInArrow(run, "doc_id long, ids binary")
+    rows.write.option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _of_stash(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    data, at = common.binary_parts(column)
+    return data.view(kind) if len(data) else np.empty(0, kind), at // kind().itemsize
+
+
+def count_ids(stash: DataFrame, size: int) -> np.ndarray:
     """How often each id occurs in all documents: one number for each entry of the vocabulary."""
-    size = tokens.model(model).size
+    kind = np.uint16 if size <= 1 << 16 else np.uint32
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for a, b in common.slices(batch.column(0)):
-                total += tokens.Tokens(batch.column(0)[a:b], model, end_id).counts(size)
+            total += np.bincount(_of_stash(batch.column(0), kind)[0], minlength=size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["symbol", "n"])
 
     out = np.zeros(size, np.int64)
-    part = common.id_and_bytes(docs).select("text").mapInArrow(count, "symbol long, n long")
+    part = stash.select("ids").mapInArrow(count, "symbol long, n long")
     for row in part.groupBy("symbol").agg(F.sum("n").alias("n")).collect():
         out[row["symbol"]] = row["n"]
     return out
@@ -104,7 +125,10 @@ class _Shard:
 def write_tokens(spark: SparkSession, docs: DataFrame, path: str, *, model: str = tokens.MODEL, end_id: int | None = tokens.END_ID) -> None:
     """Write the ids of all documents as a file set."""
     common.prepare(spark)
-    counts = count_ids(docs, model, end_id)
+    size = tokens.model(model).size
+    kind = np.uint16 if size <= 1 << 16 else np.uint32
+    stash = stash_ids(spark, docs, common.scratch(spark, "token-ids"), model, end_id)
+    counts = count_ids(stash, size)
     table = rans.Table(rans.quantise(counts))
     spark.createDataFrame([(int(i), int(table.frequency[i])) for i in np.flatnonzero(table.frequency)], "symbol int, frequency int").coalesce(1).write.parquet(f"{path}/table")
     shards = max(1, math.ceil(int(counts.sum()) * 3 / SHARD_BYTES))
@@ -116,15 +140,15 @@ def write_tokens(spark: SparkSession, docs: DataFrame, path: str, *, model: str
             null = np.asarray(ids.is_null())
             ids = ids.fill_null(0).to_numpy()
             for a, b in common.slices(batch.column(1)):
-                found = tokens.Tokens(batch.column(1)[a:b], model, end_id)
-                shard.add(found.ids(), found.offsets, ids[a:b], null[a:b])
+                found, offsets = _of_stash(batch.column(1)[a:b], kind)
+                shard.add(found, offsets, ids[a:b], null[a:b])
                 if (rows := shard.flush(False)) is not None:
                     yield rows
         if (rows := shard.flush(True)) is not None:
             yield rows
 
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first()]
-    ranged = common.id_and_bytes(docs).repartitionByRange(shards, F.col("doc_id").asc_nulls_last()).sortWithinPartitions(*order)
+    order = [F.col("doc_id").asc_nulls_last(), F.col("ids")]
+    ranged = stash.repartitionByRange(shards, F.col("doc_id").asc_nulls_last()).sortWithinPartitions(*order)
     ranged.mapInArrow(make, _BLOCKS).write.parquet(f"{path}/blocks")
     totals = spark.read.parquet(f"{path}/blocks").groupBy("shard").agg(F.sum("n_tokens").alias("n_tokens"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard

@@ -10,15 +10,13 @@ from __future__ import annotations
 import os
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 
 from metrolith.llm import common
+from metrolith.llm.memory import SpanMemory, distinct, gather
 
 MODEL = "word_bpe_49k.json"
 END_ID = 1
-#: Words that a worker remembers; the memory is emptied when full.
-CACHE_WORDS = 500_000
 _KIND = np.uint32
 
 
@@ -42,19 +40,14 @@ class WordTokens:
         self.model.no_truncation()
         self.model.no_padding()
         self.size = self.model.get_vocab_size(with_added_tokens=True)
-        self.seen: dict[bytes, bytes] = {}
         self.encode = getattr(self.model, "encode_batch_fast", self.model.encode_batch)
+        self.memory = SpanMemory(self.ids, _KIND)
 
-    def ids(self, words: list[bytes]) -> list[bytes]:
-        new = [w for w in words if w not in self.seen]
-        if len(self.seen) + len(new) > CACHE_WORDS:
-            self.seen.clear()
-            new = words
-        for a in range(0, len(new), 10_000):
-            part = new[a : a + 10_000]
-            for w, found in zip(part, self.encode([w.decode() for w in part], add_special_tokens=False)):
-                self.seen[w] = np.array(found.ids, _KIND).tobytes()
-        return [self.seen[w] for w in words]
+    def ids(self, words: list[bytes]) -> list[np.ndarray]:
+        out: list[np.ndarray] = []
+        for a in range(0, len(words), 10_000):
+            out += [np.array(e.ids, _KIND) for e in self.encode([w.decode() for w in words[a : a + 10_000]], add_special_tokens=False)]
+        return out
 
 
 _MODELS: dict[str, WordTokens] = {}
@@ -66,56 +59,22 @@ def model(name: str = MODEL) -> WordTokens:
     return _MODELS[name]
 
 
-def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each span's number among the distinct spans, and where each of these is first.
-
-    Spans are told apart by hash; length and both ends are compared as well.
-    """
-    code, _ = pd.factorize(hashes)
-    first = np.empty(code.max() + 1 if len(code) else 0, np.int64)
-    first[code[::-1]] = np.arange(len(code))[::-1]
-    width = ends - starts
-    same = width == width[first][code]
-    for edge in (starts, ends - 1):
-        same &= data[edge] == data[edge[first]][code]
-    if not same.all():
-        raise ValueError("two spans have one hash")
-    return code, first
-
-
-def gather(flat: np.ndarray, size: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs of ``flat`` (run k has size[k] entries) that ``code`` asks for, in a row, and their sizes."""
-    start = (np.cumsum(size) - size)[code]
-    asked = size[code]
-    at = np.cumsum(asked) - asked
-    return flat[np.repeat(start - at, asked) + np.arange(int(asked.sum()))], asked
-
-
 class Tokens:
     """The ids of a column of texts: ``ids`` of all texts in a row, and n+1 offsets."""
 
     def __init__(self, column: pa.Array, name: str = MODEL, end_id: int | None = END_ID):
         w = common.scan_words(column)
-        code, first = distinct(w.data, w.starts, w.ends, w.hashes)
-        packed = model(name).ids([w.word(i) for i in first.tolist()])
-        flat = np.frombuffer(b"".join(packed), _KIND)
-        size = np.array([len(p) // _KIND().itemsize for p in packed], np.int64)
-        self._code, self._flat, self._size, self._end = code, flat, size, end_id
-        n_words = np.concatenate(([0], np.cumsum(size[code])))
-        ends = 0 if end_id is None else 1
-        self.offsets = n_words[w.offsets] + ends * np.arange(len(w.offsets))
+        self._code, first = distinct(w.data, w.starts, w.ends, w.hashes)
+        second = common.hash_spans(w.data, w.starts[first], w.ends[first], second=True)
+        self._flat, self._start, self._size = model(name).memory.find(w.hashes[first], second, lambda i: w.word(first[i]))
+        self._end = end_id
+        n_words = np.concatenate(([0], np.cumsum(self._size[self._code])))
+        self.offsets = n_words[w.offsets] + (0 if end_id is None else 1) * np.arange(len(w.offsets))
         self.text_of_word = common.owner_of(w.offsets)
 
-    def counts(self, size: int) -> np.ndarray:
-        """How often each id occurs."""
-        weight = np.bincount(self._code, minlength=len(self._size))
-        out = np.bincount(self._flat, weights=np.repeat(weight, self._size), minlength=size).astype(np.int64)
-        if self._end is not None:
-            out[self._end] += len(self.offsets) - 1
-        return out
-
     def ids(self) -> np.ndarray:
-        value, size = gather(self._flat, self._size, self._code)
+        size = self._size[self._code]
+        value = gather(self._flat, self._start[self._code], size)
         if self._end is None:
             return value
         out = np.empty(int(self.offsets[-1]), _KIND)
