@@ -172,7 +172,7 @@ class Check:
 
 
 def fingerprint_table(docs: DataFrame, shingle: int, tables: int, check: Check | None) -> DataFrame:
-    """doc_id, keys (8 bytes for each table), sketch (the check's bits, or empty)."""
+    """doc_id, fp (the first key), keys (8 bytes for each table), sketch (the check's bits, or empty)."""
     plan = ((shingle, tables),) + (((check.shingle, check.words),) if check else ())
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,9 +180,10 @@ def fingerprint_table(docs: DataFrame, shingle: int, tables: int, check: Check |
             for a, b in common.slices(batch.column(1)):
                 found = simhash.fingerprints(batch.column(1)[a:b], plan)
                 parts = [pa.array([x.tobytes() for x in found[:, i:j]], pa.binary()) for i, j in ((0, tables), (tables, found.shape[1]))]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], *parts], ["doc_id", "keys", "sketch"])
+                first = pa.array(np.ascontiguousarray(found[:, 0]).view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], first, *parts], ["doc_id", "fp", "keys", "sketch"])
 
-    return common.id_and_bytes(docs).mapInArrow(make, "doc_id long, keys binary, sketch binary")
+    return common.id_and_bytes(docs).mapInArrow(make, "doc_id long, fp long, keys binary, sketch binary")
 
 
 def near_duplicates(
@@ -236,7 +237,7 @@ def near_duplicates(
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     by_class = named.join(smallest, "root").select(F.col("keys").alias("class_keys"), F.col("sketch").alias("class_sketch"), "component_id")
     found = table.join(by_class, (F.col("keys") == F.col("class_keys")) & (F.col("sketch") == F.col("class_sketch")), "left")
-    return found.select("doc_id", F.lower(F.hex(F.reverse(F.substring("keys", 1, 8)))).alias("fingerprint"), "component_id")
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
