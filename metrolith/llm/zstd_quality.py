@@ -81,7 +81,7 @@ def _prepared(raw: bytes) -> zstandard.ZstdCompressionDict:
 
 def features(size: int, good: int, bad: int) -> np.ndarray:
     """1, the normalised difference, and the compression ratio (0 for an empty text)."""
-    if not size:
+    if not size or not good + bad:
         return np.array([1.0, 0.0, 0.0])
     return np.array([1.0, 20.0 * (bad - good) / (bad + good), 2.0 * min(good, bad) / size - 1.0])
 
