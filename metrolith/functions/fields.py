@@ -174,7 +174,7 @@ def add_months(month: Column, n: int) -> Column:
 def unescape_opl(c: Column) -> Column:
     """Text with %hex% escapes of code points resolved."""
     parts = F.split(c, "%")
-    each = F.transform(parts, lambda x, i: F.when(i % 2 == 0, x).otherwise(F.decode(F.unhex(F.lpad(x, 8, "0")), F.lit("UTF-32BE"))))
+    each = F.transform(parts, lambda x, i: F.when(i % 2 == 0, x).otherwise(F.decode(F.unhex(F.lpad(x, 8, "0")), "UTF-32")))
     return F.when(c.contains("%"), F.array_join(each, "")).otherwise(c)
 
 

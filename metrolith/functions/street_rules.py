@@ -53,16 +53,19 @@ def classify(tags: Column) -> dict[str, Column]:
     forward, backward = rides & bike_way.isin(0, 1), rides & bike_way.isin(0, -1)
 
     def class_in(direction: int) -> Column:
-        best = F.lit(3)
+        ranks = []
         for side in sides:
             own = as_direction(t(f"{side}:oneway"))
             usual = {"cycleway:right": 1, "cycleway:left": -1}.get(side, 0)
             serves = F.coalesce(F.when(t(side).startswith("opposite"), F.when(road == -1, 1).otherwise(-1)), own, F.when(road.isin(1, -1), road), F.lit(usual))
-            for rank, values in enumerate(CLASS_OF_SIDE.values()):
-                best = F.when(has(t(side), values) & serves.isin(0, direction), F.least(best, F.lit(rank))).otherwise(best)
+            kind = F.lit(3)
+            for number, values in enumerate(CLASS_OF_SIDE.values()):
+                kind = F.when(has(t(side), values), number).otherwise(kind)
+            ranks.append(F.when(serves.isin(0, direction), kind).otherwise(3))
         base = F.when(has(highway, ("cycleway",)) | has(highway, OFF_ROAD), 0).when(has(highway, ARTERIAL), 3).otherwise(2)
-        rank = F.least(best, base)
-        return F.when(rank == 0, "protected").when(rank == 1, "painted").when(rank == 2, "shared").otherwise("arterial")
+        best = F.array_min(F.array(*ranks))
+        names = F.array(*map(F.lit, ("protected", "painted", "shared", "arterial")))
+        return F.element_at(names, F.least(best, base) + 1)
 
     bridge = t("bridge").isNotNull() & ~has(t("bridge"), ("no",))
     empty = lambda c: F.coalesce(c, F.lit("")) != ""

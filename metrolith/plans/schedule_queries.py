@@ -321,7 +321,7 @@ def a15_overtaking(spark, sf):
   and list_reduce(list_prepend(0::bigint, b.stops), lambda k, x: case when k < len(a.stops) and a.stops[k + 1] = x then k + 1 else k end) = len(a.stops)) select pattern, lender from f qualify row_number() over (partition by pattern order by n, lender) = 1""")
 def w8_borrowed_shapes(spark, sf):
     line = a.lines(spark, sf).where("l_orderkey < 600")
-    p = line.groupBy(F.col("l_orderkey").alias("pattern")).agg(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", (F.col("l_suppkey") % 4).alias("s")))), lambda x: x["s"]).alias("stops"))
+    p = line.groupBy(F.col("l_orderkey").alias("pattern")).agg(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", (F.col("l_suppkey") % 2).alias("s")))), lambda x: x["s"]).alias("stops"))
     return timetable.borrowed_shapes(p.select("pattern", (F.col("pattern") % 30).alias("route"), "stops", (F.col("pattern") % 4 == 0).alias("has_shape")))
 
 
