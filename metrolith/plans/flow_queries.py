@@ -9,7 +9,8 @@ from metrolith.operators import flows, smoothing
 from metrolith.plans import adapters as a
 from metrolith.plans.registry import query, table
 
-FIRST, LAST = F.lit(a.FIRST).cast("date"), F.lit(a.LAST).cast("date")
+def _window():
+    return F.lit(a.FIRST).cast("date"), F.lit(a.LAST).cast("date")
 
 
 def _counts(spark, sf):
@@ -17,7 +18,7 @@ def _counts(spark, sf):
 
 
 def _active(spark, sf):
-    return flows.active_days(_counts(spark, sf), a.holidays(spark), FIRST, LAST)
+    return flows.active_days(_counts(spark, sf), a.holidays(spark), *_window())
 
 
 @query(f"with {a.COUNTS} select key, day, bin, bike, direction, least(n, 65535) as n, greatest(n - 65535, 0) as lost from counts")
@@ -51,7 +52,7 @@ def a3_active_days(spark, sf):
 sides as (select day, direction from days, (values ('arrivals'), ('departures')) t(direction) where direction = 'arrivals' or day <= date '{a.LAST}' - 1)
 select s.direction, s.day, cast(coalesce(sum(n), 0) as bigint) as n from sides s left join counts c on s.day = c.day and s.direction = c.direction group by all""")
 def a4_daily_totals(spark, sf):
-    return flows.daily_totals(_counts(spark, sf), FIRST, LAST)
+    return flows.daily_totals(_counts(spark, sf), *_window())
 
 
 @query()
