@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from metrolith.functions import fields, geo, street_rules
 from metrolith.functions.half import from_half, to_half
-from metrolith.operators import graph, links, stations
+from metrolith.operators import areas, graph, links, stations
 from metrolith.plans import adapters as a
 from metrolith.plans.registry import query, table
 
@@ -342,3 +342,64 @@ def j21_nearest_places(spark, sf):
     platforms = p.where("point % 10 = 1").withColumn("name", F.concat(F.lit("Stn "), (F.col("point") % 40).cast("string")))
     places = p.where("point % 3 = 0").withColumn("name", F.concat(F.lit("stn-"), (F.col("point") % 37).cast("string")))
     return stations.nearest_place(platforms, places, 1_500, 60)
+
+
+_BOXES = "bx as (select s_suppkey as ord, concat('area ', s_suppkey % 7) as name, s_suppkey * 331 % 9000 + 3 as x0, s_suppkey * 577 % 9000 + 3 as y0, s_suppkey * 331 % 9000 + 3 + 400 + s_suppkey % 5 * 100 as x1, s_suppkey * 577 % 9000 + 3 + 300 + s_suppkey % 3 * 100 as y1 from supplier where s_suppkey % 4 = 0)"
+
+
+def _boxes(spark, sf):
+    k = F.col("s_suppkey")
+    x0, y0 = k * 331 % 9_000 + 3, k * 577 % 9_000 + 3
+    x1, y1 = x0 + 400 + k % 5 * 100, y0 + 300 + k % 3 * 100
+    corner = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    rings = F.array(F.array(corner(x0, y0), corner(x1, y0), corner(x1, y1), corner(x0, y1)))
+    return table(spark, sf, "supplier").where("s_suppkey % 4 = 0").select(k.alias("ord"), F.concat(F.lit("area "), (k % 7).cast("string")).alias("name"), rings.alias("rings"))
+
+
+_RASTER = f"{_BOXES}, grid as (select x.c as cx, y.c as cy from range(0, 110) x(c), range(0, 110) y(c)), rast as (select cx, cy, arg_min(name, ord) as name from grid join bx on cx * 100 + 50 > x0 and cx * 100 + 50 < x1 and cy * 100 + 50 > y0 and cy * 100 + 50 < y1 group by cx, cy)"
+
+
+@query(f"with {_RASTER} select cx, cy, name from rast")
+def p10_region_raster(spark, sf):
+    return areas.raster(_boxes(spark, sf))
+
+
+@query(f"with {_RASTER}, off as (select x.c as dx, y.c as dy from range(-3, 4) x(c), range(-3, 4) y(c) where x.c * x.c + y.c * y.c <= 9), m as (select distinct cx + dx as cx, cy + dy as cy from rast, off), w as (select l_orderkey as way, l_partkey * 71 % 10000 as x, l_suppkey * 83 % 10000 as y from lineitem) select distinct way from w join m on m.cx = w.x // 100 and m.cy = w.y // 100")
+def p9_ways_in_city_mask(spark, sf):
+    nodes = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("way"), (F.col("l_partkey") * 71 % 10_000).alias("x"), (F.col("l_suppkey") * 83 % 10_000).alias("y"))
+    return areas.ways_in_mask(nodes, areas.mask(_boxes(spark, sf), 300.0))
+
+
+@query(f"with {_POINTS}, {_BOXES} select point, exists(select 1 from bx where x / 3 + 0.25 > x0 and x / 3 + 0.25 < x1 and y / 3 + 0.25 > y0 and y / 3 + 0.25 < y1) as inside from pts".replace("x / 3 +", "x // 3 +").replace("y / 3 +", "y // 3 +"))
+def p11_park_membership(spark, sf):
+    points = _points(spark, sf).select("point", (F.floor(F.col("x") / 3) + 0.25).alias("x"), (F.floor(F.col("y") / 3) + 0.25).alias("y"))
+    return areas.members(points, _boxes(spark, sf))
+
+
+_WALK = f"""{_EDGES}, acc as (select 1000 + s_suppkey as node, s_suppkey as street, 20000 + s_suppkey % 7 * 1000 as ex, 15000 as en from supplier where s_suppkey % 6 = 0), wg as (select src, dst, min(cost) as cost from (select src, dst, cost * 20 as cost from ed union all select node, street, ex from acc union all select street, node, en from acc
+union all select 1006, 1012, 40000) group by all)"""
+
+
+def _walk(spark, sf):
+    streets = _edges(spark, sf).withColumn("cost", F.col("cost") * 20)
+    k = F.col("s_suppkey")
+    access = table(spark, sf, "supplier").where("s_suppkey % 6 = 0").select((k + 1000).alias("node"), k.alias("street"), (20_000 + k % 7 * 1_000).alias("exit_ms"), F.lit(15_000).cast("bigint").alias("enter_ms"))
+    change = spark.createDataFrame([(1006, 1012, 40)], "a bigint, b bigint, seconds bigint")
+    return links.walk_graph(streets, access, change), access
+
+
+_WALKED = f"""walk as (select node as origin, node, 0::bigint as cost, 0 as hops from acc union all select origin, node, min(cost), hops from (select w.origin, e.dst as node, w.cost + e.cost as cost, w.hops + 1 as hops from walk w join wg e on e.src = w.node where w.hops < 14 and w.cost + e.cost <= 140000) group by origin, node, hops), best as (select origin, node, min(cost) as cost from walk group by all)"""
+
+
+@query(f"with recursive {_WALK}, {_WALKED} select b.origin as a, b.node as b, cast(ceil(b.cost / 1000.0) as bigint) as seconds from best b join acc q on q.node = b.node where b.origin <> b.node and b.cost <= (100 + 20 + 20) * 1000")
+def g6_g7_footpaths(spark, sf):
+    edges, access = _walk(spark, sf)
+    return links.footpaths(spark, edges, access.select("node", F.lit(20).alias("access")), bound=100, most_access=20)
+
+
+@query(f"with recursive {_WALK}, {_WALKED}, st as (select s_suppkey as station from supplier where s_suppkey % 11 = 0), x as (select b.origin % 5 as stop, st.station, cast(ceil(min(b.cost) / 1000.0) as bigint) as exit from best b join st on st.station = b.node where b.cost <= 120000 group by all) select stop, station, exit from x")
+def g8_station_links(spark, sf):
+    edges, access = _walk(spark, sf)
+    stops = table(spark, sf, "supplier").where("s_suppkey % 11 = 0").select(F.col("s_suppkey").alias("station"), F.col("s_suppkey").alias("node"))
+    found = links.station_links(spark, edges, access.select("node", (F.col("node") % 5).alias("stop")), stops, bound=120)
+    return found.where("exit is not null").select("stop", "station", "exit")
