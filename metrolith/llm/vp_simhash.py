@@ -233,9 +233,11 @@ def near_duplicates(
 
     dealt = classes.select("keys", "node", "sketch").mapInArrow(deal, "leaf long, fp long, node long, sketch binary")
     roots = components(spark, dealt.groupBy("leaf").applyInPandas(link, "a long, b long"))
-    named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_class = named.join(smallest, "root").select(F.col("keys").alias("class_keys"), F.col("sketch").alias("class_sketch"), "component_id")
+    # only linked classes have a root; the least doc_id of each root is a small table of its own, so that the join
+    # with a very large component has two shuffled sides, which adaptive execution can split
+    smallest = classes.join(roots, "node").groupBy("root").agg(F.min("first").alias("least")).checkpoint()
+    linked = roots.join(smallest, "root").select("node", "least")
+    by_class = classes.join(linked, "node", "left").select(F.col("keys").alias("class_keys"), F.col("sketch").alias("class_sketch"), F.coalesce("least", "first").alias("component_id"))
     found = table.join(by_class, (F.col("keys") == F.col("class_keys")) & (F.col("sketch") == F.col("class_sketch")), "left")
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
