@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,10 +26,14 @@ class Kappas:
 
 
 def _fold(values: np.ndarray) -> float:
-    total = 0.0
-    for v in values:
-        total += float(v)
-    return total
+    """A sum from left to right (a running sum keeps that order, which np.sum does not)."""
+    return float(np.cumsum(values)[-1])
+
+
+def _by_hour(values: np.ndarray) -> np.ndarray:
+    """Sums of the four bins of each hour, from left to right, one for each bin."""
+    x = values.reshape(-1, 4)
+    return np.repeat(((x[:, 0] + x[:, 1]) + x[:, 2]) + x[:, 3], 4)
 
 
 def smooth_cell(s: np.ndarray, q: np.ndarray, n: int, neighbours: list[np.ndarray], k: Kappas = Kappas()) -> tuple[np.ndarray, np.ndarray]:
@@ -45,19 +49,16 @@ def smooth_cell(s: np.ndarray, q: np.ndarray, n: int, neighbours: list[np.ndarra
         prior = shape / mass * (total if n else mass / len(neighbours))
     else:
         prior = np.full(BINS, total / BINS)
-    mean, phi = np.empty(BINS), np.ones(BINS)
-    variance = (n * q - s * s) / (n * (n - 1)) if n >= 2 else None
-    for hour in range(BINS // 4):
-        rows = slice(4 * hour, 4 * hour + 4)
-        weight = n + k.hour
-        by_hour = (_fold(s[rows]) + k.hour * _fold(prior[rows])) / (4 * weight) if weight else 0.0
-        mean[rows] = (s[rows] + k.cell * by_hour) / (n + k.cell) if n + k.cell else by_hour
-        if variance is not None:
-            mass = _fold(raw[rows])
-            of_hour = _fold(variance[rows]) / mass if mass else 1.0
-            own = np.where(raw[rows] > 0, variance[rows] / np.where(raw[rows] > 0, raw[rows], 1.0), of_hour)
-            phi[rows] = np.maximum(1.0, (n * own + k.dispersion * of_hour) / (n + k.dispersion))
-    return mean, phi
+    weight = n + k.hour
+    of_hour = (_by_hour(s) + k.hour * _by_hour(prior)) / (4 * weight) if weight else np.zeros(BINS)
+    mean = (s + k.cell * of_hour) / (n + k.cell) if n + k.cell else of_hour
+    if n < 2:
+        return mean, np.ones(BINS)
+    variance = (n * q - s * s) / (n * (n - 1))
+    busy = _by_hour(raw)
+    ratio = np.where(busy > 0, _by_hour(variance) / np.where(busy > 0, busy, 1.0), 1.0)
+    own = np.where(raw > 0, variance / np.where(raw > 0, raw, 1.0), ratio)
+    return mean, np.maximum(1.0, (n * own + k.dispersion * ratio) / (n + k.dispersion))
 
 
 CELL_SCHEMA = "key string, day_type string, direction string, bin int, mean_classic int, variance_classic int, mean_ebike int, variance_ebike int, variance_any int"
@@ -103,12 +104,15 @@ def smooth(tallies: DataFrame, active: DataFrame, neighbours: DataFrame, keys: D
     near = neighbours.join(means, "neighbour").groupBy("key", "day_type", "direction").agg(F.sort_array(F.collect_list(F.struct("rank", "m_classic", "m_ebike", "m_any"))).alias("near"))
     rows = wide.join(near, ["key", "day_type", "direction"], "left")
 
+    names = [c.split()[0] for c in CELL_SCHEMA.split(", ")]
+
     def run(batches):
-        for frame in batches:
-            for r in frame.itertuples(index=False):
-                around = list(r.near) if r.near is not None else []
-                series = {m: (np.array(getattr(r, f"s_{m}")), np.array(getattr(r, f"q_{m}"))) for m in ("classic", "ebike", "any")}
-                made = cells_of(series, int(r.n), {m: [np.array(x[f"m_{m}"], float) for x in around] for m in series}, kappas)
-                yield pd.DataFrame({"key": r.key, "day_type": r.day_type, "direction": r.direction, "bin": np.arange(BINS, dtype=np.int32), **made})
-
-    return rows.mapInPandas(run, CELL_SCHEMA)
+        for batch in batches:
+            for r in batch.to_pylist():
+                around = r["near"] or []
+                series = {m: (np.array(r[f"s_{m}"]), np.array(r[f"q_{m}"])) for m in ("classic", "ebike", "any")}
+                made = cells_of(series, r["n"], {m: [np.array(x[f"m_{m}"], float) for x in around] for m in series}, kappas)
+                same = [pa.array([r[c]] * BINS, pa.string()) for c in ("key", "day_type", "direction")]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(np.arange(BINS, dtype=np.int32)), *(pa.array(made[c], pa.int32()) for c in names[4:])], names)
+
+    return rows.mapInArrow(run, CELL_SCHEMA)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,24 +120,30 @@ def fifo_patterns(events: DataFrame, patterns: DataFrame, service: DataFrame) ->
     times = events.groupBy("trip").agg(F.sort_array(F.collect_list(F.struct("pos", "arrival", "departure"))).alias("_t"))
     flat = F.flatten(F.transform("_t", lambda c: F.array(c["arrival"], c["departure"])))
     rows = patterns.join(times.select("trip", flat.alias("times")), "trip").join(service, "trip")
+    grouped = rows.groupBy("pattern").agg(F.collect_list(F.struct("trip", "days", "times")).alias("trips"))
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        days = [tuple(d) for d in part["days"]]
-        classes = {d: frozenset(d) for d in set(days)}
+    def split(members) -> list[int]:
+        classes = {d: frozenset(d) for d in {tuple(m["days"]) for m in members}}
         memory: dict = {}
 
         def shares(a, b) -> bool:
-            if a == b:
-                return True
             if (a, b) not in memory:
-                memory[a, b] = memory[b, a] = not classes[a].isdisjoint(classes[b])
+                memory[a, b] = memory[b, a] = a == b or not classes[a].isdisjoint(classes[b])
             return memory[a, b]
 
-        subs = fifo_split(list(zip(part["trip"], days, (tuple(t) for t in part["times"]))), shares)
-        return pd.DataFrame({"trip": part["trip"], "pattern": part["pattern"], "sub": subs})
+        return fifo_split([(m["trip"], tuple(m["days"]), tuple(m["times"])) for m in members], shares)
+
+    def run(batches):
+        for frame in batches:
+            subs = [split(members) if len(members) > 1 else [0] for members in frame["trips"]]
+            yield pd.DataFrame({
+                "trip": [m["trip"] for members in frame["trips"] for m in members],
+                "pattern": np.repeat(frame["pattern"].to_numpy(), [len(x) for x in subs]),
+                "sub": np.concatenate(subs) if subs else np.empty(0, int),
+            })
 
     kind = dict(patterns.dtypes)
-    return rows.groupBy("pattern").applyInPandas(run, f"trip {kind['trip']}, pattern {kind['pattern']}, sub int")
+    return grouped.mapInPandas(run, f"trip {kind['trip']}, pattern {kind['pattern']}, sub int")
 
 
 def overtaking(first: Column, second: Column) -> Column:
