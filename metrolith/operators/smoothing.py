@@ -77,12 +77,16 @@ def cells_of(series: dict[str, tuple[np.ndarray, np.ndarray]], n: int, neighbour
     return out
 
 
-def dense(tallies: DataFrame) -> DataFrame:
-    """key, day_type, direction, series, s and q as arrays of 96 (bins without a row are zero)."""
-    entry = lambda c: F.map_from_entries(F.collect_list(F.struct("bin", c)))  # noqa: E731  at most 96 rows a group
-    grouped = tallies.groupBy("key", "day_type", "direction", "series").agg(entry("s").alias("ms"), entry("q").alias("mq"))
-    fill = lambda m: F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.coalesce(F.col(m)[b], F.lit(0)).cast("double"))
-    return grouped.select("key", "day_type", "direction", "series", fill("ms").alias("s"), fill("mq").alias("q"))
+_SERIES = ("classic", "ebike", "any")
+
+
+def _dense(cells: list[dict] | None) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Sums and sums of squares by series, in 96 bins; bins without a cell are zero."""
+    out = {m: (np.zeros(BINS), np.zeros(BINS)) for m in _SERIES}
+    for c in cells or ():
+        s, q = out[c["series"]]
+        s[c["bin"]], q[c["bin"]] = c["s"], c["q"]
+    return out
 
 
 def smooth(tallies: DataFrame, active: DataFrame, neighbours: DataFrame, keys: DataFrame, kappas: Kappas = Kappas()) -> DataFrame:
@@ -90,29 +94,23 @@ def smooth(tallies: DataFrame, active: DataFrame, neighbours: DataFrame, keys: D
 
     tallies: as ``flows.tally``; active: key, day_type, direction, n; neighbours: key, neighbour, rank; keys: key.
     """
+    side = ["key", "day_type", "direction"]
     sides = keys.select("key", F.explode(F.array(F.lit("weekday"), F.lit("weekend"))).alias("day_type"))
     sides = sides.select("key", "day_type", F.explode(F.array(F.lit("arrivals"), F.lit("departures"))).alias("direction"))
-    sides = sides.join(active, ["key", "day_type", "direction"], "left").select("key", "day_type", "direction", F.coalesce("n", F.lit(0)).alias("n"))
-    arrays = dense(tallies)
-    zero = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda _: F.lit(0.0))
-    wide = sides
-    for name in ("classic", "ebike", "any"):
-        part = arrays.where(F.col("series") == name).select("key", "day_type", "direction", F.col("s").alias(f"s_{name}"), F.col("q").alias(f"q_{name}"))
-        wide = wide.join(part, ["key", "day_type", "direction"], "left")
-    wide = wide.select("key", "day_type", "direction", "n", *[F.coalesce(f"{x}_{m}", zero).alias(f"{x}_{m}") for m in ("classic", "ebike", "any") for x in ("s", "q")])
-    means = wide.where("n > 0").select(F.col("key").alias("neighbour"), "day_type", "direction", *[F.transform(f"s_{m}", lambda v: v / F.col("n")).alias(f"m_{m}") for m in ("classic", "ebike", "any")])
-    near = neighbours.join(means, "neighbour").groupBy("key", "day_type", "direction").agg(F.sort_array(F.collect_list(F.struct("rank", "m_classic", "m_ebike", "m_any"))).alias("near"))
-    rows = wide.join(near, ["key", "day_type", "direction"], "left")
-
+    sides = sides.join(active, side, "left").select(*side, F.coalesce("n", F.lit(0)).alias("n"))
+    packed = tallies.groupBy(*side).agg(F.collect_list(F.struct("series", "bin", "s", "q")).alias("cells"))  # 288 at most
+    wide = sides.join(packed, side, "left")
+    lent = wide.where("n > 0").select(F.col("key").alias("neighbour"), "day_type", "direction", F.col("n").alias("days"), "cells")
+    near = neighbours.select("key", "neighbour", "rank").join(lent, "neighbour").groupBy(*side).agg(F.collect_list(F.struct("rank", "days", "cells")).alias("near"))
+    rows = wide.join(near, side, "left")
     names = [c.split()[0] for c in CELL_SCHEMA.split(", ")]
 
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                around = r["near"] or []
-                series = {m: (np.array(r[f"s_{m}"]), np.array(r[f"q_{m}"])) for m in ("classic", "ebike", "any")}
-                made = cells_of(series, r["n"], {m: [np.array(x[f"m_{m}"], float) for x in around] for m in series}, kappas)
-                same = [pa.array([r[c]] * BINS, pa.string()) for c in ("key", "day_type", "direction")]
+                around = [(x["days"], _dense(x["cells"])) for x in sorted(r["near"] or [], key=lambda x: x["rank"])]
+                made = cells_of(_dense(r["cells"]), r["n"], {m: [of[m][0] / days for days, of in around] for m in _SERIES}, kappas)
+                same = [pa.array([r[c]] * BINS, pa.string()) for c in side]
                 yield pa.RecordBatch.from_arrays([*same, pa.array(np.arange(BINS, dtype=np.int32)), *(pa.array(made[c], pa.int32()) for c in names[4:])], names)
 
     return rows.mapInArrow(run, CELL_SCHEMA)
