@@ -38,6 +38,52 @@ def majority(hashes: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.nda
     return (bits << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
+def _shingles(w: common.Words, some: np.ndarray, buffer: np.ndarray, at: np.ndarray, width: np.ndarray, shingle: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the shingles of the texts ``some``, one text after another; where each text begins and its count."""
+    n_words = np.diff(w.offsets)[some]
+    count = np.maximum(n_words - shingle + 1, 1)
+    begin = np.cumsum(count) - count
+    head = np.repeat(w.offsets[:-1][some], count) + np.arange(count.sum()) - np.repeat(begin, count)
+    tail = head + np.repeat(np.minimum(n_words, shingle), count) - 1
+    hashes = np.empty(len(head), np.uint64)
+    for a in range(0, len(head), 1_000_000):
+        h, t = head[a : a + 1_000_000], tail[a : a + 1_000_000]
+        hashes[a : a + len(h)] = xxh64_spans(buffer, at[h], at[t] + width[t] - at[h], seed)
+    return hashes, begin, count
+
+
+def shingle_sets(column: pa.Array, shingle: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingle hashes of each text, ascending, one text after another; n+1 offsets. No word, no shingle."""
+    w = common.scan_words(column, hashed=False, lower=True)
+    some = np.flatnonzero(np.diff(w.offsets))
+    sizes = np.zeros(len(w.offsets) - 1, np.int64)
+    hashes = np.empty(0, np.uint64)
+    if len(some):
+        hashes, _, count = _shingles(w, some, *_joined(w), shingle, seed)
+        owner = np.repeat(some, count)
+        order = np.lexsort((hashes, owner))
+        hashes, owner = hashes[order], owner[order]
+        new = np.ones(len(hashes), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+        hashes = hashes[new]
+        sizes = np.bincount(owner[new], minlength=len(sizes))
+    return hashes, np.concatenate(([0], np.cumsum(sizes)))
+
+
+def band_keys(hashes: np.ndarray, offsets: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """MinHash: for each set a row of ``bands`` keys, each of ``rows`` least remixed hashes; zeros for an empty set."""
+    factors = np.random.Generator(np.random.PCG64(711)).integers(0, 2**64, (bands, rows), np.uint64) | np.uint64(1)
+    out = np.zeros((len(offsets) - 1, bands), np.uint64)
+    some = np.flatnonzero(np.diff(offsets))
+    if len(some):
+        for b in range(bands):
+            key = np.full(len(some), b, np.uint64)
+            for f in factors[b]:
+                key = common.join_hash(key, np.minimum.reduceat(hashes * f, offsets[:-1][some]))
+            out[some, b] = key
+    return out
+
+
 def fingerprints(column: pa.Array, plan: tuple[tuple[int, int], ...] = ((3, 1),), seed: int = 42) -> np.ndarray:
     """For each text a row of 64-bit fingerprints: for each (shingle, n) of the plan, n of them.
 
@@ -53,14 +99,7 @@ def fingerprints(column: pa.Array, plan: tuple[tuple[int, int], ...] = ((3, 1),)
     buffer, at, width = _joined(w)
     place = 0
     for shingle, n in plan:
-        count = np.maximum(n_words[some] - shingle + 1, 1)
-        begin = np.cumsum(count) - count
-        head = np.repeat(w.offsets[:-1][some], count) + np.arange(count.sum()) - np.repeat(begin, count)
-        tail = head + np.repeat(np.minimum(n_words[some], shingle), count) - 1
-        hashes = np.empty(len(head), np.uint64)
-        for a in range(0, len(head), 1_000_000):
-            h, t = head[a : a + 1_000_000], tail[a : a + 1_000_000]
-            hashes[a : a + len(h)] = xxh64_spans(buffer, at[h], at[t] + width[t] - at[h], seed)
+        hashes, begin, count = _shingles(w, some, buffer, at, width, shingle, seed)
         for k in range(n):
             out[some, place] = majority(common.mix(hashes + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)) if k else hashes, begin, count)
             place += 1

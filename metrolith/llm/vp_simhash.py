@@ -11,11 +11,14 @@
    gives a star of links for each group it finds, never all pairs.
 5. Components of the stars give each fingerprint, and so each document, its smallest doc_id.
 
-With ``check`` the search uses several independent fingerprints (``tables``), each with a tree of its own, and a
-pair found by any of them counts only if independent SimHash bits of the texts' ``check.shingle``-word
-shingles differ no more than texts of Jaccard ``check.similarity`` do (that similarity means a cosine of
-2s/(1+s); ``slack`` deviations are allowed for).  Without it the radius alone decides.  A small
-radius is what lets the triangle inequality prune; more tables make up for it.
+With ``check`` a link is a pair of texts whose sets of ``check.shingle``-word shingles have a Jaccard similarity of
+``check.similarity`` or more, counted on the sets themselves (as 64-bit hashes).  Pairs to count come from two finders:
+- several independent fingerprints (``tables``), each with a tree of its own; a small radius is what lets the triangle
+  inequality prune.  SimHash bits of the check's shingles pick what is worth counting;
+- MinHash keys: texts of Jaccard s meet in one of ``bands`` keys of ``rows`` least hashes with probability
+  1 - (1 - s^rows)^bands, whatever the edit between them (0.99993 at 0.8, more above).
+In each bucket of a MinHash key all are counted against ``HUBS`` of them first; then every pair that is still in
+different components is counted too, so large groups cost no square and no pair that could add a link is left out.
 
 Defined results: null and empty texts have fingerprint zero, linked like any other; texts shorter than a
 shingle are one shingle.  Null doc_ids get a row and count as larger than any other; a
@@ -40,6 +43,8 @@ from metrolith.llm.components import components
 SAMPLE = 65_536
 LEAF = 32_768
 BLOCK = 512
+HUBS = 3
+GIST = 128
 
 
 def distances(points: np.ndarray, vantage: np.uint64) -> np.ndarray:
@@ -158,12 +163,14 @@ def _least(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Check:
-    """How a pair that the trees find is confirmed."""
+    """Which pairs count as near copies, and how they are found."""
 
     shingle: int = 5
     similarity: float = 0.8
     words: int = 4
     slack: float = 1.5
+    bands: int = 24
+    rows: int = 5
 
     def most_apart(self) -> int:
         bits = 64 * self.words
@@ -172,18 +179,99 @@ class Check:
 
 
 def fingerprint_table(docs: DataFrame, shingle: int, tables: int, check: Check | None) -> DataFrame:
-    """doc_id, fp (the first key), keys (8 bytes for each table), sketch (the check's bits, or empty)."""
+    """doc_id, fp (the first key), keys (8 bytes for each table), sketch (the check's bits, or empty).
+
+    With ``check`` also n, mark and bands (size, sum of mixed hashes and MinHash keys of the shingle set) and text.
+    """
     plan = ((shingle, tables),) + (((check.shingle, check.words),) if check else ())
+    schema = "doc_id long, fp long, keys binary, sketch binary" + (", n long, mark long, bands array<long>, text binary" if check else "")
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in common.slices(batch.column(1)):
-                found = simhash.fingerprints(batch.column(1)[a:b], plan)
+                text = batch.column(1)[a:b]
+                found = simhash.fingerprints(text, plan)
                 parts = [pa.array([x.tobytes() for x in found[:, i:j]], pa.binary()) for i, j in ((0, tables), (tables, found.shape[1]))]
                 first = pa.array(np.ascontiguousarray(found[:, 0]).view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], first, *parts], ["doc_id", "fp", "keys", "sketch"])
+                if check:
+                    hashes, at = simhash.shingle_sets(text, check.shingle)
+                    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(common.mix(hashes), dtype=np.uint64)))
+                    keys = simhash.band_keys(hashes, at, check.bands, check.rows)
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * check.bands), pa.array(keys.reshape(-1).view(np.int64)))
+                    parts += [pa.array(np.diff(at)), pa.array((total[at[1:]] - total[at[:-1]]).view(np.int64)), lists, text]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], first, *parts], names)
+
+    return common.id_and_bytes(docs).mapInArrow(make, schema)
+
 
-    return common.id_and_bytes(docs).mapInArrow(make, "doc_id long, fp long, keys binary, sketch binary")
+def _similar(spark: SparkSession, pairs: DataFrame, texts: DataFrame, check: Check) -> DataFrame:
+    """The ``pairs`` (a, b) whose shingle sets are as similar as ``check`` asks; ``texts`` has a text for each node."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y in common.slices(batch.column(1)):
+                hashes, at = simhash.shingle_sets(batch.column(1)[x:y], check.shingle)
+                lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64)))
+                counts = np.bincount(common.owner_of(at) * GIST + (hashes >> np.uint64(57)).astype(np.int64), minlength=(y - x) * GIST)
+                gist = np.minimum(counts, 255).astype(np.uint8).reshape(-1, GIST)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[x:y], lists, pa.array([g.tobytes() for g in gist], pa.binary())], ["node", "grams", "gist"])
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # sets differ in at least as many shingles as their counts do, so this drops no pair that is similar enough
+        for batch in batches:
+            p, q = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, GIST).astype(np.int64) for c in (batch.column(2), batch.column(3)))
+            sizes = batch.column(4).to_numpy()
+            keep = np.abs(p - q).sum(axis=1) <= (1 - check.similarity) / (1 + check.similarity) * sizes + 1e-6
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    path = common.scratch(spark, "shingle-sets")
+    texts.join(ends, "node", "left_semi").select("node", "text").mapInArrow(make, "node long, grams array<long>, gist binary").write.parquet(path)
+    sets = spark.read.parquet(path)
+    for end in ("b", "a"):
+        pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("gist").alias(f"gist_{end}"), F.size("grams").alias(f"n_{end}")), end)
+    pairs = pairs.select("a", "b", "gist_a", "gist_b", (F.col("n_a") + F.col("n_b")).alias("sizes")).mapInArrow(near, "a long, b long")
+    for end in ("b", "a"):
+        pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("grams").alias(f"grams_{end}")), end)
+    both = F.size(F.array_intersect("grams_a", "grams_b"))
+    return pairs.where(both / (F.size("grams_a") + F.size("grams_b") - both) >= check.similarity).select("a", "b").checkpoint()
+
+
+def _confirmed(spark: SparkSession, found: DataFrame, table: DataFrame, classes: DataFrame, check: Check) -> DataFrame:
+    """Links (a, b) among classes, each counted on its shingle sets; ``found`` are pairs from elsewhere to count too."""
+    texts = table.groupBy("node").agg(F.first("text").alias("text"))
+    path, tried_path = common.scratch(spark, "buckets"), common.scratch(spark, "pairs")
+    # the place of a key is part of it (see band_keys); texts without a shingle are one class and have no pair
+    members = classes.where("n > 0").select("node", "n", F.explode("bands").alias("key"))
+    several = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    members = members.join(several, "key")
+    # the text in the middle of a group shares the most buckets with others: it is the first hub
+    weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    members.join(weights, "node").select("key", "node", "n", "weight").write.parquet(path)
+    members = spark.read.parquet(path)
+
+    def pairs(rows: DataFrame) -> DataFrame:
+        """From x and y, structs of node and n: each pair once that can be similar by its sizes."""
+        can = F.least("x.n", "y.n") / F.greatest("x.n", "y.n") >= check.similarity
+        return rows.where((F.col("x.node") != F.col("y.node")) & can).select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
+
+    orders = [-F.col("weight"), *(F.xxhash64("node", F.lit(k)) for k in range(1, HUBS))]
+    hubs = members.groupBy("key").agg(*(F.min(F.struct(h.alias("h"), "node", "n")).alias(f"hub{k}") for k, h in enumerate(orders)))
+    hubs = hubs.select("key", F.array_distinct(F.array(*(F.struct(f"hub{k}.node", f"hub{k}.n") for k in range(HUBS)))).alias("hubs"))
+    starred = pairs(members.join(hubs, "key").select(F.struct("node", "n").alias("x"), F.explode("hubs").alias("y")))
+    extra = found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    starred.unionByName(extra).distinct().write.parquet(tried_path)
+    tried = spark.read.parquet(tried_path)
+    links = _similar(spark, tried, texts, check)
+
+    grouped = members.join(components(spark, links), "node", "left").withColumn("comp", F.coalesce("root", "node")).select("key", "comp", "node", "n")
+    mixed = grouped.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
+    lists = grouped.join(mixed, "key", "left_semi").groupBy("key", "comp").agg(F.collect_list(F.struct("node", "n")).alias("nodes")).checkpoint()
+    one, other = lists.select("key", F.col("comp").alias("c"), F.col("nodes").alias("xs")), lists.select("key", F.col("comp").alias("d"), F.col("nodes").alias("ys"))
+    apart = one.join(other, "key").where("c < d").select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y"))
+    rest = pairs(apart).join(tried, ["a", "b"], "left_anti").checkpoint()
+    return links.unionByName(_similar(spark, rest, texts, check))
 
 
 def near_duplicates(
@@ -198,10 +286,11 @@ def near_duplicates(
     """doc_id, fingerprint (16 hex digits), component_id for each row of ``docs`` (doc_id, text)."""
     common.prepare(spark)
     path, class_path = common.scratch(spark, "fingerprints"), common.scratch(spark, "classes")
-    fingerprint_table(docs, shingle, tables, check).write.parquet(path)
+    # a class: texts with equal keys (and sketch and shingle set), named by their hash and known by the smallest doc_id
+    same = ["keys", "sketch"] + (["n", "mark"] if check else [])
+    fingerprint_table(docs, shingle, tables, check).withColumn("node", F.xxhash64(*same) if check else F.xxhash64("keys")).write.parquet(path)
     table = spark.read.parquet(path)
-    # a class: texts with equal keys and sketch, named by their hash and known by the smallest doc_id
-    table.groupBy("keys", "sketch").agg(F.min("doc_id").alias("first")).withColumn("node", F.xxhash64("keys", "sketch") if check else F.xxhash64("keys")).write.parquet(class_path)
+    table.groupBy(*same, "node", *(["bands"] if check else [])).agg(F.min("doc_id").alias("first")).write.parquet(class_path)
     classes = spark.read.parquet(class_path)
     total = classes.count()
     share = min(1.0, SAMPLE / max(total, 1))
@@ -232,13 +321,14 @@ def near_duplicates(
         return pd.DataFrame({"a": names[rows], "b": names[root[rows]]})
 
     dealt = classes.select("keys", "node", "sketch").mapInArrow(deal, "leaf long, fp long, node long, sketch binary")
-    roots = components(spark, dealt.groupBy("leaf").applyInPandas(link, "a long, b long"))
+    links = dealt.groupBy("leaf").applyInPandas(link, "a long, b long")
+    roots = components(spark, _confirmed(spark, links, table, classes, check) if check else links)
     # only linked classes have a root; the least doc_id of each root is a small table of its own, so that the join
     # with a very large component has two shuffled sides, which adaptive execution can split
     smallest = classes.join(roots, "node").groupBy("root").agg(F.min("first").alias("least")).checkpoint()
     linked = roots.join(smallest, "root").select("node", "least")
-    by_class = classes.join(linked, "node", "left").select(F.col("keys").alias("class_keys"), F.col("sketch").alias("class_sketch"), F.coalesce("least", "first").alias("component_id"))
-    found = table.join(by_class, (F.col("keys") == F.col("class_keys")) & (F.col("sketch") == F.col("class_sketch")), "left")
+    by_class = classes.join(linked, "node", "left").select(*(F.col(c).alias(f"class_{c}") for c in same), F.coalesce("least", "first").alias("component_id"))
+    found = table.join(by_class, [F.col(c) == F.col(f"class_{c}") for c in same], "left")
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

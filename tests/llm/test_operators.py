@@ -498,3 +498,40 @@ def test_kept_hash_of_the_query(spark):
     r = found.orderBy("doc_id").first()
     text = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where(F.col("doc_id") == r["doc_id"]).first()["text"]
     assert r["n_removed"] > 0 or r["kept_sha256"] == hashlib.sha256(b" ".join(text.encode().split())).hexdigest()
+
+
+def edited(rng, words, kind, similarity):
+    """A copy with one replaced block, appended text or single words replaced, and its five-word Jaccard similarity."""
+    grams = lambda w: {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    copy = list(words)
+    new = lambda: f"new{rng.randrange(10**9)}"
+    at = rng.randrange(20, len(words) // 2)
+    places = rng.sample(range(len(words)), len(words))
+    before = (words, 1.0)
+    for step in range(len(words) // 2):
+        if kind == "block":
+            copy[at + step] = new()
+        elif kind == "append":
+            copy.append(new())
+        else:
+            copy[places[step]] = new()
+        s = len(grams(words) & grams(copy)) / len(grams(words) | grams(copy))
+        if s < similarity:
+            return before
+        before = (list(copy), s)
+    return before
+
+
+def test_checked_links_are_the_pairs_of_similarity_for_every_edit(spark):
+    rng = random.Random(21)
+    rows, wanted = [], {}
+    for n in range(240):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(100, 500))]
+        kind, least = ("block", "append", "words")[n % 3], (0.74, 0.801, 0.82, 0.87)[n // 3 % 4]
+        copy, s = edited(rng, words, kind, least)
+        rows += [(2 * n, " ".join(words)), (2 * n + 1, " ".join(copy))]
+        wanted[2 * n] = 2 * n
+        wanted[2 * n + 1] = 2 * n + (s < 0.8)
+    found = vp_simhash.near_duplicates(spark, frame(spark, rows), shingle=2, radius=3, tables=5, check=vp_simhash.Check())
+    got = {r["doc_id"]: r["component_id"] for r in found.collect()}
+    assert got == wanted and sum(i != c for i, c in got.items()) >= 150
