@@ -179,12 +179,12 @@ class Check:
 
 
 def fingerprint_table(docs: DataFrame, shingle: int, tables: int, check: Check | None) -> DataFrame:
-    """doc_id, fp (the first key), keys (8 bytes for each table), sketch (the check's bits, or empty).
+    """doc_id, copy (hash of the text), fp (the first key), keys (8 bytes for each table), sketch (the check's bits, or empty).
 
     With ``check`` also n, mark and bands (size, sum of mixed hashes and MinHash keys of the shingle set) and text.
     """
     plan = ((shingle, tables),) + (((check.shingle, check.words),) if check else ())
-    schema = "doc_id long, fp long, keys binary, sketch binary" + (", n long, mark long, bands array<long>, text binary" if check else "")
+    schema = "doc_id long, copy long, fp long, keys binary, sketch binary" + (", n long, mark long, bands array<long>, text binary" if check else "")
     names = [x.split()[0] for x in schema.split(", ")]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,9 +200,9 @@ def fingerprint_table(docs: DataFrame, shingle: int, tables: int, check: Check |
                     keys = simhash.band_keys(hashes, at, check.bands, check.rows)
                     lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * check.bands), pa.array(keys.reshape(-1).view(np.int64)))
                     parts += [pa.array(np.diff(at)), pa.array((total[at[1:]] - total[at[:-1]]).view(np.int64)), lists, text]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], first, *parts], names)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(2)[a:b], first, *parts], names)
 
-    return common.id_and_bytes(docs).mapInArrow(make, schema)
+    return common.id_and_bytes(docs).withColumn("copy", F.xxhash64("text")).mapInArrow(make, schema)
 
 
 def _similar(spark: SparkSession, pairs: DataFrame, texts: DataFrame, check: Check) -> DataFrame:
@@ -284,6 +284,12 @@ def near_duplicates(
     check: Check | None = None,
 ) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for each row of ``docs`` (doc_id, text)."""
+    found = _labelled(spark, docs, shingle, radius, tables, check)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _labelled(spark: SparkSession, docs: DataFrame, shingle: int = 3, radius: int = 2, tables: int = 1, check: Check | None = None) -> DataFrame:
+    """doc_id, copy, fp, component_id and component (its name, also where doc_ids are reused or null) for each row."""
     common.prepare(spark)
     path, class_path = common.scratch(spark, "fingerprints"), common.scratch(spark, "classes")
     # a class: texts with equal keys (and sketch and shingle set), named by their hash and known by the smallest doc_id
@@ -326,18 +332,20 @@ def near_duplicates(
     # only linked classes have a root; the least doc_id of each root is a small table of its own, so that the join
     # with a very large component has two shuffled sides, which adaptive execution can split
     smallest = classes.join(roots, "node").groupBy("root").agg(F.min("first").alias("least")).checkpoint()
-    linked = roots.join(smallest, "root").select("node", "least")
-    by_class = classes.join(linked, "node", "left").select(*(F.col(c).alias(f"class_{c}") for c in same), F.coalesce("least", "first").alias("component_id"))
+    linked = roots.join(smallest, "root").select("node", "root", "least")
+    by_class = classes.join(linked, "node", "left").select(*(F.col(c).alias(f"class_{c}") for c in same), F.coalesce("least", "first").alias("component_id"), F.coalesce("root", "node").alias("component"))
     found = table.join(by_class, [F.col(c) == F.col(f"class_{c}") for c in same], "left")
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return found.select("doc_id", "copy", "fp", "component_id", "component")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component (once, if rows repeat).
+    """The row of ``docs`` with the smallest doc_id of each component (once, if rows repeat).
 
+    Where rows of a component share that doc_id but not the text, the one with the smallest xxhash64 of its text stays.
     Rows with a null doc_id stay: nothing says which of their group to keep.
     """
-    found = near_duplicates(spark, docs, **options)
-    leaders = found.where("component_id is not null and doc_id = component_id").select(F.col("doc_id").alias("leader")).distinct()
-    with_id = docs.where("doc_id is not null").join(leaders, F.col("doc_id") == F.col("leader"), "left_semi").dropDuplicates(["doc_id"])
+    found = _labelled(spark, docs, **options)
+    leaders = found.where("component_id is not null and doc_id = component_id").groupBy("component").agg(F.min("doc_id").alias("leader"), F.min("copy").alias("leader_copy"))
+    same = (F.col("doc_id") == F.col("leader")) & (F.xxhash64("text") == F.col("leader_copy"))
+    with_id = docs.where("doc_id is not null").join(leaders, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return with_id.unionByName(docs.where("doc_id is null"))

@@ -535,3 +535,11 @@ def test_checked_links_are_the_pairs_of_similarity_for_every_edit(spark):
     found = vp_simhash.near_duplicates(spark, frame(spark, rows), shingle=2, radius=3, tables=5, check=vp_simhash.Check())
     got = {r["doc_id"]: r["component_id"] for r in found.collect()}
     assert got == wanted and sum(i != c for i, c in got.items()) >= 150
+
+
+def test_rows_that_share_a_doc_id_are_judged_by_their_own_texts(spark):
+    text = [" ".join(f"{x}{k}" for k in range(60)) for x in "abc"]
+    rows = [(3, text[2]), (5, text[0]), (5, text[1]), (5, text[1]), (5, text[2]), (6, text[0]), (7, text[1])]
+    for options in ({}, {"shingle": 2, "radius": 3, "tables": 5, "check": vp_simhash.Check()}):
+        kept = vp_simhash.one_of_each(spark, frame(spark, rows), **options).collect()
+        assert sorted((r["doc_id"], r["text"]) for r in kept) == [(3, text[2]), (5, text[0]), (5, text[1])]
