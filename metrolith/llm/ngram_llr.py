@@ -6,9 +6,8 @@ A document's score is the mean, over its n-grams, of log p_target - log p_raw; i
 that mean reaches ``threshold``.  Counts are integers summed exactly, so scores do not depend on
 how rows are dealt to tasks.
 
-Trusted documents: ``labels.quality = 1``, at most ``trusted_rows`` of them (those with the
-smallest xxhash64 of doc_id); that bound is what makes the broadcast of their ids safe.  The raw
-counts cover all documents.  Without trusted documents every ratio is zero, so the base rules decide.
+Trusted documents: all of ``labels.quality = 1``, joined by their ids.  The raw counts cover all
+documents.  Without trusted documents every ratio is zero, so the base rules decide.
 
 Defined results: a null or empty text, or one without a word, has zero counts and fails the base
 rules (fewer than ``min_words``).  Each input row gives one row; repeated rows and null doc_ids
@@ -27,7 +26,6 @@ from pyspark.sql import functions as F
 from metrolith.llm import common
 
 BUCKETS = 1 << 14
-TRUSTED_ROWS = 20_000
 THRESHOLD = -0.07
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
@@ -117,11 +115,10 @@ def by_text(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
     return total[at[1:]] - total[at[:-1]]
 
 
-def count_grams(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, trusted_rows: int = TRUSTED_ROWS) -> tuple[np.ndarray, np.ndarray]:
+def count_grams(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
     """Raw and target counts by bucket: two arrays of ``buckets`` integers, whatever the input's size."""
     ids = trusted.select(F.col("doc_id").cast("long").alias("trusted_id")).where("trusted_id is not null").distinct()
-    ids = ids.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(trusted_rows)
-    rows = common.id_and_bytes(docs).join(F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left")
+    rows = common.id_and_bytes(docs).join(ids, F.col("doc_id") == F.col("trusted_id"), "left")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
@@ -149,11 +146,10 @@ def quality_rules(
     *,
     buckets: int = BUCKETS,
     threshold: float = THRESHOLD,
-    trusted_rows: int = TRUSTED_ROWS,
 ) -> DataFrame:
     """One row of SCHEMA for each row of ``docs`` (doc_id, text); ``trusted`` has the doc_ids of trusted texts."""
     common.prepare(spark)
-    table = ratio_table(*count_grams(docs, trusted, buckets, trusted_rows))
+    table = ratio_table(*count_grams(docs, trusted, buckets))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in SCHEMA.split(", ")]

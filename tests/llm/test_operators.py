@@ -543,3 +543,9 @@ def test_rows_that_share_a_doc_id_are_judged_by_their_own_texts(spark):
     for options in ({}, {"shingle": 2, "radius": 3, "tables": 5, "check": vp_simhash.Check()}):
         kept = vp_simhash.one_of_each(spark, frame(spark, rows), **options).collect()
         assert sorted((r["doc_id"], r["text"]) for r in kept) == [(3, text[2]), (5, text[0]), (5, text[1])]
+
+
+def test_the_target_counts_every_trusted_document(spark):
+    docs = spark.range(21_000).selectExpr("id as doc_id", "concat('word', id % 50, ' other') as text")
+    raw, target = ngram_llr.count_grams(docs, docs.select("doc_id"))
+    assert raw.sum() == 3 * 21_000 and (raw == target).all()
