@@ -260,11 +260,15 @@ def a21_footpath_stats(spark, sf):
 _EDGES = "ed as (select l_suppkey as src, l_partkey % 100 as dst, min(cast(1000 + l_orderkey * 37 % 5000 as bigint)) as cost from lineitem where l_orderkey % 40 = 0 and l_suppkey <> l_partkey % 100 group by all)"
 
 
-def _edges(spark, sf):
-    line = table(spark, sf, "lineitem").where("l_orderkey % 40 = 0 and l_suppkey <> l_partkey % 100")
+def _least_edges(line):
+    line = line.where("l_suppkey <> l_partkey % 100")
     return line.groupBy(F.col("l_suppkey").alias("src"), (F.col("l_partkey") % 100).alias("dst")).agg(F.min(1000 + F.col("l_orderkey") * 37 % 5000).alias("cost")).withColumn("length", F.col("cost"))
 
 
+def _edges(spark, sf):
+    return _least_edges(table(spark, sf, "lineitem").where("l_orderkey % 40 = 0"))
+
+
 @query(f"with {_EDGES}, o as (select a.src as p, b.dst as r, min(a.cost + b.cost) as over2 from ed a join ed b on a.dst = b.src where a.src <> b.dst group by all) select e.src as p, e.dst as r, e.cost as seconds, o.over2 as over from ed e join o on o.p = e.src and o.r = e.dst where e.cost > o.over2".replace(" as over ", ' as "over" '))
 def g15_open_triangles(spark, sf):
     return links.open_triangles(_edges(spark, sf).select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("cost").alias("seconds")))
@@ -286,18 +290,21 @@ def g2_search_by_joins(spark, sf):
 
 @query()
 def g5_station_matrix(spark, sf):
-    stops = table(spark, sf, "supplier").where("s_suppkey % 5 = 0").select(F.col("s_suppkey").alias("station"), F.col("s_suppkey").alias("node"), (F.col("s_suppkey") % 90).alias("leg"))
-    return graph.station_matrix(spark, _edges(spark, sf), stops)
+    stops = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("station"), F.col("s_suppkey").alias("node"), (F.col("s_suppkey") % 90).alias("leg"))
+    return graph.station_matrix(spark, _least_edges(table(spark, sf, "lineitem")), stops)
 
 
 _SPARSE = "sp as (select distinct l_orderkey % 3000 as src, (l_orderkey * 7 + l_linenumber) % 3000 as dst from lineitem where l_orderkey % 31 = 0)"
 
 
-def _sparse(spark, sf):
-    line = table(spark, sf, "lineitem").where("l_orderkey % 31 = 0")
+def _ring(line):
     return line.select((F.col("l_orderkey") % 3000).alias("src"), ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 3000).alias("dst")).distinct()
 
 
+def _sparse(spark, sf):
+    return _ring(table(spark, sf, "lineitem").where("l_orderkey % 31 = 0"))
+
+
 @query(f"""with recursive {_SPARSE}, pairs as (select src, dst from sp union select dst, src from sp), reach as (select src as node, src as seen from pairs union select r.node, b.dst from reach r join pairs b on b.src = r.seen) select node, least(min(seen), node) as root from reach group by node""")
 def g9_components(spark, sf):
     return graph.components(spark, _sparse(spark, sf))
