@@ -312,7 +312,7 @@ def g9_components(spark, sf):
 
 @query()
 def g9_strong_components(spark, sf):
-    return graph.strong_components_of(spark, _sparse(spark, sf))
+    return graph.strong_components_of(spark, _ring(table(spark, sf, "lineitem")))
 
 
 @query("""with w as (select l_suppkey as component, l_linenumber as region, cast(sum(l_partkey) as bigint) as length from lineitem group by all), t as (select component, sum(length) as total from w group by 1), f as (select distinct component from (select region, component, row_number() over (partition by region order by length desc, component) as rn from w) where rn = 1)
@@ -336,8 +336,8 @@ def g13_snap_grid(spark, sf):
 
 @query()
 def w13_street_chains(spark, sf):
-    line = table(spark, sf, "lineitem").where("l_orderkey % 60 = 0")
-    pieces = line.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("piece"), F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"), F.col("l_returnflag").alias("attributes")).dropDuplicates(["piece"])
+    line = table(spark, sf, "lineitem")
+    pieces = line.groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("piece")).agg(F.min("l_returnflag").alias("attributes"))
     return graph.merge_chains(spark, pieces.select("piece", F.col("piece").alias("a"), (F.col("piece") + 1).alias("b"), "attributes"))
 
 

@@ -15,6 +15,44 @@ def line():
     return pd.read_parquet(f"{SF}/lineitem.parquet")
 
 
+def reached(pairs):
+    """For each node those that a path leads to, itself included."""
+    out = {}
+    for a, b in pairs:
+        out.setdefault(a, set()).add(b)
+        out.setdefault(b, set())
+    found = {}
+    for start in out:
+        seen, todo = {start}, [start]
+        while todo:
+            new = out[todo.pop()] - seen
+            seen |= new
+            todo += new
+        found[start] = seen
+    return found
+
+
+def test_strong_components_of_all_rows(spark, line):
+    pairs = set(zip(line.l_orderkey % 3000, (line.l_orderkey * 7 + line.l_linenumber) % 3000))
+    to, back = reached(pairs), reached({(b, a) for a, b in pairs})
+    got = {r["node"]: r["root"] for r in catalog.QUERIES["g9_strong_components"](spark, SF).collect()}
+    groups = {}
+    for node, root in got.items():
+        groups.setdefault(root, set()).add(node)
+    assert set(got) == set(to) and all(groups[got[n]] == to[n] & back[n] for n in to)
+
+
+def test_street_chains_of_all_rows(spark, line):
+    pieces = {}
+    for o, n, f in zip(line.l_orderkey, line.l_linenumber, line.l_returnflag):
+        pieces[10 * o + n] = min(f, pieces.get(10 * o + n, f))
+    chain = {}
+    for p in sorted(pieces):
+        chain[p] = chain[p - 1] if pieces.get(p - 1) == pieces[p] else p
+    got = {r["piece"]: r["chain"] for r in catalog.QUERIES["w13_street_chains"](spark, SF).collect()}
+    assert got == chain
+
+
 def test_station_matrix_of_all_rows(spark, line):
     cost = {}
     for o, s, p in zip(line.l_orderkey, line.l_suppkey, line.l_partkey):
