@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from metrolith.session import checkpoint_root, ship_package
 
-#: Rows of an Arrow batch. Texts may be long, so batches are kept short.
+#: Rows and bytes of an Arrow batch. Texts may be long, so batches are kept short.
 BATCH_ROWS = 1000
+BATCH_BYTES = 4_000_000
+#: Bytes of text that are worked on at a time; what Python holds besides is some ten times as much.
+SLICE_BYTES = 1_500_000
 #: Stands for a null doc_id where documents are ordered: after every other.
 LAST_ID = 2**63 - 1
 
@@ -23,6 +26,7 @@ def prepare(spark: SparkSession) -> None:
     """Ship the package and bound Arrow batches; call before building a plan with Python in it."""
     ship_package(spark)
     checkpoint_root(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
@@ -116,7 +120,7 @@ def scan_words(column: pa.Array, hashed: bool = True, lower: bool = False) -> Wo
     return Words(data, at, starts, ends, np.searchsorted(starts, at), hash_spans(data, starts, ends) if hashed else np.empty(0, np.uint64), is_word)
 
 
-def slices(column: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``most`` bytes, or one row."""
     _, at = binary_parts(column)
     a = 0

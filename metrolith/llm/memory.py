@@ -9,9 +9,11 @@ import pandas as pd
 
 from metrolith.llm import common
 
-#: Spans that are remembered; the memory is emptied when full.
-MOST_SPANS = 3_000_000
-_YOUNG = 150_000
+#: Bytes that a memory holds, about; it is emptied when full.
+MOST_BYTES = 48_000_000
+_YOUNG = 50_000
+#: A settled span's hashes, place and size; a young one's, as Python numbers in a dict and three lists.
+_OLD_BYTES, _YOUNG_BYTES = 28, 260
 
 
 def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -40,7 +42,7 @@ def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
 class SpanMemory:
     """What ``make`` turns distinct spans into (arrays of ``kind``), found again by two 64-bit hashes."""
 
-    def __init__(self, make: Callable[[list[bytes]], list[np.ndarray]], kind: type, most: int = MOST_SPANS):
+    def __init__(self, make: Callable[[list[bytes]], list[np.ndarray]], kind: type, most: int = MOST_BYTES):
         self.make, self.kind, self.most = make, kind, most
         self.clear()
 
@@ -55,9 +57,12 @@ class SpanMemory:
         self.tail: list[np.ndarray] = []
         self.end = 0
 
+    def held(self) -> int:
+        return _OLD_BYTES * len(self.key) + _YOUNG_BYTES * len(self.young) + self.pool.nbytes
+
     def find(self, hashes: np.ndarray, second: np.ndarray, span: Callable[[int], bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(pool, start, size) of distinct spans; ``span(i)`` gives the bytes of one that is not known."""
-        if len(self.key) + len(self.young) + len(hashes) > self.most:
+        if self.held() > self.most:
             self.clear()
         start, size = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
         at = np.searchsorted(self.key, hashes)

@@ -20,6 +20,8 @@ import sentencepiece
 
 MARK = "▁"
 _NONE = float("-inf")
+#: Remembered pairs of neighbouring pieces, some hundred bytes each.
+MOST_JOINS = 250_000
 
 
 def _fields(raw: bytes):
@@ -99,7 +101,7 @@ class Model:
             return True
         after = self._joins.get(left)
         if after is None:
-            if self._n_joins > 1_000_000:
+            if self._n_joins > MOST_JOINS:
                 self._joins.clear()
                 self._n_joins = 0
             after = self._joins[left] = {}

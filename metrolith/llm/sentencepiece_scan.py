@@ -180,20 +180,27 @@ def borders(text: str, size: int) -> list[int]:
     return [*out, len(text)]
 
 
-def encode(spark: SparkSession, docs: DataFrame, *, model: str = MODEL, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
-    """doc_id, ids (array of int), n_chunks for each row of ``docs`` (doc_id, text)."""
+def encode(spark: SparkSession, docs: DataFrame, *, model: str = MODEL, giant: int = GIANT, chunk: int = CHUNK, decoded: bool = False) -> DataFrame:
+    """doc_id, ids (array of int), n_chunks for each row of ``docs`` (doc_id, text).
+
+    ``decoded`` adds what the ids decode to, made where they are made, so that no task runs two Python workers.
+    """
     common.prepare(spark)
     rows = common.id_and_bytes(docs)
+    schema = "doc_id long, ids array<int>, n_chunks int" + ", decoded string" * decoded
 
     def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(model)
         for batch in batches:
-            for a, b in common.slices(batch.column(1), 2_000_000):
+            for a, b in common.slices(batch.column(1), 1_000_000):
                 ids, offsets = tool.column(batch.column(1)[a:b])
                 listed = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], listed, pa.array(np.ones(b - a, np.int32))], ["doc_id", "ids", "n_chunks"])
+                columns = [batch.column(0)[a:b], listed, pa.array(np.ones(b - a, np.int32))]
+                if decoded:
+                    columns.append(_as_string(tool.decoded(ids, offsets)))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "n_chunks", "decoded"][: len(columns)])
 
-    small = rows.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= giant).mapInArrow(here, "doc_id long, ids array<int>, n_chunks int")
+    small = rows.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= giant).mapInArrow(here, schema)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = encoder(model).model
@@ -241,7 +248,14 @@ def encode(spark: SparkSession, docs: DataFrame, *, model: str = MODEL, giant: i
     placed = chunks.join(states, (F.col("copy") == F.col("of_copy")) & (F.col("chunk") == F.col("of_chunk"))).drop("of_copy", "of_chunk")
     traced = placed.mapInArrow(trace, "copy string, doc_id long, chunk int, ids array<int>")
     whole = traced.groupBy("copy").agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
-    return small.unionByName(whole.select("doc_id", F.flatten("parts.ids").alias("ids"), F.size("parts").alias("n_chunks")))
+    whole = whole.select("doc_id", F.flatten("parts.ids").alias("ids"), F.size("parts").alias("n_chunks"))
+    if decoded:
+        whole = decode(spark, whole.withColumn("read", F.col("ids")), model=model, ids="read")
+    return small.unionByName(whole)
+
+
+def _as_string(texts: pa.Array) -> pa.Array:
+    return texts.cast(pa.large_string()).cast(pa.string())
 
 
 def decode(spark: SparkSession, encoded: DataFrame, *, model: str = MODEL, ids: str = "ids") -> DataFrame:
@@ -258,6 +272,6 @@ def decode(spark: SparkSession, encoded: DataFrame, *, model: str = MODEL, ids:
                 column = column.fill_null([])
             offsets = np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
             texts = tool.decoded(column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), offsets)
-            yield pa.RecordBatch.from_arrays([texts.cast(pa.large_string()).cast(pa.string()), *batch.columns[1:]], ["decoded", *others])
+            yield pa.RecordBatch.from_arrays([_as_string(texts), *batch.columns[1:]], ["decoded", *others])
 
     return encoded.select(ids, *others).mapInArrow(run, ", ".join(["decoded string", *(f"`{c}` {kinds[c]}" for c in others)]))
