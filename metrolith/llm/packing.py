@@ -9,7 +9,8 @@ bounded number; in a shard, from the longest piece to the shortest:
   with the least cost for each filled token is opened (ties: the shorter).  A bin costs its length and ``overhead``;
 * in the end each bin is cut down to the shortest permitted length that holds its contents.
 
-A shard's pieces are a bounded group, so no task grows with the input; every piece is packed.
+Equal rows are counted and numbered first, and the number is part of the hash, so a shard's pieces are a bounded group
+even if one row makes up a third of the input; no task grows with the input, and every piece is packed.
 
 Defined results: each input row is packed, rows that repeat included; a null length counts as 0 and gets one empty
 piece, so every row is found in the result.  Only doc_id and the length are read.
@@ -30,6 +31,8 @@ from metrolith.llm import common, tokens
 CAPACITIES = (512, 1024, 2048, 4096)
 OVERHEAD = 32
 SHARD_PIECES = 20_000
+#: Equal rows that are numbered together.
+COPY_BLOCK = 4_096
 
 SCHEMA = "doc_id long, piece long, start long, n_tokens long, bin long, capacity int, position long"
 
@@ -88,15 +91,21 @@ def best_fit(spark: SparkSession, lengths: DataFrame, *, capacities: tuple[int,
     common.prepare(spark)
     most = max(capacities)
     rows = lengths.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)).alias("whole"))
-    # rows may repeat: number the copies, so that equal rows are pieces of their own
+    # rows may repeat: number the copies, so that equal rows are pieces of their own and are dealt to all shards; a row
+    # of very many copies is first split into blocks of them, which go to different tasks
+    copies = rows.groupBy("doc_id", "whole").agg(F.count("*").alias("copies"))
     cut = F.greatest(F.ceil(F.col("whole") / most), F.lit(1)).cast("long")
-    parts = rows.select("doc_id", "whole", F.explode(F.sequence(F.lit(0).cast("long"), cut - 1)).alias("piece"))
-    parts = parts.select("doc_id", "piece", (F.col("piece") * most).alias("start"), F.least(F.col("whole") - F.col("piece") * most, F.lit(most).cast("long")).alias("n_tokens"))
-    shards = max(1, -(-parts.count() // shard_pieces))
-    dealt = parts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "n_tokens"), F.lit(shards)))
+    total = copies.agg(F.coalesce(F.sum(F.col("copies") * cut), F.lit(0)).alias("n")).first()["n"]
+    shards = max(1, -(-total // shard_pieces))
+    several = copies.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPY_BLOCK)))).repartition("doc_id", "whole", "block")
+    last = F.least((F.col("block") + 1) * COPY_BLOCK, F.col("copies")) - 1
+    numbered = several.select("doc_id", "whole", F.explode(F.sequence(F.col("block") * COPY_BLOCK, last)).alias("copy"))
+    parts = numbered.select("doc_id", "whole", "copy", F.explode(F.sequence(F.lit(0).cast("long"), cut - 1)).alias("piece"))
+    parts = parts.select("doc_id", "copy", "piece", (F.col("piece") * most).alias("start"), F.least(F.col("whole") - F.col("piece") * most, F.lit(most).cast("long")).alias("n_tokens"))
+    dealt = parts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "copy", "piece", "n_tokens"), F.lit(shards)))
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
+        table = table.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("copy", "ascending")])
         bins, places, sizes = pack(table.column("n_tokens").to_pylist(), capacities, overhead)
         number = np.array(bins, np.int64)
         shard = table.column("shard").to_numpy()
