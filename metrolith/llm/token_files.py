@@ -7,12 +7,12 @@ A file set is a folder in any store that Spark writes to:
   lanes, checkpoints, checksum) and pieces: which document each run of ids belongs to;
 * ``shards``  (shard, base, n_tokens): ids of all shards before it.
 
-Shards are ranges of doc_id in ascending order (null last), made by a range shuffle; ids run on from shard to shard.
+Shards are ranges of doc_id in ascending order (null last), made by a range shuffle that can also part the rows of one doc_id; ids run on from shard to shard.
 Blocks hold a fixed number of ids, whatever documents these belong to, so a very long document is
 many blocks.  Any block can be decoded without the others.
 
 Defined results: a null or empty text is the end id alone.  Rows that repeat a doc_id are documents of their
-own, in the order of their ids.  Columns other than doc_id and text are not read.  An empty table gives an empty file set.
+own, in the order in which they were read.  Columns other than doc_id and text are not read.  An empty table gives an empty file set.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from metrolith.llm import common, rans, tokens
 
 SHARD_BYTES = 16_000_000
+#: Shards at most; beyond it they grow, which costs no memory, since a shard is coded block by block.
+MOST_SHARDS = 20_000
 #: Blocks that are coded side by side.
 TOGETHER = 32
 
@@ -38,18 +40,20 @@ _PIECE = np.dtype([("row", "<i8"), ("doc_id", "<i8"), ("null", "<i8"), ("part",
 
 
 def stash_ids(spark: SparkSession, docs: DataFrame, path: str, model: str, end_id: int | None) -> DataFrame:
-    """doc_id and ids (binary) of every text, written in the shared folder: each text is tokenized once."""
+    """doc_id, ids (binary) and row (a number of its own) of every text, written in the shared folder: each text is tokenized once."""
     kind = np.uint16 if tokens.model(model).size <= 1 << 16 else np.uint32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for a, b in common.slices(batch.column(1)):
                 found = tokens.Tokens(batch.column(1)[a:b], model, end_id)
                 offsets = found.offsets.astype(np.int64) * kind().itemsize
                 held = pa.Array.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(found.ids().astype(kind).tobytes())])
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], held.cast(pa.binary())], ["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], held.cast(pa.binary()), pa.array(np.arange(row, row + b - a))], ["doc_id", "ids", "row"])
+                row += b - a
 
-    rows = common.id_and_bytes(docs).mapInArrow(run, "doc_id long, ids binary")
+    rows = common.id_and_bytes(docs).mapInArrow(run, "doc_id long, ids binary, row long")
     rows.write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
@@ -131,7 +135,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, path: str, *, model: str
     counts = count_ids(stash, size)
     table = rans.Table(rans.quantise(counts))
     spark.createDataFrame([(int(i), int(table.frequency[i])) for i in np.flatnonzero(table.frequency)], "symbol int, frequency int").coalesce(1).write.parquet(f"{path}/table")
-    shards = max(1, math.ceil(int(counts.sum()) * 3 / SHARD_BYTES))
+    shards = min(MOST_SHARDS, max(1, math.ceil(int(counts.sum()) * 3 / SHARD_BYTES)))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = _Shard(TaskContext.get().partitionId(), table)
@@ -147,8 +151,9 @@ def write_tokens(spark: SparkSession, docs: DataFrame, path: str, *, model: str
         if (rows := shard.flush(True)) is not None:
             yield rows
 
-    order = [F.col("doc_id").asc_nulls_last(), F.col("ids")]
-    ranged = stash.repartitionByRange(shards, F.col("doc_id").asc_nulls_last()).sortWithinPartitions(*order)
+    # the stash is written, so a row's number there is the same whenever it is read; it parts the rows of one doc_id
+    order = [F.col("doc_id").asc_nulls_last(), F.col("row")]
+    ranged = stash.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "ids")
     ranged.mapInArrow(make, _BLOCKS).write.parquet(f"{path}/blocks")
     totals = spark.read.parquet(f"{path}/blocks").groupBy("shard").agg(F.sum("n_tokens").alias("n_tokens"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
