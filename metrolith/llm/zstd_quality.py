@@ -8,11 +8,14 @@ own compression ratio, fitted on labelled texts that the dictionaries have not s
 
 Labels are learned from rows with crc32(doc_id as text) mod 4 != 2 only, at most ``FIT_ROWS`` of each label
 (those with the smallest xxhash64 of doc_id), ``FIT_BYTES`` of text in all for each label and use: a
-documented bound on the fit.  Scores are made for every document from its text alone.
+documented bound on the fit.  The labels themselves are all counted, and the curve's constant is moved from the
+odds in the sample to the odds among all of them, so scores stay probabilities whatever share the sample is.
+Scores are made for every document from its text alone.
 
 Defined results: a null or empty text gets the score of the feature's zero point; one row for each
 input row, repeated rows and null doc_ids (held_out false) included.  Without both labels in the fit all scores
-are the share of good labels (0.5 without any).  Columns other than doc_id, text and quality are not read.
+are the share of good labels (0.5 without any).  A doc_id with both labels says nothing and is left out of the
+fit.  Columns other than doc_id, text and quality are not read.
 """
 
 from __future__ import annotations
@@ -109,12 +112,16 @@ def dictionary(texts: list[bytes], size: int = DICT_BYTES) -> bytes:
         return b"\n".join(blocks)[-size:]
 
 
-def fit(rows: list[tuple[int, bytes, int]]) -> Model:
-    """Fit on (doc_id, text, quality): even places build dictionaries, odd ones calibrate."""
+def fit(rows: list[tuple[int, bytes, int]], counts: tuple[int, int] | None = None) -> Model:
+    """Fit on (doc_id, text, quality): even places build dictionaries, odd ones calibrate.
+
+    ``counts`` are the numbers of all bad and good labels that the rows are a sample of.
+    """
     rows = sorted((r for r in rows if r[1]), key=lambda r: (zlib.crc32(b"%d" % r[0]), r[0]))
     sides = {q: [r[1] for r in rows if r[2] == q] for q in (0, 1)}
     if not all(len(s) >= 2 for s in sides.values()):
-        share = len(sides[1]) / len(rows) if rows else 0.5
+        seen = counts if counts and sum(counts) else (len(sides[0]), len(sides[1]))
+        share = seen[1] / sum(seen) if sum(seen) else 0.5
         share = min(max(share, 0.01), 0.99)
         return Model(b"", b"", (float(np.log(share / (1 - share))), 0.0, 0.0))
     good, bad = (dictionary(sides[q][::2]) for q in (1, 0))
@@ -124,33 +131,42 @@ def fit(rows: list[tuple[int, bytes, int]]) -> Model:
         for text in sides[q][1::2]:
             x.append(features(len(text), *scorer.sizes(text)))
             y.append(q)
-    return Model(good, bad, logistic(np.array(x), np.array(y, float)))
+    weights = logistic(np.array(x), np.array(y, float))
+    if counts and all(counts):
+        weights = (weights[0] + float(np.log(counts[1] / counts[0]) - np.log(sum(y) / (len(y) - sum(y)))), *weights[1:])
+    return Model(good, bad, weights)
 
 
-def fit_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, size: int = FIT_BYTES) -> list[tuple[int, bytes, int]]:
-    """The bounded sample that the classifier is fitted on."""
+def fit_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, size: int = FIT_BYTES) -> tuple[list[tuple[int, bytes, int]], tuple[int, int]]:
+    """The bounded sample that the classifier is fitted on, and the numbers of all bad and good labels."""
     asked = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("quality"))
-    asked = asked.where("label_id is not null and quality in (0, 1) and crc32(cast(label_id as string)) % 4 <> 2").distinct()
+    asked = asked.where("label_id is not null and quality in (0, 1) and crc32(cast(label_id as string)) % 4 <> 2")
+    asked = asked.groupBy("label_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other").drop("other")
+    n = asked.agg(F.count_if(F.col("quality") == 0).alias("bad"), F.count_if(F.col("quality") == 1).alias("good")).first()
     picked = None
     for q in (0, 1):
         part = asked.where(F.col("quality") == q).orderBy(F.xxhash64("label_id"), "label_id").limit(rows)
         picked = part if picked is None else picked.unionByName(part)
     found = common.id_and_bytes(docs).join(F.broadcast(picked), F.col("doc_id") == F.col("label_id"))
-    found = found.select("doc_id", "text", "quality", F.octet_length("text").alias("size")).where("size > 0")
-    kept, total = [], {0: 0, 1: 0}
-    order = found.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id", "quality", "size")
-    for r in order.collect():  # at most 2 * rows short rows
-        if total[r["quality"]] + r["size"] <= 2 * size:
-            total[r["quality"]] += r["size"]
-            kept.append(r["doc_id"])
-    texts = found.where(F.col("doc_id").isin(kept)).select("doc_id", "text", "quality").collect() if kept else []
-    return [(r["doc_id"], bytes(r["text"]), r["quality"]) for r in texts]
+    found = found.select("doc_id", F.xxhash64("text").alias("copy"), "text", "quality", F.octet_length("text").alias("size")).where("size > 0")
+    # a label whose doc_id is reused holds for each of its texts; at most as many short rows as there are picked labels
+    order = found.groupBy("doc_id", "quality").agg(F.min(F.struct("copy", "size")).alias("one")).orderBy(F.xxhash64("doc_id"), "doc_id")
+    kept, total = {}, {0: 0, 1: 0}
+    for r in order.collect():
+        if total[r["quality"]] + r["one"]["size"] <= 2 * size:
+            total[r["quality"]] += r["one"]["size"]
+            kept[r["doc_id"]] = r["one"]["copy"]
+    if not kept:
+        return [], (n["bad"], n["good"])
+    chosen = F.col("doc_id").isin(list(kept)) & F.col("copy").isin(list(kept.values()))
+    texts = found.where(chosen).groupBy("doc_id", "copy", "quality").agg(F.first("text").alias("text"))
+    return [(r["doc_id"], bytes(r["text"]), r["quality"]) for r in texts.collect() if kept[r["doc_id"]] == r["copy"]], (n["bad"], n["good"])
 
 
 def quality_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row of SCHEMA for each row of ``docs`` (doc_id, text), with labels (doc_id, quality)."""
     common.prepare(spark)
-    model = fit(fit_rows(docs, labels))
+    model = fit(*fit_rows(docs, labels))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = model.scorer()
