@@ -4,7 +4,7 @@ A window is ``width`` consecutive words of one text.  Every word is removed that
 start somewhere in a document with a smaller doc_id; windows are judged on the input.
 
 ``recompress`` gives each window a symbol that only the window's words decide, so equal windows carry
-equal symbols.  Documents are dealt into batches by a hash of doc_id, and names into buckets:
+equal symbols.  Documents are dealt into batches by a hash of doc_id and text, and names into buckets:
 
 1. each batch sends, for each symbol name and span (all its windows with their places) that it holds,
    one row entry with its smallest doc_id - so a passage that a third of all documents share is one entry a batch;
@@ -19,7 +19,7 @@ gathered on the driver but the number of bytes.  Comparisons are by 64-bit hashe
 
 Defined results: null and empty texts have no words (n_words 0, kept_text empty).  Rows that share a doc_id do not
 remove each other's words.  A null doc_id counts as larger than any other.  Every input row gives one row;
-columns other than doc_id and text are returned only if named in ``carry``.
+columns other than doc_id and text are returned only if named in ``carry`` (as ``input_<name>`` if a result has that name).
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from metrolith.llm import common, recompress
 
@@ -77,6 +78,12 @@ def _groups(sorted_keys: list[np.ndarray]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _runs(sorted_keys: np.ndarray) -> list[tuple[int, int, int]]:
+    """(key, begin, end) of each run of equal keys."""
+    begin = _groups([sorted_keys])
+    return list(zip(sorted_keys[begin].tolist(), begin.tolist(), np.append(begin[1:], len(sorted_keys)).tolist()))
+
+
 class Batch:
     """The windows of one batch of documents and their classes (symbol name, span)."""
 
@@ -100,15 +107,14 @@ class Batch:
         self.name, self.span, self.bucket = name[first], span[first], bucket[first]
         self.least = np.minimum.reduceat(holder[order], begin) if len(begin) else np.empty(0, np.int64)
         self.several = np.zeros(len(first), bool)
-        self.bucket_at = np.searchsorted(self.bucket, np.arange(buckets + 1))
 
     def requests(self) -> list[tuple[int, int, int, bytes]]:
         """For every bucket the batch has classes in: their names, spans and smallest doc_ids."""
-        return [(int(k), self.number, int(k), pack(self.name[a:b], self.span[a:b], self.least[a:b])) for k in np.unique(self.bucket) for a, b in [(self.bucket_at[k], self.bucket_at[k + 1])]]
+        return [(k, self.number, k, pack(self.name[a:b], self.span[a:b], self.least[a:b])) for k, a, b in _runs(self.bucket)]
 
     def learn(self, bucket: int, payload: bytes) -> None:
         place, least, several = unpack(payload, np.int64, np.int64, np.uint8)
-        at = self.bucket_at[bucket] + place
+        at = np.searchsorted(self.bucket, bucket) + place
         self.least[at] = least
         self.several[at] = several.astype(bool)
 
@@ -198,9 +204,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, *, width: int = WIDTH,
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     batches = max(1, math.ceil(size / BATCH_BYTES))
     buckets = max(1, math.ceil(size / BUCKET_BYTES))
-    kept = [F.col(c).alias(f"carried_{i}") for i, c in enumerate(carry)]
+    kept = [F.col(f"`{c}`").alias(f"carried_{i}") for i, c in enumerate(carry)]
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), *kept)
-    dealt = dealt.withColumn("batch", F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(batches)))
+    dealt = dealt.withColumn("batch", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(batches)))
     spill = 1 << 40  # parcels that a batch sends to itself go to groups of their own
 
     def ask(table: pa.Table) -> pa.Table:
@@ -221,8 +227,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, *, width: int = WIDTH,
             return parcels([])
         batch, classes, _ = taught(table, replies)
         _, keys, least, _ = batch.doubtful(buckets)
-        at = np.searchsorted(batch.key_bucket, np.arange(buckets + 1))
-        rows = [(int(k), batch.number, -1 - int(k), pack(keys[at[k] : at[k + 1]], least[at[k] : at[k + 1]])) for k in np.unique(batch.key_bucket)]
+        rows = [(k, batch.number, -1 - k, pack(keys[a:b], least[a:b])) for k, a, b in _runs(batch.key_bucket)]
         return parcels(rows + [(spill + batch.number, batch.number, k, p) for k, p in classes])
 
     def pass_on(table: pa.Table) -> pa.Table:
@@ -235,10 +240,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, *, width: int = WIDTH,
         w = batch.windows
         gone = batch.holder > batch.least[batch.of_window]
         rows, keys, least, rank = batch.doubtful(buckets)
-        at = np.searchsorted(batch.key_bucket, np.arange(buckets + 1))
         for k, payload in told:
             place, low, _ = unpack(payload, np.int64, np.int64, np.uint8)
-            least[at[-1 - k] + place] = low
+            least[np.searchsorted(batch.key_bucket, -1 - k) + place] = low
         if len(rows):
             gone[rows] |= least[rank] < batch.holder[rows]
         edge = np.bincount(w.start[gone], minlength=len(batch.words.hashes) + width + 1)
@@ -256,7 +260,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, *, width: int = WIDTH,
     first = dealt.groupBy("batch").applyInArrow(ask, _PARCEL_SQL).groupBy("dest").applyInArrow(answer_classes, _PARCEL_SQL)
     asked = dealt.groupBy("batch").cogroup(first.groupBy("batch")).applyInArrow(ask_windows, _PARCEL_SQL)
     second = asked.groupBy("dest").applyInArrow(pass_on, _PARCEL_SQL)
-    kinds = dict(docs.dtypes)
-    schema = "doc_id long, n_words long, n_removed long, kept_text string" + "".join(f", carried_{i} {kinds[c]}" for i, c in enumerate(carry))
+    schema = T.StructType([T.StructField(n, T.StringType() if n == "kept_text" else T.LongType()) for n in names[:4]])
+    for i, c in enumerate(carry):
+        schema = schema.add(f"carried_{i}", docs.schema[c].dataType)
     out = dealt.groupBy("batch").cogroup(second.groupBy("batch")).applyInArrow(finish, schema)
-    return out.select("doc_id", "n_words", "n_removed", "kept_text", *(F.col(f"carried_{i}").alias(c) for i, c in enumerate(carry)))
+    named = ["doc_id", "n_words", "n_removed", "kept_text"]
+    return out.select(*named, *(F.col(f"carried_{i}").alias(f"input_{c}" if c in named else c) for i, c in enumerate(carry)))
