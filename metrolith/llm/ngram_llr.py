@@ -6,7 +6,8 @@ A document's score is the mean, over its n-grams, of log p_target - log p_raw; i
 that mean reaches ``threshold``.  Counts are integers summed exactly, so scores do not depend on
 how rows are dealt to tasks.
 
-Trusted documents: all of ``labels.quality = 1``, joined by their ids.  The raw counts cover all
+Trusted documents: all of ``labels.quality = 1``, joined by their ids (sent to every task up to a counted
+number of them, else by a shuffle; the counts are the same).  The raw counts cover all
 documents.  Without trusted documents every ratio is zero, so the base rules decide.
 
 Defined results: a null or empty text, or one without a word, has zero counts and fails the base
@@ -27,6 +28,8 @@ from metrolith.llm import common
 
 BUCKETS = 1 << 14
 THRESHOLD = -0.07
+#: Trusted ids are broadcast only up to this number (8 bytes each).
+BROADCAST_IDS = 1_000_000
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 SYMBOLS = b"#*$%&|<>"
@@ -118,6 +121,8 @@ def by_text(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
 def count_grams(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
     """Raw and target counts by bucket: two arrays of ``buckets`` integers, whatever the input's size."""
     ids = trusted.select(F.col("doc_id").cast("long").alias("trusted_id")).where("trusted_id is not null").distinct()
+    # counted first: so many ids are sent to every task, more are joined by a shuffle
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     rows = common.id_and_bytes(docs).join(ids, F.col("doc_id") == F.col("trusted_id"), "left")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
