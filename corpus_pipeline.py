@@ -6,7 +6,12 @@
 4. substring dedup: 13-word windows that an earlier document has are taken out, documents left without a word go;
 5. packing: the tokens of what is left are packed into sequences.
 
-Stages 1 to 4 return the columns of ``documents``; n_chars is kept true to the text.
+Stages 1 to 4 return the columns of ``documents``, whatever their names; n_chars is kept true to the text.
+
+Defined results: an empty table gives an empty one.  Quality rules reject null, empty and very short texts (too few
+words); the other stages let a null or empty text stay as it is, near-dedup one of all without a word.  Rows may share a doc_id:
+they do not remove each other's words, and each is judged by its own text; of rows that are equal in doc_id and text one stays.  A null doc_id
+counts as larger than any other.
 """
 
 from __future__ import annotations
@@ -20,9 +25,15 @@ from metrolith.llm import common, line_winnow, ngram_llr, packing, substring_ded
 NEAR = {"shingle": 2, "radius": 3, "tables": 5, "check": vp_simhash.Check(shingle=5, similarity=0.8)}
 
 
-def _with_text(found: DataFrame, columns: list[str]) -> DataFrame:
+def _held(docs: DataFrame) -> DataFrame:
+    """doc_id, text and all other columns in one, so that no name of theirs meets one of an operator's."""
+    return docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("document"))
+
+
+def _restored(found: DataFrame, columns: list[str]) -> DataFrame:
     """The documents' columns, with n_chars of the present text where there is such a column."""
-    return found.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in columns))
+    present = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return found.select(*(present.get(c, F.col("document").getField(c)).alias(c) for c in columns))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +42,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = line_winnow.remove_repeated_lines(spark, docs)
-    return _with_text(found.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines"))), docs.columns)
+    found = line_winnow.remove_repeated_lines(spark, _held(docs))
+    return _restored(found.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines"))), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +51,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    found = substring_dedup.remove_repeats(spark, docs, carry=others, keep_layout=True)
+    found = substring_dedup.remove_repeats(spark, _held(docs), carry=("document",), keep_layout=True)
     found = found.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
-    return _with_text(found.withColumnRenamed("kept_text", "text"), docs.columns)
+    return _restored(found.withColumnRenamed("kept_text", "text"), docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,10 +16,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_sentencepiece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and the SHA-256 of what they decode to."""
-    encoded = sentencepiece_scan.encode(spark, _table(spark, sf_dir, "documents"))
-    encoded = encoded.withColumn("kept_ids", F.col("ids"))
-    decoded = sentencepiece_scan.decode(spark, encoded)
-    return decoded.select("doc_id", F.size("kept_ids").alias("n_tokens"), F.col("kept_ids").alias("ids"), "n_chunks", F.sha2("decoded", 256).alias("decoded_sha256"))
+    found = sentencepiece_scan.encode(spark, _table(spark, sf_dir, "documents"), decoded=True)
+    return found.select("doc_id", F.size("ids").alias("n_tokens"), "ids", "n_chunks", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op2_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

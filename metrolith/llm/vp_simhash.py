@@ -17,8 +17,9 @@ With ``check`` a link is a pair of texts whose sets of ``check.shingle``-word sh
   inequality prune.  SimHash bits of the check's shingles pick what is worth counting;
 - MinHash keys: texts of Jaccard s meet in one of ``bands`` keys of ``rows`` least hashes with probability
   1 - (1 - s^rows)^bands, whatever the edit between them (0.99993 at 0.8, more above).
-In each bucket of a MinHash key all are counted against ``HUBS`` of them first; then every pair that is still in
-different components is counted too, so large groups cost no square and no pair that could add a link is left out.
+In each bucket of a MinHash key all are counted against one, then ``HUBS`` of them.  Texts of buckets that still hold
+several components are compared across components, found by the rarest of their own shingles (a prefix filter, exact), so
+neither large groups nor passages that very many texts share cost a square, and no pair that could add a link is left out.
 
 Defined results: null and empty texts have fingerprint zero, linked like any other; texts shorter than a
 shingle are one shingle.  Null doc_ids get a row and count as larger than any other; a
@@ -45,6 +46,8 @@ LEAF = 32_768
 BLOCK = 512
 HUBS = 3
 GIST = 128
+#: Ids are broadcast only up to this number (8 bytes each).
+BROADCAST_IDS = 1_000_000
 
 
 def distances(points: np.ndarray, vantage: np.uint64) -> np.ndarray:
@@ -205,8 +208,14 @@ def fingerprint_table(docs: DataFrame, shingle: int, tables: int, check: Check |
     return common.id_and_bytes(docs).withColumn("copy", F.xxhash64("text")).mapInArrow(make, schema)
 
 
-def _similar(spark: SparkSession, pairs: DataFrame, texts: DataFrame, check: Check) -> DataFrame:
-    """The ``pairs`` (a, b) whose shingle sets are as similar as ``check`` asks; ``texts`` has a text for each node."""
+def _few(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Rows of ids to look up by: sent to every task if they are counted and few, else joined by a shuffle."""
+    rows = rows.checkpoint()
+    return F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows
+
+
+def _shingle_sets(spark: SparkSession, table: DataFrame, nodes: DataFrame, check: Check) -> DataFrame:
+    """node, grams (its distinct shingle hashes), gist (how many of them in each of ``GIST`` parts) of the asked nodes."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,6 +226,15 @@ def _similar(spark: SparkSession, pairs: DataFrame, texts: DataFrame, check: Che
                 gist = np.minimum(counts, 255).astype(np.uint8).reshape(-1, GIST)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[x:y], lists, pa.array([g.tobytes() for g in gist], pa.binary())], ["node", "grams", "gist"])
 
+    path = common.scratch(spark, "shingle-sets")
+    texts = table.select("node", "text").join(_few(spark, nodes.distinct()), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    texts.mapInArrow(make, "node long, grams array<long>, gist binary").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, check: Check) -> DataFrame:
+    """The ``pairs`` (a, b) whose shingle sets are as similar as ``check`` asks."""
+
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # sets differ in at least as many shingles as their counts do, so this drops no pair that is similar enough
         for batch in batches:
@@ -225,10 +243,6 @@ def _similar(spark: SparkSession, pairs: DataFrame, texts: DataFrame, check: Che
             keep = np.abs(p - q).sum(axis=1) <= (1 - check.similarity) / (1 + check.similarity) * sizes + 1e-6
             yield batch.select([0, 1]).filter(pa.array(keep))
 
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    path = common.scratch(spark, "shingle-sets")
-    texts.join(ends, "node", "left_semi").select("node", "text").mapInArrow(make, "node long, grams array<long>, gist binary").write.parquet(path)
-    sets = spark.read.parquet(path)
     for end in ("b", "a"):
         pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("gist").alias(f"gist_{end}"), F.size("grams").alias(f"n_{end}")), end)
     pairs = pairs.select("a", "b", "gist_a", "gist_b", (F.col("n_a") + F.col("n_b")).alias("sizes")).mapInArrow(near, "a long, b long")
@@ -238,40 +252,86 @@ def _similar(spark: SparkSession, pairs: DataFrame, texts: DataFrame, check: Che
     return pairs.where(both / (F.size("grams_a") + F.size("grams_b") - both) >= check.similarity).select("a", "b").checkpoint()
 
 
+def _ordered(rows: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
+    return rows.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct()
+
+
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) whose ends are in different components (node, root; others are their own)."""
+    for end in ("a", "b"):
+        pairs = pairs.join(comps.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    return pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
 def _confirmed(spark: SparkSession, found: DataFrame, table: DataFrame, classes: DataFrame, check: Check) -> DataFrame:
-    """Links (a, b) among classes, each counted on its shingle sets; ``found`` are pairs from elsewhere to count too."""
-    texts = table.groupBy("node").agg(F.first("text").alias("text"))
-    path, tried_path = common.scratch(spark, "buckets"), common.scratch(spark, "pairs")
+    """Links (a, b) among classes, each counted on its shingle sets; ``found`` are pairs from elsewhere to count too.
+
+    Three rounds, each only for what the one before left apart: every text with its best hub, with the other hubs of
+    its buckets, and across the components that still share a bucket.
+    """
+    path, tried_path, found_path = (common.scratch(spark, n) for n in ("buckets", "pairs", "tree-pairs"))
     # the place of a key is part of it (see band_keys); texts without a shingle are one class and have no pair
     members = classes.where("n > 0").select("node", "n", F.explode("bands").alias("key"))
     several = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = members.join(several, "key")
-    # the text in the middle of a group shares the most buckets with others: it is the first hub
+    # the text in the middle of a group shares the most buckets with others: it is the best hub
     weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
     members.join(weights, "node").select("key", "node", "n", "weight").write.parquet(path)
     members = spark.read.parquet(path)
-
-    def pairs(rows: DataFrame) -> DataFrame:
-        """From x and y, structs of node and n: each pair once that can be similar by its sizes."""
-        can = F.least("x.n", "y.n") / F.greatest("x.n", "y.n") >= check.similarity
-        return rows.where((F.col("x.node") != F.col("y.node")) & can).select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
+    found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().write.parquet(found_path)
+    found = spark.read.parquet(found_path)
+    sets = _shingle_sets(spark, table, members.select("node").unionByName(found.select(F.explode(F.array("a", "b")).alias("node"))), check)
 
     orders = [-F.col("weight"), *(F.xxhash64("node", F.lit(k)) for k in range(1, HUBS))]
-    hubs = members.groupBy("key").agg(*(F.min(F.struct(h.alias("h"), "node", "n")).alias(f"hub{k}") for k, h in enumerate(orders)))
-    hubs = hubs.select("key", F.array_distinct(F.array(*(F.struct(f"hub{k}.node", f"hub{k}.n") for k in range(HUBS)))).alias("hubs"))
-    starred = pairs(members.join(hubs, "key").select(F.struct("node", "n").alias("x"), F.explode("hubs").alias("y")))
-    extra = found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    starred.unionByName(extra).distinct().write.parquet(tried_path)
+    hubs = members.groupBy("key").agg(*(F.min(F.struct(h.alias("h"), "node", "n", "weight")).alias(f"hub{k}") for k, h in enumerate(orders)))
+    hubs = hubs.select("key", F.array_distinct(F.array(*(F.struct(f"hub{k}.node", f"hub{k}.n", f"hub{k}.weight") for k in range(HUBS)))).alias("hubs"))
+    starred = members.select("key", "node", "n").join(hubs, "key").select("node", "n", F.explode("hubs").alias("y"))
+    can = F.least("n", "y.n") / F.greatest("n", "y.n") >= check.similarity
+    starred.where((F.col("node") != F.col("y.node")) & can).select(F.col("node").alias("x"), F.col("y.node").alias("y"), "y.weight").distinct().write.parquet(tried_path)
     tried = spark.read.parquet(tried_path)
-    links = _similar(spark, tried, texts, check)
 
-    grouped = members.join(components(spark, links), "node", "left").withColumn("comp", F.coalesce("root", "node")).select("key", "comp", "node", "n")
+    best = tried.groupBy("x").agg(F.max(F.struct("weight", "y")).alias("best")).select("x", F.col("best.y").alias("y"))
+    links = _similar(_ordered(best).unionByName(found).distinct(), sets, check)
+    other = _apart(_ordered(tried), components(spark, links)).join(_ordered(best), ["a", "b"], "left_anti")
+    links = links.unionByName(_similar(other, sets, check))
+
+    comps = components(spark, links)
+    grouped = members.join(comps, "node", "left").withColumn("comp", F.coalesce("root", "node")).select("key", "comp", "node", "n")
     mixed = grouped.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
-    lists = grouped.join(mixed, "key", "left_semi").groupBy("key", "comp").agg(F.collect_list(F.struct("node", "n")).alias("nodes")).checkpoint()
-    one, other = lists.select("key", F.col("comp").alias("c"), F.col("nodes").alias("xs")), lists.select("key", F.col("comp").alias("d"), F.col("nodes").alias("ys"))
-    apart = one.join(other, "key").where("c < d").select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y"))
-    rest = pairs(apart).join(tried, ["a", "b"], "left_anti").checkpoint()
-    return links.unionByName(_similar(spark, rest, texts, check))
+    unsettled = grouped.join(mixed, "key", "left_semi").select("node", "comp", "n").distinct()
+    rest = _across(spark, unsettled, sets, check).join(_ordered(tried), ["a", "b"], "left_anti").checkpoint()
+    return links.unionByName(_similar(rest, sets, check))
+
+
+def _across(spark: SparkSession, unsettled: DataFrame, sets: DataFrame, check: Check) -> DataFrame:
+    """Pairs (a, b) of different components of ``unsettled`` (node, comp, n) that can reach ``check.similarity``.
+
+    A prefix filter: shingles are ordered by the number of components that hold them, then by hash.  Of two sets x, y with
+    |x| <= |y| and similarity t, the first |x| - ceil(2t/(1+t) |x|) + 1 shingles of x and the first
+    |y| - ceil(t |y|) + 1 of y have one in common, whatever the order, so no pair is lost.  A shingle of one component only
+    can't be that one, and what is left of a set without these has to hold the overlap that the similarity asks for.  A
+    passage that very many texts share comes last in their order, so it makes no pairs.
+    """
+    t = check.similarity
+    path, shared_path = common.scratch(spark, "grams"), common.scratch(spark, "shared-grams")
+    unsettled.join(sets.select("node", "grams"), "node").select("node", "comp", "n", F.explode("grams").alias("gram")).write.parquet(path)
+    grams = spark.read.parquet(path)
+    # counted in two steps, so that a shingle of very many texts is one row a task
+    spread = grams.groupBy("gram", "comp").agg(F.lit(1).alias("one")).groupBy("gram").agg(F.count("*").alias("comps")).where("comps > 1")
+    spread.write.parquet(shared_path)
+    lists = grams.join(spark.read.parquet(shared_path), "gram").groupBy("node", "comp", "n").agg(F.sort_array(F.collect_list(F.struct("comps", "gram"))).alias("grams"))
+    probe = F.col("n") - F.ceil(F.col("n") * t - 1e-6) + 1
+    index = F.col("n") - F.ceil(F.col("n") * (2 * t / (1 + t)) - 1e-6) + 1
+    alone = F.col("n") - F.size("grams")  # shingles of one component come first and match nothing
+    heads = lists.select("node", "comp", "n", F.size("grams").alias("most"), index.alias("index"), alone.alias("alone"), F.slice("grams", F.lit(1), F.greatest(probe - alone, F.lit(0)).cast("int")).alias("grams"))
+    heads = heads.select("node", "comp", "n", "most", "index", "alone", F.posexplode("grams").alias("at", "g"))
+    heads = heads.select("node", "comp", "n", "most", (F.col("at") + F.col("alone") < F.col("index")).alias("low"), F.col("g.gram").alias("gram")).checkpoint()
+    x = heads.where("low").select("gram", F.struct("node", "comp", "n", "most").alias("x"))
+    y = heads.select("gram", F.struct("node", "comp", "n", "most").alias("y"))
+    later = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.node") < F.col("y.node")))
+    room = F.least("x.most", "y.most") >= (F.col("x.n") + F.col("y.n")) * (t / (1 + t)) - 1e-6
+    pairs = x.join(y, "gram").where(later & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.n") >= F.col("y.n") * t - 1e-6) & room)
+    return _ordered(pairs, "x.node", "y.node")
 
 
 def near_duplicates(
@@ -339,13 +399,20 @@ def _labelled(spark: SparkSession, docs: DataFrame, shingle: int = 3, radius: in
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
-    """The row of ``docs`` with the smallest doc_id of each component (once, if rows repeat).
+    """One row of ``docs`` of each component, all columns: the one with the smallest doc_id, a null one being the largest.
 
-    Where rows of a component share that doc_id but not the text, the one with the smallest xxhash64 of its text stays.
-    Rows with a null doc_id stay: nothing says which of their group to keep.
+    Where rows of a component share that doc_id, the one with the smallest xxhash64 of its text stays, and of rows that are
+    equal in both the one whose other columns come first as JSON.
     """
     found = _labelled(spark, docs, **options)
-    leaders = found.where("component_id is not null and doc_id = component_id").groupBy("component").agg(F.min("doc_id").alias("leader"), F.min("copy").alias("leader_copy"))
-    same = (F.col("doc_id") == F.col("leader")) & (F.xxhash64("text") == F.col("leader_copy"))
-    with_id = docs.where("doc_id is not null").join(leaders, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return with_id.unionByName(docs.where("doc_id is null"))
+    place = lambda: F.coalesce(F.col("doc_id").cast("long"), F.lit(common.LAST_ID))
+    least = found.groupBy("component").agg(F.min(F.struct(place().alias("doc"), "copy")).alias("low"))
+    path = common.scratch(spark, "leaders")
+    least.select(F.col("low.doc").alias("leader"), F.col("low.copy").alias("leader_copy")).write.parquet(path)
+    leaders = spark.read.parquet(path)
+    names = docs.columns
+    others = F.struct(*(F.col(f"`{c}`") for c in names if c not in ("doc_id", "text")), F.lit(0).alias("none_"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), place().alias("doc"), F.xxhash64("text").alias("copy"), F.to_json(others).alias("tie"))
+    rows = rows.join(leaders, (F.col("doc") == F.col("leader")) & (F.col("copy").eqNullSafe(F.col("leader_copy"))), "left_semi")
+    kept = rows.groupBy("doc", "copy").agg(F.min_by("row", "tie").alias("row"))
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in names))
