@@ -1,6 +1,7 @@
 """The training-data operators against brute force, and on edge cases."""
 
 import hashlib
+import itertools
 import math
 import random
 import struct
@@ -63,6 +64,30 @@ def test_sentencepiece_equals_library_in_one_piece_and_in_chunks(spark):
     assert sentencepiece_scan.encode(spark, frame(spark, [])).collect() == []
 
 
+def test_sentencepiece_of_giant_texts_with_the_production_sizes(spark):
+    library = sentencepiece.SentencePieceProcessor(model_file=tokens.model_path(sentencepiece_scan.MODEL))
+    rng = random.Random(31)
+    words = [f"word{k}" for k in range(300)] + ["été", "日本", "\n", "  "]
+    rows = [(1, " ".join(rng.choices(words, k=40_000))), (2, "x" * 70_000), (3, "short"), (1, "ab\t" * 30_000), (None, None)]
+    found = sentencepiece_scan.encode(spark, frame(spark, rows), decoded=True).collect()
+    wanted = Counter((i, tuple(library.encode(t or "")), t or "") for i, t in rows)
+    assert Counter((r["doc_id"], tuple(r["ids"]), r["decoded"]) for r in found) == wanted
+    assert sorted(r["n_chunks"] > 1 for r in found) == [False, False, True, True, True]
+
+
+def test_a_memory_forgets_when_its_bytes_are_used_up():
+    from metrolith.llm import common, memory
+
+    tool = memory.SpanMemory(lambda raw: [np.frombuffer(x, np.uint8) for x in raw], np.uint8, most=20_000)
+    for a in range(0, 3000, 100):
+        spans = [f"span-{k:09d}".encode() for k in range(a, a + 100)]
+        data = np.frombuffer(b"".join(spans), np.uint8)
+        at = np.arange(100) * 14
+        one, two = (common.hash_spans(data, at, at + 14, second) for second in (False, True))
+        pool, start, size = tool.find(one, two, lambda i: spans[i])
+        assert [pool[s : s + n].tobytes() for s, n in zip(start, size)] == spans and tool.held() <= 20_000 + 100 * (260 + 14)
+
+
 def test_max_plus_products_are_associative_and_find_the_best_unigram_path():
     rng = np.random.default_rng(0)
     a, b, c = (np.where(rng.random((4, 4)) < 0.3, -np.inf, rng.random((4, 4))) for _ in range(3))
@@ -87,11 +112,16 @@ def test_max_plus_products_are_associative_and_find_the_best_unigram_path():
 # 2
 
 
-def test_token_files_round_trip(spark, tmp_path):
+def test_token_files_round_trip(spark, tmp_path, monkeypatch):
     library = tokens.model().model
     path = str(tmp_path / "files")
-    token_files.write_tokens(spark, frame(spark, ROWS), path)
-    order = sorted(ROWS, key=lambda r: (r[0] is None, r[0] or 0))
+    rng = random.Random(41)
+    long = " ".join(rng.choices([f"word{k}" for k in range(500)], k=90_000))  # several blocks of ids
+    rows = ROWS + [(150, long), (5, "other text of this id")]
+    monkeypatch.setattr(token_files, "SHARD_BYTES", 200_000)
+    token_files.write_tokens(spark, frame(spark, rows), path)
+    assert spark.read.parquet(f"{path}/shards").count() > 2
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
     at, wanted = 0, Counter()
     starts = []
     for i, t in order:
@@ -105,8 +135,16 @@ def test_token_files_round_trip(spark, tmp_path):
     assert [s for s, _ in spans] == [sum(n for _, n in spans[:k]) for k in range(len(spans))]
     last = max((r["start"] for r in found if r["doc_id"] is not None))
     assert all(r["start"] > last for r in found if r["doc_id"] is None)
-    whole = {r["start"]: r["ids"] for r in token_files.read_ids(spark, path).collect()}
-    assert [x for s in sorted(whole) for x in whole[s]] == [x for i, t in sorted(order, key=lambda r: 0) for x in library.encode(t or "", add_special_tokens=False).ids + [1]] or len(whole) == len(found)
+    whole = sorted((r["start"], r["doc_id"], r["ids"]) for r in token_files.read_ids(spark, path).collect())
+    by_id = {}
+    for i, t in rows:
+        by_id.setdefault(i, Counter())[tuple(library.encode(t or "", add_special_tokens=False).ids + [1])] += 1
+    got = {}
+    for _, i, ids in whole:
+        got.setdefault(i, Counter())[tuple(ids)] += 1
+    assert got == by_id and list(got) == sorted(by_id, key=lambda i: (i is None, i or 0))
+    assert [s for s, _, _ in whole] == [sum(len(x) for _, _, x in whole[:k]) for k in range(len(whole))]
+    assert max(len(ids) for _, _, ids in whole) > 2 * rans.BLOCK
     token_files.write_tokens(spark, frame(spark, []), path + "0")
     assert token_files.read_documents(spark, path + "0").collect() == []
 
@@ -185,7 +223,7 @@ def test_nearest_neighbours(spark):
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     odd = [(1000, None), (1100, []), (1200, [0.0] * 16), (1300, [float("nan")] * 16), (1400, [1.0] * 15 + [None]), (1500, [float("inf")] + [0.0] * 15), (None, [1.0] * 16), (1600, [1.0] * 3)]
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>").withColumn("shard", F.lit("clash"))
-    found = multi_index.nearest(spark, df, F.col("vec_id") % 100 == 0, enough=60, shard_rows=400, block_queries=4).collect()
+    found = multi_index.nearest(spark, df, F.col("vec_id") % 100 == 0, shard_rows=400, block_queries=4).collect()
     got = {}
     for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])):
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
@@ -205,6 +243,35 @@ def test_nearest_neighbours(spark):
     assert multi_index.nearest(spark, few.where("false"), F.col("vec_id") == 0).collect() == []
 
 
+def test_probing_meets_every_code_within_the_radius_and_few_others():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((6000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[5000:] = x[:1000] + 0.05 * rng.standard_normal((1000, 64))
+    model = multi_index.fit(x[:2000])
+    codes = multi_index.encode(x, model)
+    index = multi_index.Index(codes)
+    hits, share = [], []
+    for q in range(1000, 1100):
+        met = set(index.meet(codes[q]).tolist())
+        apart = np.bitwise_count(codes ^ codes[q])
+        assert met == set(np.flatnonzero((apart <= multi_index.PROBE).any(axis=1)).tolist())
+        assert met >= set(np.flatnonzero(apart.sum(axis=1) <= multi_index.PARTS * (multi_index.PROBE + 1) - 1).tolist())
+        best = np.argsort(((x - x[q]) ** 2).sum(axis=1))[1:11]
+        hits.append(len(met & set(best.tolist())))
+        share.append(len(met) / len(x))
+    assert np.mean(hits) > 9 and np.mean(share) < 0.2
+    assert all(5000 + q in index.meet(codes[q]) for q in range(0, 1000, 50))
+    assert len(index.meet(codes[0], 0, 6000)) == 6000
+
+
+def test_a_repeated_query_is_asked_with_its_least_vector(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.0, 2.0]), (2, [2.0, 0.5])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = multi_index.nearest(spark, table, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in found] == [(1, 1.0), (2, pytest.approx(math.sqrt(4.25)))]
+
+
 # 5
 
 
@@ -238,26 +305,62 @@ def test_url_rules(spark):
     assert url_rules.filter_urls(spark, pages.where("false"), labels).count() == 0
 
 
+def mined_by_hand(has, bad, min_support, min_confidence, min_rows):
+    """Rules by plain counting: leading tokens, items of the same bad urls, up to eight a url, up to four in a rule."""
+    least = max(min_rows, math.ceil(min_support * len(has) - 1e-9))
+    base = sum(bad) / len(bad)
+    holders = {}
+    for k, tokens_of in enumerate(has):
+        for t in tokens_of:
+            holders.setdefault(t, []).append(k)
+    groups = {}
+    for t, rows in holders.items():
+        of_bad = frozenset(k for k in rows if bad[k])
+        if len(of_bad) >= least and len(of_bad) / len(rows) > base:
+            groups.setdefault(of_bad, []).append(t)
+    items = {tuple(sorted(ts)): (max(len(rows) / len(holders[t]) for t in ts), rows) for rows, ts in groups.items()}
+    baskets = []
+    for k in range(len(has)):
+        if bad[k]:
+            mine = sorted((-share, -len(rows), "\x1f".join(i), i) for i, (share, rows) in items.items() if k in rows)
+            baskets.append(frozenset(x[3] for x in mine[:8]))
+    counts = Counter(combo for b in baskets for n in range(1, 5) for combo in map(frozenset, itertools.combinations(b, n)))
+    rules = {}
+    for combo, n in counts.items():
+        tokens_of = frozenset(t for i in combo for t in i)
+        rows = [b for h, b in zip(has, bad) if tokens_of <= h]
+        if n >= least and sum(rows) / len(rows) >= min_confidence:
+            rules[combo] = (tokens_of, sum(rows) / len(rows), len(rows))
+    kept = {c: r for c, r in rules.items() if not any(d < c and q[1] >= r[1] for d, q in rules.items())}
+    return {r[0]: (r[1], r[2]) for r in kept.values()}
+
+
 def test_mined_rules_equal_counting_by_hand(spark):
     rng = random.Random(4)
     urls = [f"http://{rng.choice('ab')}.org/{rng.choice(['x', 'y', 'z'])}/{rng.choice(['p', 'q'])}" for _ in range(200)]
-    bad = [("/x/" in u and u.endswith("p")) or rng.random() < 0.1 for u in urls]
+    urls += [f"http://one-{rng.choice('abcdef')}.{rng.choice('ab')}.net/{'/'.join(rng.sample('klmnopqrstuv', 10))}?id=1&s=2" for _ in range(100)]
+    bad = [("/x/" in u and u.endswith("p")) or ("one-a" in u and "/k/" in u) or rng.random() < 0.1 for u in urls]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     labels = spark.createDataFrame([(i, 0 if b else 1, 0) for i, b in enumerate(bad)], "doc_id long, quality int, toxic int")
     has = [frozenset(r[0]) for r in pages.orderBy("page_id").select(url_rules.url_tokens(F.col("url"))).collect()]
-    mined = {frozenset(r["tokens"]): r for r in url_rules.mine(pages, labels, 0.03, 0.6, 5).collect()}
-    import itertools
-
-    wanted = {}
-    for items in set(has):
-        for k in range(1, len(items) + 1):
-            for combo in map(frozenset, itertools.combinations(items, k)):
-                rows = [b for h, b in zip(has, bad) if combo <= h]
-                if sum(rows) >= max(5, 0.03 * 200) and len(rows) >= 6 and sum(rows) / len(rows) >= 0.6:
-                    wanted[combo] = sum(rows) / len(rows)
-    wanted = {c: p for c, p in wanted.items() if not any(d < c and q >= p for d, q in wanted.items())}
-    assert {c: r["confidence"] for c, r in mined.items()} == pytest.approx(wanted)
-    assert all(r["anchor"] in r["tokens"] for r in mined.values())
+    for options in ((0.03, 0.6, 5), (0.01, 0.5, 3)):
+        found = url_rules.mine(pages, labels, *options).collect()
+        wanted = mined_by_hand(has, bad, *options)
+        assert {frozenset(r["tokens"]): r["rows"] for r in found} == {t: rows for t, (_, rows) in wanted.items()} and wanted
+        assert {frozenset(r["tokens"]): r["confidence"] for r in found} == pytest.approx({t: share for t, (share, _) in wanted.items()})
+        assert all(r["anchor"] in r["tokens"] for r in found)
+
+
+def test_many_equal_and_many_long_urls_are_mined_at_once(spark):
+    rng = random.Random(14)
+    same = "http://spam.example/" + "/".join(f"s{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60))
+    urls = [same] * 1000 + [f"http://good.org/{'/'.join(rng.sample('abcdefghijklmnopqrstuvwxyz', 20))}" for _ in range(2000)]
+    urls += [f"http://far.net/{'/'.join(x for x in same.split('/')[3:] if rng.random() < 0.9)}" for _ in range(300)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(1000 <= i < 3000), 0) for i in range(len(urls))], "doc_id long, quality int, toxic int")
+    found = url_rules.filter_urls(spark, pages, labels)
+    verdicts = Counter((r["page_id"] // 1000 if r["page_id"] < 3000 else 3, r["verdict"]) for r in found.collect())
+    assert verdicts == {(0, "block"): 1000, (1, "allow"): 1000, (2, "allow"): 1000, (3, "block"): 300}
 
 
 # 6
@@ -315,6 +418,14 @@ def test_packing(spark):
     assert lengths == {(i, len(library.encode(t or "", add_special_tokens=False).ids) + 1) for i, t in ROWS}
 
 
+def test_equal_rows_are_dealt_to_all_shards(spark):
+    equal = spark.range(30_000).selectExpr("7L as doc_id", "100L as n_tokens")
+    found = packing.best_fit(spark, equal, shard_pieces=1_000)
+    by_shard = found.groupBy(F.expr("bin >> 32").alias("shard")).count().collect()
+    assert len(by_shard) == 30 and max(r["count"] for r in by_shard) < 1_300 and sum(r["count"] for r in by_shard) == 30_000
+    assert found.select("bin", "position").distinct().count() == 30_000
+
+
 # 7
 
 
@@ -389,22 +500,34 @@ def test_vantage_point_tree_loses_no_link(radius):
 # 8
 
 
+def lines_by_hand(rows, run=3, long_bytes=32):
+    """For (doc_id, text), null ids last: the numbers of the lines that go, by comparing lines themselves."""
+    key = lambda r: (r[0] is None, r[0] or 0)
+    first, gone = {}, []
+    for i, t in sorted((r for r in rows if r[1] is not None), key=key):
+        lines = t.split("\n")
+        for j in range(len(lines)):
+            for n in (1, run):
+                if len(lines) - j >= n and (n > 1 or len(lines[j].encode()) >= long_bytes):
+                    first.setdefault((n, *lines[j : j + n]), (key((i, t)), j))
+    for i, t in rows:
+        lines, out = (t or "").split("\n"), set()
+        for j in range(len(lines)) if t is not None else ():
+            for n in (1, run):
+                if first.get((n, *lines[j : j + n]), ((True, math.inf),)) < (key((i, t)), j):
+                    out.update(range(j, j + n))
+        gone.append(out)
+    return gone
+
+
 def test_line_dedup_equals_brute_force_and_sql(spark):
     rng = random.Random(9)
-    pool = [f"line {k} é" for k in range(14)] + ["", " "]
+    pool = [f"line {k} é" for k in range(14)] + ["", " ", "a longer line that is enough by itself é", "é" * 16]
     rows = [(i, "\n".join(rng.choices(pool, k=rng.randint(1, 25)))) for i in range(60)] + [(100, ""), (101, "a\n" * 30), (102, "\n".join(f"u{k}" for k in range(400)))]
-    rows += [(103, rows[-1][1])]
-    first = {}
-    for i, t in sorted(rows):
-        lines = t.split("\n")
-        for j in range(len(lines) - 2):
-            first.setdefault(tuple(lines[j : j + 3]), (i, j))
+    rows += [(103, rows[-1][1]), (104, "one line alone, long enough to go"), (105, "one line alone, long enough to go"), (106, "short twice"), (107, "short twice")]
     wanted = []
-    for i, t in rows:
-        lines, gone = t.split("\n"), set()
-        for j in range(len(lines) - 2):
-            if first[tuple(lines[j : j + 3])] < (i, j):
-                gone.update(range(j, j + 3))
+    for (i, t), gone in zip(rows, lines_by_hand(rows)):
+        lines = t.split("\n")
         wanted.append((i, "\n".join(x for k, x in enumerate(lines) if k not in gone), len(lines), len(gone)))
     odd = [(200, None), (None, rows[0][1]), (7, rows[7][1])]
     found = line_winnow.remove_repeated_lines(spark, frame(spark, rows + odd))
@@ -412,6 +535,7 @@ def test_line_dedup_equals_brute_force_and_sql(spark):
     assert sorted(x for x in got if x[0] not in (None, 200, 7)) == sorted(x for x in wanted if x[0] != 7)
     assert [x for x in got if x[0] == 7] == [x for x in wanted if x[0] == 7] * 2
     assert (200, None, 0, 0) in got and found.columns[0] == "doc_id" and "own" in found.columns
+    assert (105, "", 1, 1) in got and (107, "short twice", 1, 0) in got
     assert line_winnow.remove_repeated_lines(spark, frame(spark, [])).collect() == []
     con = duckdb.connect()
     con.execute("create table documents (doc_id bigint, text varchar)")
@@ -420,6 +544,28 @@ def test_line_dedup_equals_brute_force_and_sql(spark):
     assert sorted(answer) == sorted(wanted)
 
 
+@pytest.mark.parametrize("run", [2, 3, 5])
+def test_winnowing_selects_few_places_that_extension_completes(spark, run):
+    rng = random.Random(12)
+    passage = [f"p{k}" for k in range(60)]
+    rows = [(i, "\n".join([f"own{i}-{k}" for k in range(rng.randint(0, 80))] + passage[rng.randint(0, 20) :] + [f"end{i}"])) for i in range(12)]
+    picked = line_winnow.select_fingerprints(frame(spark, rows), run).collect()
+    at, hashes = {}, {}
+    for r in picked:
+        at.setdefault(r["doc"], set()).add(r["at"])
+        hashes.setdefault(r["fp"], set()).add((r["doc"], r["at"]))
+    n_lines = {i: len(t.split("\n")) for i, t in rows}
+    # every window holds a selected place, and they are about 2 / (run + 1) of all
+    assert all(at[i] & set(range(j, j + run)) for i in at for j in range(n_lines[i] - run + 1))
+    assert 1.5 / (run + 1) < len(picked) / sum(n_lines.values()) < 2.6 / (run + 1)
+    wanted = dict(zip((i for i, _ in rows), lines_by_hand(rows, run)))
+    found = {r["doc"]: {s["start"] + k for s in r["spans"] for k in range(s["n"])} for r in line_winnow.repeated_windows(spark, frame(spark, rows), run).collect()}
+    assert found == {i: g for i, g in wanted.items() if g}
+    # matched places alone, without extension, are not the repeated passages
+    matched = {(i, a) for group in hashes.values() for i, a in group if (i, a) > min(group)}
+    assert matched < {(i, a) for i, g in wanted.items() for a in g} and len(matched) < 0.9 * sum(map(len, wanted.values()))
+
+
 # 9
 
 
@@ -443,6 +589,67 @@ def test_compression_classifier(spark):
     alone = zstd_quality.quality_scores(spark, frame(spark, rows[:3]), table([])).collect()
     assert [r["score"] for r in alone] == [0.5] * 3
     assert zstd_quality.quality_scores(spark, frame(spark, []), table(labels)).collect() == []
+    # a doc_id with both labels is left out of the fit
+    both = table(labels + [(i, 0 if i % 3 else 1, 0) for i in range(0, 400, 7)])
+    without = table([x for x in labels if x[0] % 7])
+    scores = [Counter((r["doc_id"], r["score"]) for r in zstd_quality.quality_scores(spark, frame(spark, rows), t).collect()) for t in (both, without)]
+    assert scores[0] == scores[1]
+
+
+def test_scores_equal_a_plain_reckoning(spark):
+    """Dictionaries, block sizes, curve and odds by the docstring, without the operator's functions."""
+    import zstandard
+
+    rng = random.Random(17)
+    vocabulary = {1: ["the", "river", "was", "calm", "and", "slow"], 0: ["BUY", "###", "win", "the", "and", "$"]}
+    quality = {i: int(rng.random() < 0.8) for i in range(500)}
+    rows = [(i, " ".join(rng.choice(vocabulary[q if rng.random() < 0.8 else 1 - q]) for _ in range(rng.randint(20, 900)))) for i, q in quality.items()]
+    labels = spark.createDataFrame([(i, q, 0) for i, q in quality.items()], "doc_id long, quality int, toxic int")
+    learned = [(i, t.encode()) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    learned.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0]))
+    sides = {q: [t for i, t in learned if quality[i] == q] for q in (0, 1)}
+
+    def cut(t):
+        return [t[a : a + 2048] for a in range(0, len(t), 2048)]
+
+    made = {}
+    for q in (0, 1):
+        blocks = [b for t in sides[q][::2] for b in cut(t) if len(b) >= 8]
+        raw = zstandard.train_dictionary(112_640, blocks, level=1, threads=0).as_bytes()
+        made[q] = zstandard.ZstdCompressor(level=1, write_content_size=False, write_dict_id=False, dict_data=zstandard.ZstdCompressionDict(raw))
+    size = lambda t, q: sum(len(made[q].compress(b)) for b in cut(t))
+
+    def x(t):
+        if not t:
+            return [1.0, 0.0, 0.0]
+        g, b = size(t, 1), size(t, 0)
+        return [1.0, 20 * (b - g) / (b + g), 2 * min(g, b) / len(t) - 1]
+
+    points = [(x(t), q) for q in (0, 1) for t in sides[q][1::2]]
+    w = np.zeros(3)
+    xs, ys = np.array([p[0] for p in points]), np.array([p[1] for p in points], float)
+    for _ in range(200_000):  # plain gradient descent on the penalised log-likelihood
+        step = xs.T @ (1 / (1 + np.exp(-xs @ w)) - ys) + w
+        w -= 0.002 * step
+        if np.abs(step).max() < 1e-9:
+            break
+    n = {q: len(sides[q]) for q in (0, 1)}
+    w[0] += math.log(n[1] / n[0]) - math.log(ys.sum() / (len(ys) - ys.sum()))
+    found = {r["doc_id"]: r["score"] for r in zstd_quality.quality_scores(spark, frame(spark, rows + [(900, None)]), labels).collect()}
+    for i, t in rows + [(900, "")]:
+        assert found[i] == pytest.approx(1 / (1 + math.exp(-float(np.dot(x(t.encode()), w)))), abs=1e-5)
+
+
+def test_the_sample_size_does_not_move_the_odds():
+    rng = random.Random(18)
+    texts = {q: [" ".join(rng.choice(["a1", "b2", "c3"] if (q if rng.random() < 0.7 else 1 - q) else ["x9", "y8", "c3"]) for _ in range(40)).encode() for _ in range(600)] for q in (0, 1)}
+    rows = [(2 * k + q, t, q) for q in (0, 1) for k, t in enumerate(texts[q])]
+    even = zstd_quality.fit(rows, (1000, 9000))
+    few = zstd_quality.fit([r for r in rows if r[2] == 1 or r[0] % 3 == 0], (1000, 9000))
+    plain = zstd_quality.fit(rows)
+    assert abs(even.weights[0] - plain.weights[0] - math.log(9)) < 1e-9
+    mean = lambda m: np.mean([m.scorer().score(t)[0] for t in texts[1][:100]])
+    assert abs(mean(even) - mean(few)) < 0.03
 
 
 # 10

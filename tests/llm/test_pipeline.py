@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from metrolith.llm import ngram_llr, tokens, vp_simhash
 
-from .test_operators import removed_by_hand
+from .test_operators import lines_by_hand, removed_by_hand
 
 SF = "/root/testdata/sf0.001"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -35,18 +35,10 @@ def test_stages(spark, tmp_path):
     assert {r["doc_id"] for r in after.collect()} == kept
 
     before, after = seen["line_dedup"]
-    texts = {r["doc_id"]: r["text"] for r in before.collect()}
-    first = {}
-    for i in sorted(texts):
-        lines = texts[i].split("\n")
-        for j in range(len(lines) - 2):
-            first.setdefault(tuple(lines[j : j + 3]), (i, j))
     by_hand = {}
-    for i, t in texts.items():
-        lines, gone = t.split("\n"), set()
-        for j in range(len(lines) - 2):
-            if first[tuple(lines[j : j + 3])] < (i, j):
-                gone.update(range(j, j + 3))
+    rows = [(r["doc_id"], r["text"]) for r in before.collect()]
+    for (i, t), gone in zip(rows, lines_by_hand(rows)):
+        lines = t.split("\n")
         if len(gone) < len(lines):
             by_hand[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
     assert {r["doc_id"]: r["text"] for r in after.collect()} == by_hand
