@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from metrolith.session import ship_active
+
 LARGEST = 65_504.0
 
 
@@ -29,11 +32,21 @@ def raise_to(bits: np.ndarray, least: np.ndarray) -> np.ndarray:
 
 
 @F.pandas_udf(T.IntegerType())
-def to_half(value: pd.Series) -> pd.Series:
+def _to_half(value: pd.Series) -> pd.Series:
     out = pd.Series(half_bits(value.fillna(0.0).to_numpy())).astype("Int32")
     return out.mask(value.isna().to_numpy())
 
 
 @F.pandas_udf(T.DoubleType())
-def from_half(bits: pd.Series) -> pd.Series:
+def _from_half(bits: pd.Series) -> pd.Series:
     return pd.Series(half_value(bits.fillna(0).to_numpy(np.int64))).mask(bits.isna().to_numpy())
+
+
+def to_half(value: Column | str) -> Column:
+    ship_active()
+    return _to_half(value)
+
+
+def from_half(bits: Column | str) -> Column:
+    ship_active()
+    return _from_half(bits)

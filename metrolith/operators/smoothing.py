@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from metrolith.functions.half import half_bits, half_value, raise_to
 from metrolith.operators.flows import BINS
+from metrolith.session import ship_package
 
 
 @dataclass(frozen=True)
@@ -94,6 +95,7 @@ def smooth(tallies: DataFrame, active: DataFrame, neighbours: DataFrame, keys: D
 
     tallies: as ``flows.tally``; active: key, day_type, direction, n; neighbours: key, neighbour, rank; keys: key.
     """
+    ship_package(keys.sparkSession)
     side = ["key", "day_type", "direction"]
     sides = keys.select("key", F.explode(F.array(F.lit("weekday"), F.lit("weekend"))).alias("day_type"))
     sides = sides.select("key", "day_type", F.explode(F.array(F.lit("arrivals"), F.lit("departures"))).alias("direction"))

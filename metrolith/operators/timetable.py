@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from metrolith.session import ship_package
+
 
 def first_by(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The first row of each key by an input ordinal (map-side aggregation, no window)."""
@@ -117,6 +119,7 @@ def fifo_patterns(events: DataFrame, patterns: DataFrame, service: DataFrame) ->
     service: trip, days (sorted array of the days it runs).  Trips of equal days form one class.  The greedy order
     makes this a step for each pattern; a pattern's trips of one timetable are a bounded group.
     """
+    ship_package(events.sparkSession)
     times = events.groupBy("trip").agg(F.sort_array(F.collect_list(F.struct("pos", "arrival", "departure"))).alias("_t"))
     flat = F.flatten(F.transform("_t", lambda c: F.array(c["arrival"], c["departure"])))
     rows = patterns.join(times.select("trip", flat.alias("times")), "trip").join(service, "trip")
@@ -225,6 +228,7 @@ def match_shape(stops: list, line: list, retry: float = 100.0, give_up: float =
 
 def match_shapes(pattern_stops: DataFrame, shape_points: DataFrame, shape_of: DataFrame) -> DataFrame:
     """(pattern, vertices, reversed, worst) of each pattern on its shape; points are planar x, y in metres."""
+    ship_package(pattern_stops.sparkSession)
     stops = pattern_stops.groupBy("pattern").agg(F.sort_array(F.collect_list(F.struct("pos", "x", "y"))).alias("stops"))
     lines = shape_points.groupBy("shape").agg(F.sort_array(F.collect_list(F.struct("seq", "x", "y"))).alias("line"))
     rows = shape_of.join(stops, "pattern").join(lines, "shape")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -44,10 +45,40 @@ def ship_package(spark: SparkSession) -> None:
     setattr(context, _SHIPPED, True)
 
 
+def ship_active() -> None:
+    """``ship_package`` for the session in use, for column functions that are Python inside."""
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        ship_package(session)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for checkpoints: the cluster's own setting, or one set here where it is unset."""
+    """The shared folder for checkpoints: the cluster's own setting; one is made only for a local master without it."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    if not named and context.getCheckpointDir() is None and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="metrolith-checkpoint-"))
     return named or context.getCheckpointDir()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file in any store that Spark writes to, put in place in one step."""
+    jvm = spark._jvm
+    target, part = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.part"))
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = store.create(part, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    if store.exists(target):
+        store.delete(target, False)
+    if not store.rename(part, target):
+        raise OSError(f"{path} was not put in place")
