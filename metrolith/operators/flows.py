@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metrolith.functions import fields
+from metrolith.session import checkpoint_root
 
 BINS = 96
 
@@ -115,24 +116,37 @@ def top_ids(ends: DataFrame, id_column: str = "id", count: int = 12) -> DataFram
     return ends.groupBy(id_column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), id_column).limit(count)
 
 
-def nearest_keys(stations: DataFrame, count: int = 8, radius: int = 1000) -> DataFrame:
+def nearest_keys(stations: DataFrame, count: int = 8, radius: int = 1000, rings: tuple[int, ...] = (1, 2, 4)) -> DataFrame:
     """(key, neighbour, rank): the nearest keys with trips, within a radius, by integer distances, ties to the lesser key.
 
-    stations: key, lat_e6, lon_e6, has_trips.  Points meet in grid cells of one radius (each looks into the
-    3 by 3 cells around it), so this is an equi-join and not a cross join.
+    stations: key, lat_e6, lon_e6, has_trips.  Points meet in cells of a quarter of the radius, so this is an equi-join and not
+    a cross join.  A point looks one cell around; only if that does not hold ``count`` neighbours nearer
+    than a cell's side does it look two, and then four cells around, which is the radius.
     """
+    session = stations.sparkSession
+    checkpoint_root(session)
     limit = (radius * 1024 * 1_000_000 // 111_195) ** 2
-    step_lat = radius * 1_000_000 // 111_195 + 1
-    step_lon = radius * 1024 * 1_000_000 // (111_195 * 776) + 1
-    own = stations.select("key", "lat_e6", "lon_e6", F.floor(F.col("lat_e6") / step_lat).alias("cy"), F.floor(F.col("lon_e6") / step_lon).alias("cx"))
-    around = F.array(*[F.struct(F.lit(a).alias("dy"), F.lit(b).alias("dx")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
-    asks = own.select("key", "lat_e6", "lon_e6", "cy", "cx", F.explode(around).alias("o")).select("key", "lat_e6", "lon_e6", (F.col("cy") + F.col("o.dy")).alias("cell_y"), (F.col("cx") + F.col("o.dx")).alias("cell_x"))
+    step_lat = radius * 1_000_000 // (111_195 * 4) + 1
+    step_lon = radius * 1024 * 1_000_000 // (111_195 * 776 * 4) + 1
+    side = min(step_lat * 1024, step_lon * 776)
+    left = stations.select("key", "lat_e6", "lon_e6", F.floor(F.col("lat_e6") / step_lat).alias("cy"), F.floor(F.col("lon_e6") / step_lon).alias("cx"))
     others = stations.where("has_trips").select(F.col("key").alias("neighbour"), F.col("lat_e6").alias("lat2"), F.col("lon_e6").alias("lon2"))
     others = others.withColumn("cell_y", F.floor(F.col("lat2") / step_lat)).withColumn("cell_x", F.floor(F.col("lon2") / step_lon))
     dy, dx = (F.col("lat_e6") - F.col("lat2")).cast("bigint") * 1024, (F.col("lon_e6") - F.col("lon2")).cast("bigint") * 776
-    pairs = asks.join(others, ["cell_y", "cell_x"]).where("key <> neighbour").withColumn("square", dy * dy + dx * dx).where(F.col("square") <= limit)
     rank = F.row_number().over(Window.partitionBy("key").orderBy("square", "neighbour"))
-    return pairs.withColumn("rank", rank).where(F.col("rank") <= count).select("key", "neighbour", "rank", "square")
+    out = None
+    for ring in rings:
+        around = F.sequence(F.lit(-ring), F.lit(ring))
+        asks = left.withColumn("_i", F.explode(around)).withColumn("_j", F.explode(around)).select("key", "lat_e6", "lon_e6", (F.col("cy") + F.col("_i")).alias("cell_y"), (F.col("cx") + F.col("_j")).alias("cell_x"))
+        pairs = asks.join(others, ["cell_y", "cell_x"]).where("key <> neighbour").withColumn("square", dy * dy + dx * dx).where(F.col("square") <= limit)
+        best = pairs.withColumn("rank", rank).where(F.col("rank") <= count).select("key", "neighbour", "rank", "square")
+        if ring == rings[-1]:
+            return best if out is None else out.unionByName(best)
+        best = best.checkpoint()
+        settled = best.groupBy("key").agg(F.max("rank").alias("_n"), F.max("square").alias("_far")).where((F.col("_n") == count) & (F.col("_far") <= (ring * side) ** 2)).select("key").checkpoint()
+        done = best.join(settled, "key", "left_semi")
+        out = done if out is None else out.unionByName(done)
+        left = left.join(settled, "key", "left_anti").checkpoint()
 
 
 def month_gate(rows: DataFrame, previous: DataFrame, same: float = 0.9, prior: float = 0.5) -> DataFrame:
