@@ -178,15 +178,61 @@ def unescape_opl(c: Column) -> Column:
     return F.when(c.contains("%"), F.array_join(each, "")).otherwise(c)
 
 
-def valet_minutes(c: Column) -> dict[str, Column]:
-    """weekdays (bit 0 Monday), start and end minute of hours such as 'Mon-Fri 07:00-19:30'."""
-    pattern = r"^(Mon|Tue|Wed|Thu|Fri|Sat|Sun)(?:-(Mon|Tue|Wed|Thu|Fri|Sat|Sun))? ([0-2][0-9]):([0-5][0-9])-([0-2][0-9]):([0-5][0-9])$"
-    names = F.array(*map(F.lit, ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")))
-    first = F.array_position(names, F.regexp_extract(c, pattern, 1)) - 1
-    second = F.regexp_extract(c, pattern, 2)
-    last = F.when(second == "", first).otherwise(F.array_position(names, second) - 1)
-    low = F.pow(F.lit(2), first)
-    mask = F.when(last >= first, F.pow(F.lit(2), last + 1) - low).otherwise(F.lit(128.0) - low + F.pow(F.lit(2), last + 1) - 1)
-    fits = c.rlike(pattern)
-    minute = lambda h, m: F.when(fits, F.regexp_extract(c, pattern, h).try_cast("int") * 60 + F.regexp_extract(c, pattern, m).try_cast("int"))
-    return {"weekdays": F.when(fits, mask.cast("int")), "start": minute(3, 4), "end": minute(5, 6)}
+_WINDOW = r"^([1-7]+) ((?:[01][0-9]|2[0-3]):[0-5][0-9]|24:00)-((?:[01][0-9]|2[0-3]):[0-5][0-9]|24:00)$"
+
+
+def valet_windows(c: Column) -> Column:
+    """Windows such as '12345 07:00-19:00|67 10:00-16:00' as a sorted array of struct(weekdays, start, end); null for an empty
+    cell, an error for any other text.  weekdays are ascending ISO numbers, times are minutes."""
+    minutes = lambda t: F.substring(t, 1, 2).cast("int") * 60 + F.substring(t, 4, 2).cast("int")
+
+    def window(x: Column) -> Column:
+        part = lambda k: F.regexp_extract(x, _WINDOW, k)
+        days = F.array_sort(F.transform(F.split(part(1), ""), lambda d: d.cast("int")))
+        made = F.struct(days.alias("weekdays"), minutes(part(2)).alias("start"), minutes(part(3)).alias("end"))
+        return F.when(x.rlike(_WINDOW), made).otherwise(F.raise_error(F.concat(F.lit("not a window: "), x)))
+
+    return F.when(F.coalesce(c, F.lit("")) != "", F.array_sort(F.transform(F.split(c, r"\|"), window)))
+
+
+def keyword_list(c: Column) -> Column:
+    """The keywords of a cell, parted by bars, in order of their bytes."""
+    return F.array_sort(F.split(c, r"\|"))
+
+
+def local_epoch(local: Column, zone: str = "America/New_York") -> Column:
+    """Epoch seconds of a local time; one that is skipped moves on by the gap, one that occurs twice is the first."""
+    return F.unix_seconds(F.to_utc_timestamp(local, zone))
+
+
+def _number(value: int) -> Column:
+    return F.lit(str(value)).cast("decimal(20,0)")
+
+
+def _bound(x: Column, use) -> Column:
+    """``use(x)`` with x made once."""
+    return F.element_at(F.transform(F.array(x), use), 1)
+
+
+def _long_of(total: Column) -> Column:
+    """The long with the bits of a number below 2**64."""
+    full = _number(2**64)
+    return F.when(total >= _number(2**63), total - full).otherwise(total).cast("bigint")
+
+
+def _times(x: Column, k: int) -> Column:
+    """x * k modulo 2**64, by 32-bit halves, so that no product leaves the decimals."""
+    low, high = x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("decimal(20,0)"), F.shiftrightunsigned(x, 32).cast("decimal(20,0)")
+    cross = F.pmod(low * _number(k >> 32) + high * _number(k & 0xFFFFFFFF), _number(2**32))
+    return _bound(F.pmod(low * _number(k & 0xFFFFFFFF) + cross * _number(2**32), _number(2**64)), _long_of)
+
+
+def split_mix(seed: Column, n: Column) -> Column:
+    """The n-th (from 1) number of the SplitMix64 sequence of a seed, as the long of the same 64 bits."""
+    # fixed values of the generator
+    step, one, two = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+    number = lambda c: F.when(c < 0, c.cast("decimal(20,0)") + _number(2**64)).otherwise(c.cast("decimal(20,0)"))
+    first = _bound(_times(n.cast("bigint"), step), lambda z: _long_of(F.pmod(number(seed.cast("bigint")) + number(z), _number(2**64))))
+    second = _bound(first, lambda z: _times(z.bitwiseXOR(F.shiftrightunsigned(z, 30)), one))
+    third = _bound(second, lambda z: _times(z.bitwiseXOR(F.shiftrightunsigned(z, 27)), two))
+    return _bound(third, lambda z: z.bitwiseXOR(F.shiftrightunsigned(z, 31)))

@@ -93,3 +93,9 @@ def months_to_build(files: DataFrame, systems: list[str], count: int) -> DataFra
     serial = F.floor(F.col("newest") / 100) * 12 + F.col("newest") % 100 - 1
     wanted = newest.where("newest is not null").select(F.explode(F.sequence(serial - (count - 1), serial)).alias("s")).select((F.floor(F.col("s") / 12) * 100 + F.col("s") % 12 + 1).cast("int").alias("month"))
     return wanted.join(have, "month", "left").select("month", (F.coalesce("n", F.lit(0)) < len(systems)).alias("missing"))
+
+
+def clip(rules: DataFrame, start: Column, days: int = 800) -> DataFrame:
+    """Rules inside a window that begins at ``start`` and has at most ``days`` days; those without a day in it go."""
+    last = F.date_add(start, days - 1)
+    return rules.withColumn("first", F.greatest("first", start)).withColumn("last", F.least("last", last)).where("first <= last")

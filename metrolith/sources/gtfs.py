@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from metrolith.functions import fields
 from metrolith.operators.timetable import first_by, known_only, last_by
-from metrolith.sources.csv import CsvError, read_exact_csv, records
+from metrolith.session import ship_package
+from metrolith.sources.csv import CsvError, frames, read_exact_csv, records
 
 WEEK = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
 REQUIRED = ("agency", "routes", "stops", "trips", "stop_times")
@@ -35,6 +36,12 @@ LAYOUT: dict[str, tuple[list[str], list[str]]] = {
 
 def read_zip(spark: SparkSession, path: str, file: str, required: list[str], optional: list[str]) -> DataFrame:
     """One table of zipped feeds, below any folder of the archive, with ord and file."""
+    return table_of_zips(spark.read.format("binaryFile").load(path).select("path", "content"), file, required, optional)
+
+
+def table_of_zips(files: DataFrame, file: str, required: list[str], optional: list[str]) -> DataFrame:
+    """One table of archives given as (path, content), with ord and file."""
+    ship_package(files.sparkSession)
     names = [*required, *optional]
 
     def parse(batches):
@@ -50,10 +57,8 @@ def read_zip(spark: SparkSession, path: str, file: str, required: list[str], opt
                         if missing:
                             raise CsvError(f"{entry}: columns are missing: {', '.join(missing)}")
                         at = [header.index(c) if c in header else None for c in names]
-                        out = [[None if i is None else (r[i] if i < len(r) else "") for i in at] + [k, origin] for k, r in enumerate(rows)]
-                        yield pd.DataFrame(out, columns=[*names, "ord", "file"])
+                        yield from frames(rows, at, names, origin)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInPandas(parse, ", ".join([*(f"`{c}` string" for c in names), "ord bigint", "file string"]))
 
 
@@ -208,7 +213,11 @@ def read_feed(spark: SparkSession, path: str, zipped: bool = False) -> Feed:
                 raise
             return None
 
-    raw = {name: load(name) for name in LAYOUT}
+    return parse_feed(spark, {name: load(name) for name in LAYOUT})
+
+
+def parse_feed(spark: SparkSession, raw: dict[str, DataFrame | None]) -> Feed:
+    """A feed from its files' rows; files that are not there are None."""
     if raw["calendar"] is None and raw["calendar_dates"] is None:
         raise CsvError("a feed needs calendar.txt or calendar_dates.txt")
     feed = Feed()
