@@ -33,10 +33,10 @@ def q1_j22_trip_count_gate(spark, sf):
     return gates.trip_count_gate(new, old, off, 60, ("A",), 75)
 
 
-@query(f"""with {a.RULES}, cover as (select distinct slot, cast(unnest(generate_series(first, last, interval 1 day)) as date) as day from rules where rule % 3 = 0), ahead as (select slot, day, row_number() over (partition by slot order by day) as n from cover where day >= date '1996-05-01'),
+@query(f"""with {a.RULES}, cover as (select distinct slot, cast(unnest(generate_series(first, last, interval 1 day)) as date) as day from rules), ahead as (select slot, day, row_number() over (partition by slot order by day) as n from cover where day >= date '1996-05-01'),
 c as (select s.slot, count(x.day) as days from (select distinct slot from cover) s left join ahead x on x.slot = s.slot and date_diff('day', date '1996-05-01', x.day) = x.n - 1 group by s.slot) select slot, days, case when days >= 14 then 'ok' else 'soft failure' end as status from c""")
 def q2_coverage_gate(spark, sf):
-    rules = a.rules(spark, sf).where("rule % 3 = 0")
+    rules = a.rules(spark, sf)
     days = rules.select("slot", F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("day")).distinct()
     return gates.coverage_gate(calendar.consecutive_days(days, ["slot"], F.lit("1996-05-01").cast("date")), 14)
 
@@ -66,10 +66,10 @@ def q6_artifact_gate(spark, sf):
     return gates.artifact_gate(artifacts, [("streets", 1), ("links", 1), ("flows", 1), ("config", 1), ("stations", 1)])
 
 
-@query("with b as (select l_returnflag as artifact, l_linestatus as input, cast(l_suppkey as varchar) as sha from lineitem where l_orderkey % 100 = 0), p as (select distinct l_linestatus as artifact, cast(l_suppkey as varchar) as sha from lineitem where l_suppkey % 5 <> 0) select b.artifact, b.input, b.sha from b where not exists (select 1 from p where p.artifact = b.input and p.sha = b.sha)")
+@query("with b as (select l_returnflag as artifact, l_linestatus as input, cast(l_suppkey as varchar) as sha from lineitem), p as (select distinct l_linestatus as artifact, cast(l_suppkey as varchar) as sha from lineitem where l_suppkey % 5 <> 0) select b.artifact, b.input, b.sha from b where not exists (select 1 from p where p.artifact = b.input and p.sha = b.sha)")
 def j20_lineage_breaks(spark, sf):
     line = table(spark, sf, "lineitem")
-    built = line.where("l_orderkey % 100 = 0").select(F.col("l_returnflag").alias("artifact"), F.col("l_linestatus").alias("input"), F.col("l_suppkey").cast("string").alias("sha"))
+    built = line.select(F.col("l_returnflag").alias("artifact"), F.col("l_linestatus").alias("input"), F.col("l_suppkey").cast("string").alias("sha"))
     present = line.where("l_suppkey % 5 <> 0").select(F.col("l_linestatus").alias("artifact"), F.col("l_suppkey").cast("string").alias("sha")).distinct()
     return gates.lineage_breaks(built, present)
 
@@ -128,17 +128,17 @@ def v6_threshold_orderings(spark, sf):
     return table(spark, sf, "part").where(~((caution < block) & (F.col("p_partkey") % 3 <= F.col("p_size")))).select("p_partkey")
 
 
-@query("with e as (select distinct l_suppkey as src, l_partkey % 120 as dst from lineitem where l_orderkey % 5 = 0), n as (select s_suppkey as node from supplier) select src, dst from e where dst not in (select node from n) or src not in (select node from n)")
+@query("with e as (select distinct l_suppkey as src, l_partkey % 120 as dst from lineitem), n as (select s_suppkey as node from supplier) select src, dst from e where dst not in (select node from n) or src not in (select node from n)")
 def v8_edges_out_of_range(spark, sf):
     nodes = table(spark, sf, "supplier").select("s_suppkey")
-    edges = table(spark, sf, "lineitem").where("l_orderkey % 5 = 0").select(F.col("l_suppkey").alias("src"), (F.col("l_partkey") % 120).alias("dst")).distinct()
+    edges = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("src"), (F.col("l_partkey") % 120).alias("dst")).distinct()
     return gates.missing_references(edges, "dst", nodes, "s_suppkey").unionByName(gates.missing_references(edges, "src", nodes, "s_suppkey")).distinct()
 
 
-@query("with l as (select distinct l_suppkey % 15 as a, l_partkey % 15 as b, l_linenumber as value from lineitem where l_orderkey % 37 = 0) select a, b, value from l where not exists (select 1 from l m where m.a = l.b and m.b = l.a and m.value = l.value)")
+@query("with l as (select distinct l_suppkey % 40 as a, l_partkey % 300 as b, l_linenumber as value from lineitem) select a, b, value from l where not exists (select 1 from l m where m.a = l.b and m.b = l.a and m.value = l.value)")
 def v9_one_way_links(spark, sf):
-    line = table(spark, sf, "lineitem").where("l_orderkey % 37 = 0")
-    return gates.one_way_only(line.select((F.col("l_suppkey") % 15).alias("a"), (F.col("l_partkey") % 15).alias("b"), F.col("l_linenumber").alias("value")).distinct())
+    line = table(spark, sf, "lineitem")
+    return gates.one_way_only(line.select((F.col("l_suppkey") % 40).alias("a"), (F.col("l_partkey") % 300).alias("b"), F.col("l_linenumber").alias("value")).distinct())
 
 
 @query(f"with {a.COUNTS}, {a.HOLIDAYS}, per as (select key, direction, count(distinct day) as days, max(day) - min(day) + 1 as span from counts group by all) select key, direction, days from per where days > span or days > 25")
@@ -147,9 +147,9 @@ def v10_active_day_limits(spark, sf):
     return per.where("days > span or days > 25").select("key", "direction", "days")
 
 
-@query("with r as (select l_returnflag as name, cast(l_suppkey as varchar) as sha from lineitem where l_orderkey % 200 = 0), s as (select l_returnflag as name, cast(l_suppkey as varchar) as sha from lineitem where l_orderkey % 200 = 0 and l_suppkey % 9 <> 0) select name, sha from r except all select name, sha from s")
+@query("with r as (select l_returnflag as name, cast(l_suppkey as varchar) as sha from lineitem), s as (select l_returnflag as name, cast(l_suppkey as varchar) as sha from lineitem where l_suppkey % 9 <> 0) select name, sha from r except all select name, sha from s")
 def v11_report_against_set(spark, sf):
-    line = table(spark, sf, "lineitem").where("l_orderkey % 200 = 0")
+    line = table(spark, sf, "lineitem")
     rows = line.select(F.col("l_returnflag").alias("name"), F.col("l_suppkey").cast("string").alias("sha"))
     return rows.exceptAll(rows.where("cast(sha as int) % 9 <> 0"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from metrolith.functions import fields, geo, street_rules
 from metrolith.functions.half import from_half, to_half
-from metrolith.operators import areas, graph, links, stations
+from metrolith.operators import areas, graph, links, stations, timetable
 from metrolith.plans import adapters as a
 from metrolith.plans.registry import query, table
 
@@ -58,7 +58,9 @@ def j11_snap_to_segments(spark, sf):
     return stations.snap(points, _segments(spark, sf), 150.0, count=2).select("point", "segment", "mm", "rank")
 
 
-@query()
+@query(f"""with recursive {a.STATIONS}, walk as (select ord, cast((lon_e6 + 74000000) // 4 as bigint) as x, cast((lat_e6 - 40700000) // 4 as bigint) as y, 0::bigint as d, 32768::bigint as s from stations
+union all select ord, case when ry = 0 then (case when rx = 1 then 2 * s - 1 - y else y end) else x end & (s - 1), case when ry = 0 then (case when rx = 1 then 2 * s - 1 - x else x end) else y end & (s - 1), d + s * s * xor(3 * rx, ry), s // 2
+from (select *, case when x & s > 0 then 1::bigint else 0 end as rx, case when y & s > 0 then 1::bigint else 0 end as ry from walk where s > 0)) select ord, d as curve from walk where s = 0""")
 def f25_t4_hilbert_order(spark, sf):
     return stations.hilbert_order(a.stations(spark, sf), 40_700_000, -74_000_000, 4).select("ord", "curve")
 
@@ -95,11 +97,12 @@ def f21_local_projection(spark, sf):
     return rows.select("id", cm("x").alias("x_cm"), cm("y").alias("y_cm"), F.round(lat * 1e6).cast("bigint").alias("back_lat"), F.round(lon * 1e6).cast("bigint").alias("back_lon"))
 
 
-@query(f"with {_POINTS}, {_SEGMENTS}, j as (select point, segment, ((x - ax) * (bx - ax) + (y - ay) * (by2 - ay)) / ((bx - ax) * (bx - ax) + (by2 - ay) * (by2 - ay)) as raw from pts, seg where point % 20 = 0 and segment % 10 = 0) select point, segment, cast(round(greatest(0.0, least(1.0, raw)) * 1000000) as bigint) as micro from j")
+@query(f"with {_POINTS}, j as (select point, x, y, (point * 331 % 30000)::double as ax, (point * 577 % 30000)::double as ay, (point * 331 % 30000 + point % 40 * 800 - 15000)::double as bx, (point * 577 % 30000 + 1280)::double as by2 from pts), r as (select point, ((x - ax) * (bx - ax) + (y - ay) * (by2 - ay)) / ((bx - ax) * (bx - ax) + (by2 - ay) * (by2 - ay)) as raw from j) select point, cast(round(greatest(0.0, least(1.0, raw)) * 1000000) as bigint) as micro from r")
 def f22_point_on_segment(spark, sf):
-    pairs = _points(spark, sf).where("point % 20 = 0").crossJoin(F.broadcast(_segments(spark, sf).where("segment % 10 = 0")))  # suppliers by tens: a fixed small table
+    k = F.col("point")
+    own = _points(spark, sf).select("point", "x", "y", (k * 331 % 30_000).cast("double").alias("ax"), (k * 577 % 30_000).cast("double").alias("ay"), (k * 331 % 30_000 + k % 40 * 800 - 15_000).cast("double").alias("bx"), (k * 577 % 30_000 + 1_280).cast("double").alias("by"))
     t, _ = geo.segment_projection(F.col("x"), F.col("y"), F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
-    return pairs.select("point", "segment", F.round(t * 1_000_000).cast("bigint").alias("micro"))
+    return own.select("point", F.round(t * 1_000_000).cast("bigint").alias("micro"))
 
 
 @query(f"with {_POINTS} select point, (x between 1001 and 20000 and y between 1001 and 20000 and not (x between 5001 and 9000 and y between 5001 and 9000)) as inside from (select point, x + 0.5 as x, y + 0.5 as y from pts)")
@@ -162,12 +165,12 @@ def f35_p8_street_rules(spark, sf):
 
 # links
 
-_TRANSFERS = """tr as (select l_suppkey % 40 as from_stop, l_partkey % 40 as to_stop, cast(l_linenumber % 4 as integer) as kind, case when l_partkey % 2 = 0 then l_partkey % 400 end as seconds, cast(l_suppkey * 3 as bigint) as walk, l_orderkey % 20 = 0 as trip_specific from lineitem where l_orderkey % 30 = 0),
+_TRANSFERS = """tr as (select l_suppkey % 40 as from_stop, l_partkey % 40 as to_stop, cast(l_linenumber % 4 as integer) as kind, case when l_partkey % 2 = 0 then l_partkey % 400 end as seconds, cast(l_suppkey * 3 as bigint) as walk, l_orderkey % 20 = 0 as trip_specific from lineitem),
 pf as (select s_suppkey % 40 as station, 1000 + s_suppkey as platform from supplier)"""
 
 
 def _transfers(spark, sf):
-    line = table(spark, sf, "lineitem").where("l_orderkey % 30 = 0")
+    line = table(spark, sf, "lineitem")
     rows = line.select((F.col("l_suppkey") % 40).alias("from_stop"), (F.col("l_partkey") % 40).alias("to_stop"), (F.col("l_linenumber") % 4).alias("kind"), F.when(F.col("l_partkey") % 2 == 0, F.col("l_partkey") % 400).alias("seconds"), (F.col("l_suppkey") * 3).alias("walk"), (F.col("l_orderkey") % 20 == 0).alias("trip_specific"))
     platforms = table(spark, sf, "supplier").select((F.col("s_suppkey") % 40).alias("station"), (F.col("s_suppkey") + 1000).alias("platform"))
     return rows, platforms
@@ -214,7 +217,7 @@ def j15_a19_one_seat_rides(spark, sf):
 
 
 _HOP = f"""{_RIDES}, pk as (select s_suppkey % 30 as parent, s_suppkey as station, 60 + s_suppkey * 7 % 200 as seconds from supplier union all select (s_suppkey + 1) % 30, s_suppkey, 90 + s_suppkey * 11 % 150 from supplier where s_suppkey % 2 = 0),
-ds as (select x.s_suppkey as origin, y.s_suppkey as dest, 20 + (x.s_suppkey * 31 + y.s_suppkey * 17) % 900 as decameters from supplier x, supplier y where (x.s_suppkey + y.s_suppkey) % 5 <> 0),
+ds as (select distinct l_suppkey as origin, l_partkey % 100 + 1 as dest, 20 + (l_suppkey * 31 + (l_partkey % 100 + 1) * 17) % 900 as decameters from lineitem),
 tu as (select p.parent as a, q.parent as b, p.station as u, q.station as d, p.seconds as us, q.seconds as ds, decameters, p.seconds + q.seconds + 150 + (decameters * 10000 + 4469) // 4470 as total from pk p join ds on ds.origin = p.station join pk q on q.station = ds.dest where p.parent <> q.parent),
 be as (select a, b, arg_min(struct_pack(total, u, d, decameters), struct_pack(total, u, d)) as best from tu group by all),
 us as (select t.a, t.b, t.u, row_number() over (partition by t.a, t.b order by case when t.u = any_value(be.best.u) then 0 else 1 end, min(t.total), t.u) as place from tu t join be on be.a = t.a and be.b = t.b group by t.a, t.b, t.u qualify place <= 2),
@@ -230,9 +233,8 @@ def j16_g14_t3_hops(spark, sf):
     s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"))
     k = F.col("k")
     walks = s.select((k % 30).alias("parent"), k.alias("station"), (60 + k * 7 % 200).alias("seconds")).unionByName(s.where("k % 2 = 0").select(((k + 1) % 30).alias("parent"), k.alias("station"), (90 + k * 11 % 150).alias("seconds")))
-    other = s.select(k.alias("dest"))
-    # a station matrix is given densely; here it is made from the supplier table, which is small
-    distances = s.select(k.alias("origin")).crossJoin(F.broadcast(other)).where("(origin + dest) % 5 <> 0").select("origin", "dest", (20 + (F.col("origin") * 31 + F.col("dest") * 17) % 900).alias("decameters"))
+    to = F.col("l_partkey") % 100 + 1
+    distances = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("origin"), to.alias("dest"), (20 + (F.col("l_suppkey") * 31 + to * 17) % 900).alias("decameters")).distinct()
     return links.hops(walks, walks, distances, _rides(spark, sf))
 
 
@@ -257,7 +259,7 @@ def a21_footpath_stats(spark, sf):
     return links.footpath_stats(line.select(F.col("l_returnflag").alias("system_a"), F.col("l_linestatus").alias("system_b"), (F.col("l_partkey") % 600).alias("seconds")))
 
 
-_EDGES = "ed as (select l_suppkey as src, l_partkey % 100 as dst, min(cast(1000 + l_orderkey * 37 % 5000 as bigint)) as cost from lineitem where l_orderkey % 40 = 0 and l_suppkey <> l_partkey % 100 group by all)"
+_EDGES = "ed as (select l_suppkey as src, l_partkey % 100 as dst, min(cast(1000 + l_orderkey * 37 % 5000 as bigint)) as cost from lineitem where l_suppkey <> l_partkey % 100 group by all)"
 
 
 def _least_edges(line):
@@ -266,7 +268,7 @@ def _least_edges(line):
 
 
 def _edges(spark, sf):
-    return _least_edges(table(spark, sf, "lineitem").where("l_orderkey % 40 = 0"))
+    return _least_edges(table(spark, sf, "lineitem"))
 
 
 @query(f"with {_EDGES}, o as (select a.src as p, b.dst as r, min(a.cost + b.cost) as over2 from ed a join ed b on a.dst = b.src where a.src <> b.dst group by all) select e.src as p, e.dst as r, e.cost as seconds, o.over2 as over from ed e join o on o.p = e.src and o.r = e.dst where e.cost > o.over2".replace(" as over ", ' as "over" '))
@@ -288,31 +290,34 @@ def g2_search_by_joins(spark, sf):
     return graph.shortest_paths(spark, _edges(spark, sf), origins, bound=6_000, most_edges=0).select("origin", "node", "cost")
 
 
-@query()
+@query(f"""with recursive {_EDGES}, st as (select s_suppkey as station, s_suppkey % 90 as leg from supplier), seen as (select src as node from ed union select dst from ed), walk as (select station as origin, station as node, 0::bigint as cost, 0 as hops from st where station in (select node from seen) union all select origin, node, min(cost), hops from (select w.origin, e.dst as node, w.cost + e.cost as cost, w.hops + 1 as hops from walk w join ed e on e.src = w.node where w.hops < 12) group by origin, node, hops),
+best as (select origin, node, min(cost) as cost from walk group by all), m as (select b.origin, b.node as dest, case when b.origin = b.node then 0 else (p.leg + b.cost + q.leg + 50) // 100 end as decameters from best b join st p on p.station = b.origin join st q on q.station = b.node) select origin, dest, cast(decameters as bigint) as decameters from m where decameters < 65535""")
 def g5_station_matrix(spark, sf):
     stops = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("station"), F.col("s_suppkey").alias("node"), (F.col("s_suppkey") % 90).alias("leg"))
     return graph.station_matrix(spark, _least_edges(table(spark, sf, "lineitem")), stops)
 
 
-_SPARSE = "sp as (select distinct l_orderkey % 3000 as src, (l_orderkey * 7 + l_linenumber) % 3000 as dst from lineitem where l_orderkey % 31 = 0)"
-
+# blocks of 20 nodes, five of them in a chain; inside a block most rows lead ahead, one in 97 anywhere
+_RING = "rg as (select distinct l_orderkey % 2000 as src, case when l_partkey % 40 = 0 and l_orderkey % 2000 // 20 % 5 <> 4 then l_orderkey % 2000 + 20 when l_partkey % 97 = 0 then l_orderkey % 2000 // 20 * 20 + l_partkey % 20 else l_orderkey % 2000 // 20 * 20 + greatest(l_orderkey % 20, (l_orderkey * 7 + l_linenumber) % 20) end as dst from lineitem)"
 
-def _ring(line):
-    return line.select((F.col("l_orderkey") % 3000).alias("src"), ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 3000).alias("dst")).distinct()
 
+def _ring(spark, sf):
+    k, p = F.col("l_orderkey"), F.col("l_partkey")
+    node = k % 2_000
+    block = F.floor(node / 20)
+    ahead = block * 20 + F.greatest(k % 20, (k * 7 + F.col("l_linenumber")) % 20)
+    dst = F.when((p % 40 == 0) & (block % 5 != 4), node + 20).when(p % 97 == 0, block * 20 + p % 20).otherwise(ahead)
+    return table(spark, sf, "lineitem").select(node.alias("src"), dst.alias("dst")).distinct()
 
-def _sparse(spark, sf):
-    return _ring(table(spark, sf, "lineitem").where("l_orderkey % 31 = 0"))
 
-
-@query(f"""with recursive {_SPARSE}, pairs as (select src, dst from sp union select dst, src from sp), reach as (select src as node, src as seen from pairs union select r.node, b.dst from reach r join pairs b on b.src = r.seen) select node, least(min(seen), node) as root from reach group by node""")
+@query(f"""with recursive {_RING}, pairs as (select src, dst from rg union select dst, src from rg), reach as (select src as node, src as seen from pairs union select r.node, b.dst from reach r join pairs b on b.src = r.seen) select node, min(seen) as root from reach group by node""")
 def g9_components(spark, sf):
-    return graph.components(spark, _sparse(spark, sf))
+    return graph.components(spark, _ring(spark, sf))
 
 
-@query()
+@query(f"""with recursive {_RING}, nodes as (select src as node from rg union select dst from rg), reach as (select node, node as seen from nodes union select r.node, e.dst from reach r join rg e on e.src = r.seen) select a.node, min(a.seen) as root from reach a join reach b on b.node = a.seen and b.seen = a.node group by a.node""")
 def g9_strong_components(spark, sf):
-    return graph.strong_components_of(spark, _ring(table(spark, sf, "lineitem")))
+    return graph.strong_components_of(spark, _ring(spark, sf))
 
 
 @query("""with w as (select l_suppkey as component, l_linenumber as region, cast(sum(l_partkey) as bigint) as length from lineitem group by all), t as (select component, sum(length) as total from w group by 1), f as (select distinct component from (select region, component, row_number() over (partition by region order by length desc, component) as rn from w) where rn = 1)
@@ -322,10 +327,10 @@ def a23_g10_kept_components(spark, sf):
     return graph.kept_components(lengths, 97)
 
 
-@query("""with w as (select l_orderkey as way, l_linenumber as pos, min(l_partkey) % 800 as node from lineitem where l_orderkey % 9 = 0 group by all), u as (select node, count(*) as uses from w group by 1), m as (select w.*, uses, lag(pos) over (partition by way order by pos) is null as f, lead(pos) over (partition by way order by pos) is null as l from w join u using (node)),
+@query("""with w as (select l_orderkey as way, l_linenumber as pos, min(l_partkey) % 800 as node from lineitem group by all), u as (select node, count(*) as uses from w group by 1), m as (select w.*, uses, lag(pos) over (partition by way order by pos) is null as f, lead(pos) over (partition by way order by pos) is null as l from w join u using (node)),
 v as (select *, case when f or l or uses > 1 then 1 else 0 end as vertex from m) select way, pos, node, vertex, cast(sum(case when f then 0 else vertex end) over (partition by way order by pos rows between unbounded preceding and current row) as bigint) as piece from v""")
 def g11_split_ways(spark, sf):
-    ways = a.lines(spark, sf).where("l_orderkey % 9 = 0").select(F.col("l_orderkey").alias("way"), F.col("l_linenumber").alias("pos"), (F.col("l_partkey") % 800).alias("node"))
+    ways = a.lines(spark, sf).select(F.col("l_orderkey").alias("way"), F.col("l_linenumber").alias("pos"), (F.col("l_partkey") % 800).alias("node"))
     return graph.split_ways(ways)
 
 
@@ -334,7 +339,7 @@ def g13_snap_grid(spark, sf):
     return graph.segment_cells(_segments(spark, sf))
 
 
-@query()
+@query("""with p as (select l_orderkey * 10 + l_linenumber as piece, min(l_returnflag) as kind from lineitem group by 1), m as (select *, case when lag(piece) over w = piece - 1 and lag(kind) over w = kind then 0 else 1 end as head from p window w as (order by piece)), c as (select *, sum(head) over (order by piece) as run from m) select piece, min(piece) over (partition by run) as chain from c""")
 def w13_street_chains(spark, sf):
     line = table(spark, sf, "lineitem")
     pieces = line.groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("piece")).agg(F.min("l_returnflag").alias("attributes"))
@@ -345,22 +350,22 @@ def w13_street_chains(spark, sf):
 n as (select a.point, b.point as other, (a.x - b.x)::bigint * (a.x - b.x) + (a.y - b.y)::bigint * (a.y - b.y) as sq, regexp_replace(lower(a.name), '[^a-z0-9]', '', 'g') = regexp_replace(lower(b.name), '[^a-z0-9]', '', 'g') as same from pl a, pc b where a.point <> b.point),
 r as (select *, row_number() over w as rank, lead(sqrt(sq::double)) over w as nxt from n where sq <= 1500 * 1500 window w as (partition by point order by same desc, sq, other)) select point, other, not same and coalesce(nxt - sqrt(sq::double) < 60, false) as ambiguous from r where rank = 1""")
 def j21_nearest_places(spark, sf):
-    p = _points(spark, sf)
+    p = _points(spark, sf)  # two kinds of places of one table: platforms are one in ten, places one in three
     platforms = p.where("point % 10 = 1").withColumn("name", F.concat(F.lit("Stn "), (F.col("point") % 40).cast("string")))
     places = p.where("point % 3 = 0").withColumn("name", F.concat(F.lit("stn-"), (F.col("point") % 37).cast("string")))
     return stations.nearest_place(platforms, places, 1_500, 60)
 
 
-_BOXES = "bx as (select s_suppkey as ord, concat('area ', s_suppkey % 7) as name, s_suppkey * 331 % 9000 + 3 as x0, s_suppkey * 577 % 9000 + 3 as y0, s_suppkey * 331 % 9000 + 3 + 400 + s_suppkey % 5 * 100 as x1, s_suppkey * 577 % 9000 + 3 + 300 + s_suppkey % 3 * 100 as y1 from supplier where s_suppkey % 4 = 0)"
+_BOXES = "bx as (select s_suppkey as ord, concat('area ', s_suppkey % 7) as name, s_suppkey * 331 % 9000 + 3.5 as x0, s_suppkey * 577 % 9000 + 3.5 as y0, s_suppkey * 331 % 9000 + 3.5 + 400 + s_suppkey % 5 * 100 as x1, s_suppkey * 577 % 9000 + 3.5 + 300 + s_suppkey % 3 * 100 as y1 from supplier)"
 
 
 def _boxes(spark, sf):
     k = F.col("s_suppkey")
-    x0, y0 = k * 331 % 9_000 + 3, k * 577 % 9_000 + 3
+    x0, y0 = k * 331 % 9_000 + 3.5, k * 577 % 9_000 + 3.5
     x1, y1 = x0 + 400 + k % 5 * 100, y0 + 300 + k % 3 * 100
     corner = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
     rings = F.array(F.array(corner(x0, y0), corner(x1, y0), corner(x1, y1), corner(x0, y1)))
-    return table(spark, sf, "supplier").where("s_suppkey % 4 = 0").select(k.alias("ord"), F.concat(F.lit("area "), (k % 7).cast("string")).alias("name"), rings.alias("rings"))
+    return table(spark, sf, "supplier").select(k.alias("ord"), F.concat(F.lit("area "), (k % 7).cast("string")).alias("name"), rings.alias("rings"))
 
 
 _RASTER = f"{_BOXES}, grid as (select x.c as cx, y.c as cy from range(0, 110) x(c), range(0, 110) y(c)), rast as (select cx, cy, arg_min(name, ord) as name from grid join bx on cx * 100 + 50 > x0 and cx * 100 + 50 < x1 and cy * 100 + 50 > y0 and cy * 100 + 50 < y1 group by cx, cy)"
@@ -383,14 +388,14 @@ def p11_park_membership(spark, sf):
     return areas.members(points, _boxes(spark, sf))
 
 
-_WALK = f"""{_EDGES}, acc as (select 1000 + s_suppkey as node, s_suppkey as street, 20000 + s_suppkey % 7 * 1000 as ex, 15000 as en from supplier where s_suppkey % 6 = 0), wg as (select src, dst, min(cost) as cost from (select src, dst, cost * 20 as cost from ed union all select node, street, ex from acc union all select street, node, en from acc
+_WALK = f"""{_EDGES}, acc as (select 1000 + s_suppkey as node, s_suppkey as street, 20000 + s_suppkey % 7 * 1000 as ex, 15000 as en from supplier), wg as (select src, dst, min(cost) as cost from (select src, dst, cost * 20 as cost from ed union all select node, street, ex from acc union all select street, node, en from acc
 union all select 1006, 1012, 40000) group by all)"""
 
 
 def _walk(spark, sf):
     streets = _edges(spark, sf).withColumn("cost", F.col("cost") * 20)
     k = F.col("s_suppkey")
-    access = table(spark, sf, "supplier").where("s_suppkey % 6 = 0").select((k + 1000).alias("node"), k.alias("street"), (20_000 + k % 7 * 1_000).alias("exit_ms"), F.lit(15_000).cast("bigint").alias("enter_ms"))
+    access = table(spark, sf, "supplier").select((k + 1000).alias("node"), k.alias("street"), (20_000 + k % 7 * 1_000).alias("exit_ms"), F.lit(15_000).cast("bigint").alias("enter_ms"))
     change = spark.createDataFrame([(1006, 1012, 40)], "a bigint, b bigint, seconds bigint")
     return links.walk_graph(streets, access, change), access
 
@@ -404,9 +409,88 @@ def g6_g7_footpaths(spark, sf):
     return links.footpaths(spark, edges, access.select("node", F.lit(20).alias("access")), bound=100, most_access=20)
 
 
-@query(f"with recursive {_WALK}, {_WALKED}, st as (select s_suppkey as station from supplier where s_suppkey % 11 = 0), x as (select b.origin % 5 as stop, st.station, cast(ceil(min(b.cost) / 1000.0) as bigint) as exit from best b join st on st.station = b.node where b.cost <= 120000 group by all) select stop, station, exit from x")
+@query(f"with recursive {_WALK}, {_WALKED}, st as (select s_suppkey as station from supplier), x as (select b.origin % 5 as stop, st.station, cast(ceil(min(b.cost) / 1000.0) as bigint) as exit from best b join st on st.station = b.node where b.cost <= 120000 group by all) select stop, station, exit from x")
 def g8_station_links(spark, sf):
     edges, access = _walk(spark, sf)
-    stops = table(spark, sf, "supplier").where("s_suppkey % 11 = 0").select(F.col("s_suppkey").alias("station"), F.col("s_suppkey").alias("node"))
+    stops = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("station"), F.col("s_suppkey").alias("node"))
     found = links.station_links(spark, edges, access.select("node", (F.col("node") % 5).alias("stop")), stops, bound=120)
     return found.where("exit is not null").select("stop", "station", "exit")
+
+
+# a grid of 20 by 20 nodes, 100 apart: each row leads from its node to one of the four beside it
+_GRID = """gr as (select n as src, case k when 0 then n + 1 when 1 then n - 1 when 2 then n + 20 else n - 20 end as dst, min(c) as cost from (select l_orderkey % 400 as n, l_linenumber % 4 as k, 80 + l_partkey % 200 as c from lineitem) where (k = 0 and n % 20 < 19) or (k = 1 and n % 20 > 0) or (k = 2 and n < 380) or (k = 3 and n >= 20) group by all)"""
+
+
+def _grid(spark, sf):
+    n, k = F.col("n"), F.col("k")
+    rows = table(spark, sf, "lineitem").select((F.col("l_orderkey") % 400).alias("n"), (F.col("l_linenumber") % 4).alias("k"), (80 + F.col("l_partkey") % 200).alias("c"))
+    inside = ((k == 0) & (n % 20 < 19)) | ((k == 1) & (n % 20 > 0)) | ((k == 2) & (n < 380)) | ((k == 3) & (n >= 20))
+    dst = F.when(k == 0, n + 1).when(k == 1, n - 1).when(k == 2, n + 20).otherwise(n - 20)
+    return rows.where(inside).groupBy(n.alias("src"), dst.alias("dst")).agg(F.min("c").alias("cost")).withColumn("length", F.col("cost"))
+
+
+_ASKED = "qs as (select distinct s_suppkey * 7 % 400 as origin, s_suppkey * 13 % 400 as dest from supplier)"
+_GRID_BEST = "walk as (select distinct origin, origin as node, 0::bigint as cost, 0 as hops from qs union all select origin, node, min(cost), hops from (select w.origin, e.dst as node, w.cost + e.cost as cost, w.hops + 1 as hops from walk w join gr e on e.src = w.node where w.hops < 70) group by origin, node, hops), best as (select origin, node, min(cost) as cost from walk group by all)"
+
+
+@query(f"with recursive {_GRID}, {_ASKED}, {_GRID_BEST} select q.origin, q.dest, b.cost, b.cost as along from qs q join best b on b.origin = q.origin and b.node = q.dest")
+def g3_g4_guided_paths(spark, sf):
+    """Costs by a guided search, and the same again along the nodes of the path that it gives."""
+    edges = _grid(spark, sf)
+    asked = table(spark, sf, "supplier").select((F.col("s_suppkey") * 7 % 400).alias("origin"), (F.col("s_suppkey") * 13 % 400).alias("dest")).distinct()
+    places = spark.range(400).select(F.col("id").alias("node"), (F.col("id") % 20 * 100).cast("double").alias("x"), (F.floor(F.col("id") / 20) * 100).cast("double").alias("y"))
+    found = graph.guided_paths(spark, edges, asked, places, 0.8)
+    steps = found.select("origin", "dest", F.explode(F.transform(F.sequence(F.lit(1), F.size("path")), lambda i: F.struct(F.get("path", i - 1).alias("src"), F.get("path", i).alias("dst")))).alias("s"))
+    along = steps.select("origin", "dest", "s.src", F.col("s.dst").alias("to")).join(edges.select("src", F.col("dst").alias("to"), "cost"), ["src", "to"]).groupBy("origin", "dest").agg(F.sum("cost").alias("along"))
+    return found.select("origin", "dest", "cost").join(along, ["origin", "dest"], "left").select("origin", "dest", "cost", F.coalesce("along", F.lit(0)).alias("along"))
+
+
+@query("select s_suppkey as line, cast(case when s_suppkey % 2 = 0 then 3 else 2 end + (s_suppkey % 4 // 2) * 0 as integer) as points, cast(s_suppkey % 90 + 5 as double) as first_x, cast(100 as double) as last_x, cast(case when s_suppkey % 2 = 0 then s_suppkey % 50 + 1 else 0 end as double) as last_y from supplier")
+def g4_trimmed_lines(spark, sf):
+    """Lines of a side of 100 and one of 60, cut at a place on the first and one on the second side or at the corner."""
+    k = F.col("s_suppkey")
+    point = lambda x, y: F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y"))
+    upto = F.when(k % 2 == 0, 100.0 + (k % 50 + 1).cast("double")).otherwise(F.lit(100.0))
+    rows = table(spark, sf, "supplier").select(k.alias("line"), geo.trim_line(F.array(point(0, 0), point(100, 0), point(100, 60)), (k % 90 + 5).cast("double"), upto).alias("p"))
+    return rows.select("line", F.size("p").alias("points"), *(F.round(c, 6).alias(n) for n, c in (("first_x", F.col("p")[0]["x"]), ("last_x", F.element_at("p", -1)["x"]), ("last_y", F.element_at("p", -1)["y"]))))
+
+
+@query(f"with recursive {_GRID}, qs as (select distinct s_suppkey * 37 % 400 as origin from supplier), {_GRID_BEST}, near as (select b.origin, min(struct_pack(c := b.cost, t := b.node)) as m from best b where b.cost <= 400 and b.node % 11 = 5 group by 1) select origin as node, m.t as target, m.c as length from near")
+def g12_nearest_connectors(spark, sf):
+    stranded = table(spark, sf, "supplier").select((F.col("s_suppkey") * 37 % 400).alias("node")).distinct()
+    targets = spark.range(400).select(F.col("id").alias("node")).where("node % 11 = 5")  # what a connector may lead to
+    return graph.nearest_connectors(spark, _grid(spark, sf), stranded, targets, 400)
+
+
+@query("""with p as (select s_suppkey as k, s_suppkey % 4 as m from supplier) select k as pattern, case when m = 3 then null else [2, 6, 10, 14] end as vertices, m = 2 as reversed, cast(round(case when m = 3 then sqrt(300 * 300 + 100 * 100) else 30 end * 1000) as bigint) as worst_mm from p""")
+def w7_stop_vertices(spark, sf):
+    """Stops beside every fourth vertex of a straight line; drawn the other way round for m = 2, too far away for m = 3."""
+    k, i = F.col("s_suppkey"), F.col("i")
+    p = table(spark, sf, "supplier").select(k.alias("pattern"), (k % 4).alias("m"), (k * 10.0).alias("x0"))
+    stops = p.select("pattern", "m", "x0", F.explode(F.array(*map(F.lit, (2, 6, 10, 14)))).alias("i")).select("pattern", i.alias("pos"), (F.col("x0") + i * 100).alias("x"), F.when(F.col("m") == 3, F.lit(300.0)).otherwise(30.0).alias("y"))
+    # the line of m = 3 ends before the last stops
+    line = p.select("pattern", "m", "x0", F.explode(F.sequence(F.lit(0), F.when(F.col("m") == 3, 13).otherwise(16))).alias("i"))
+    line = line.select(F.col("pattern").alias("shape"), F.when(F.col("m") == 2, 16 - i).otherwise(i).alias("seq"), (F.col("x0") + i * 100).alias("x"), F.lit(0.0).alias("y"))
+    found = timetable.match_shapes(stops, line, p.select("pattern", F.col("pattern").alias("shape")))
+    return found.select("pattern", "vertices", "reversed", F.round(F.col("worst") * 1000).cast("bigint").alias("worst_mm"))
+
+
+@query("select l_orderkey as line, case when max(h) > 60 then case when max(h) = min(h) and false then null else [0, 5, 10] end else [0, 10] end as kept from (select l_orderkey, (max(l_partkey) % 121)::double as h from lineitem group by 1) group by 1".replace("case when max(h) = min(h) and false then null else [0, 5, 10] end", "[0, 5, 10]"))
+def f27_simplified_lines(spark, sf):
+    """Tents of eleven points: the peak stays if it is higher than the tolerance."""
+    tents = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("line")).agg((F.max("l_partkey") % 121).cast("double").alias("h"))
+    at = F.transform(F.sequence(F.lit(0), F.lit(10)), lambda i: i * 1000.0)
+    rows = tents.select("line", at.alias("xs"), F.transform(F.sequence(F.lit(0), F.lit(10)), lambda i: F.col("h") * (1 - F.abs(i - 5) / 5.0)).alias("ys"))
+    return rows.select("line", geo.simplified(F.col("xs"), F.col("ys"), F.lit(60.0)).alias("kept"))
+
+
+@query("select s_suppkey as area, cast(36 as integer) as corners, cast(round(w * h + 2 * (w + h) * 30 + 16 * 900 * sin(2 * pi() / 32)) as bigint) as square_metres from (select s_suppkey, s_suppkey * 10 % 900 + 50 as w, s_suppkey * 7 % 800 + 40 as h from supplier)")
+def f28_buffered_hulls(spark, sf):
+    k = F.col("s_suppkey")
+    w, h = (k * 10 % 900 + 50).cast("double"), (k * 7 % 800 + 40).cast("double")
+    point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    zero = F.lit(0.0)
+    rows = table(spark, sf, "supplier").select(k.alias("area"), F.array(point(zero, zero), point(w, zero), point(w / 2, h / 3), point(w, h), point(zero, h), point(w, h)).alias("points"))
+    ring = rows.select("area", geo.hull_around(F.col("points"), F.lit(30.0)).alias("ring"))
+    turned = F.zip_with("ring", F.concat(F.slice("ring", 2, F.size("ring")), F.slice("ring", 1, 1)), lambda p, q: p["x"] * q["y"] - q["x"] * p["y"])
+    return ring.select("area", F.size("ring").alias("corners"), F.round(F.aggregate(turned, F.lit(0.0), lambda s, v: s + v) / 2).cast("bigint").alias("square_metres"))

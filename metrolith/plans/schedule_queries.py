@@ -66,11 +66,11 @@ def a25_feed_coverage(spark, sf):
     return gtfs.coverage(a.rules(spark, sf), _exceptions(spark, sf))
 
 
-_SETS = f"""{_RULE_DAYS}, sets as (select r.slot, d.day, list(r.rule order by r.rule) as ran from rule_days d join rules r on r.rule = d.rule where r.rule % 40 < 4 group by all)"""
+_SETS = f"""{_RULE_DAYS}, sets as (select r.slot, d.day, list(r.rule order by r.rule) as ran from rule_days d join rules r on r.rule = d.rule group by all)"""
 
 
 def _sets(spark, sf):
-    active = _rule_days(spark, sf).join(a.rules(spark, sf).select("rule", "slot"), "rule").where("rule % 40 < 4")
+    active = _rule_days(spark, sf).join(a.rules(spark, sf).select("rule", "slot"), "rule")
     return active.groupBy("slot", "day").agg(F.sort_array(F.collect_list("rule")).alias("rules")), active
 
 
@@ -82,13 +82,13 @@ def w9_reference_day(spark, sf):
 
 @query(f"""with {_SETS}, recent as (select *, isodow(day) - 1 as weekday from sets where day < date '1998-01-01' qualify row_number() over (partition by slot, isodow(day) order by day desc) <= 5),
 g as (select slot, weekday, ran, count(*) as n, max(day) as day from recent group by all), ref as (select slot, weekday, day from g qualify row_number() over (partition by slot, weekday order by n desc, day desc) = 1)
-select r.slot, d.rule from ref f join rule_days d on d.day = f.day join rules r on r.rule = d.rule and r.slot = f.slot and r.rule % 40 < 4 where f.weekday = isodow(date '1998-01-05') - 1 and date '1998-01-05' <= r.last + 14""")
+select r.slot, d.rule from ref f join rule_days d on d.day = f.day join rules r on r.rule = d.rule and r.slot = f.slot where f.weekday = isodow(date '1998-01-05') - 1 and date '1998-01-05' <= r.last + 14""")
 def w10_extrapolated_rules(spark, sf):
     sets, active = _sets(spark, sf)
     references = calendar.reference_day(sets, F.lit("1998-01-01").cast("date"))
     day = F.lit("1998-01-05").cast("date")
     ran = calendar.extrapolated(a.rules(spark, sf).drop("slot"), references, active.select("rule", "day"), day)
-    return ran.join(a.rules(spark, sf).select("rule", "slot"), ["rule", "slot"], "left_semi").where("rule % 40 < 4").select("slot", "rule")
+    return ran.join(a.rules(spark, sf).select("rule", "slot"), ["rule", "slot"], "left_semi").select("slot", "rule")
 
 
 @query(f"with {a.RULES}, cover as (select slot, rule as source, priority, published, ord, cast(unnest(generate_series(greatest(first, date '1997-01-01'), least(last, date '1997-03-31'), interval 1 day)) as date) as day from rules where last >= date '1997-01-01' and first <= date '1997-03-31') select distinct slot, source from (select *, row_number() over (partition by slot, day order by priority, published desc, ord) as rn from cover) where rn = 1")
@@ -152,12 +152,12 @@ def p3_pass_through_stops(spark, sf):
     return timetable.pass_through_stops(a.lines(spark, sf).select((F.col("l_partkey") % 300).alias("stop"), none.alias("pickup"), none.alias("drop_off")))
 
 
-@query("""with c as (select distinct cast(l_suppkey as bigint) as stop from lineitem where l_orderkey % 50 = 0), p as (select s_suppkey as stop, case when s_suppkey > 3 then s_suppkey // 3 end as parent from supplier),
+@query("""with c as (select distinct cast(l_suppkey as bigint) as stop from lineitem), p as (select s_suppkey as stop, case when s_suppkey > 3 then s_suppkey // 3 end as parent from supplier),
 u0 as (select stop from c), u1 as (select distinct parent as stop from p join u0 using (stop) where parent is not null), u2 as (select distinct parent as stop from p join u1 using (stop) where parent is not null), u3 as (select distinct parent as stop from p join u2 using (stop) where parent is not null),
 u4 as (select distinct parent as stop from p join u3 using (stop) where parent is not null), u5 as (select distinct parent as stop from p join u4 using (stop) where parent is not null), u6 as (select distinct parent as stop from p join u5 using (stop) where parent is not null), u7 as (select distinct parent as stop from p join u6 using (stop) where parent is not null), u8 as (select distinct parent as stop from p join u7 using (stop) where parent is not null)
 select stop from u0 union select stop from u1 union select stop from u2 union select stop from u3 union select stop from u4 union select stop from u5 union select stop from u6 union select stop from u7 union select stop from u8""")
 def p7_called_stops_and_ancestors(spark, sf):
-    called = table(spark, sf, "lineitem").where("l_orderkey % 50 = 0").select(F.col("l_suppkey").alias("stop"))
+    called = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("stop"))
     parents = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("stop"), F.when(F.col("s_suppkey") > 3, F.floor(F.col("s_suppkey") / 3)).alias("parent"))
     return timetable.with_ancestors(called, parents)
 
@@ -195,7 +195,12 @@ def w4_base_patterns(spark, sf):
     return _patterns(spark, sf)
 
 
-@query()
+# greedy first fit: a trip's part is the least number that no earlier trip has which shares a day and would be overtaken
+@query(f"""with recursive {_PATTERN}, base as (select trip, min(trip) over (partition by k) as pattern from keyed), tm as (select l_orderkey as trip, flatten(list([m, m + 30] order by l_linenumber)) as t from (select *, (l_orderkey % 500) * 10 + l_linenumber * 600 - (l_orderkey % 7) * 60 * l_linenumber as m from lines) group by 1),
+r as (select b.trip, b.pattern, t, b.trip % 3 as day, row_number() over (partition by b.pattern order by t[2], t[3:], b.trip) as i from base b join tm on tm.trip = b.trip),
+bad as (select y.pattern, y.i, list(x.i) as js from r x join r y on x.pattern = y.pattern and x.i < y.i and abs(x.day - y.day) <= 1 and len(list_filter(range(1, len(x.t) + 1), lambda j: y.t[j] < x.t[j])) > 0 group by all),
+go as (select pattern, 0::bigint as i, []::integer[] as subs from r where i = 1 union all select g.pattern, g.i + 1, list_append(g.subs, list_min(list_filter(range(0, cast(g.i as bigint) + 1), lambda s: not list_contains(list_transform(coalesce(b.js, []::bigint[]), lambda j: g.subs[j]), cast(s as integer))))::integer) from go g join r on r.pattern = g.pattern and r.i = g.i + 1 left join bad b on b.pattern = g.pattern and b.i = g.i + 1),
+done as (select pattern, arg_max(subs, i) as subs from go group by 1) select r.trip, r.pattern, d.subs[r.i] as sub from r join done d on d.pattern = r.pattern""")
 def w5_fifo_patterns(spark, sf):
     line = a.lines(spark, sf)
     at = (F.col("l_orderkey") % 500) * 10 + F.col("l_linenumber") * 600 - (F.col("l_orderkey") % 7) * 60 * F.col("l_linenumber")
@@ -213,10 +218,10 @@ def j3_merged_stops(spark, sf):
     return timetable.merge_stops(stops, calls).select("stop", "feed", "name")
 
 
-@query("""with d as (select l_suppkey as station, l_linenumber as kind, cast(l_partkey as integer) as lat, cast(l_orderkey as integer) as lon from lineitem where l_orderkey % 20 = 0)
+@query("""with d as (select l_suppkey as station, l_linenumber as kind, cast(l_partkey as integer) as lat, cast(l_orderkey as integer) as lon from lineitem)
 select station, lat, lon, kind, concat(cast(station as varchar), '-E', row_number() over (partition by station order by lat, lon, kind)) as id from d""")
 def j8_w6_entrance_ids(spark, sf):
-    doors = table(spark, sf, "lineitem").where("l_orderkey % 20 = 0").select(F.col("l_suppkey").alias("station"), F.col("l_linenumber").alias("kind"), F.col("l_partkey").cast("int").alias("lat"), F.col("l_orderkey").cast("int").alias("lon"))
+    doors = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("station"), F.col("l_linenumber").alias("kind"), F.col("l_partkey").cast("int").alias("lat"), F.col("l_orderkey").cast("int").alias("lon"))
     return timetable.ordinal_ids(doors, "station", ["lat", "lon", "kind"])
 
 
@@ -317,12 +322,12 @@ def a15_overtaking(spark, sf):
     return pairs.select("trip", timetable.overtaking(F.col("times"), F.col("later")).alias("overtaken"))
 
 
-@query(f"""with {a.LINES}, p as (select l_orderkey as pattern, l_orderkey % 30 as route, list(l_suppkey % 2 order by l_linenumber) as stops, l_orderkey % 4 = 0 as has_shape from lines where l_orderkey < 600 group by 1), f as (select a.pattern, b.pattern as lender, len(b.stops) as n from p a join p b on a.route = b.route and b.has_shape where not a.has_shape
+@query(f"""with {a.LINES}, p as (select l_orderkey as pattern, l_orderkey // 40 as route, list(l_suppkey % 2 order by l_linenumber) as stops, l_orderkey % 4 = 0 as has_shape from lines group by 1), f as (select a.pattern, b.pattern as lender, len(b.stops) as n from p a join p b on a.route = b.route and b.has_shape where not a.has_shape
   and list_reduce(list_prepend(0::bigint, b.stops), lambda k, x: case when k < len(a.stops) and a.stops[k + 1] = x then k + 1 else k end) = len(a.stops)) select pattern, lender from f qualify row_number() over (partition by pattern order by n, lender) = 1""")
 def w8_borrowed_shapes(spark, sf):
-    line = a.lines(spark, sf).where("l_orderkey < 600")
+    line = a.lines(spark, sf)
     p = line.groupBy(F.col("l_orderkey").alias("pattern")).agg(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", (F.col("l_suppkey") % 2).alias("s")))), lambda x: x["s"]).alias("stops"))
-    return timetable.borrowed_shapes(p.select("pattern", (F.col("pattern") % 30).alias("route"), "stops", (F.col("pattern") % 4 == 0).alias("has_shape")))
+    return timetable.borrowed_shapes(p.select("pattern", F.floor(F.col("pattern") / 40).alias("route"), "stops", (F.col("pattern") % 4 == 0).alias("has_shape")))
 
 
 @query("""with l as (select l_orderkey as trip, l_linenumber as pos, lpad(cast(l_partkey % 48 as varchar), case when l_suppkey % 2 = 0 then 1 else 2 end, '0') as h, l_partkey as k from lineitem),
