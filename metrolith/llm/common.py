@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metrolith.session import checkpoint_root, ship_package
+from metrolith.session import checkpoint_root, scratch_path, ship_package
 
 #: Rows and bytes of an Arrow batch. Texts may be long, so batches are kept short.
 BATCH_ROWS = 1000
@@ -32,9 +32,17 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+#: A new path in the shared folder.
+scratch = scratch_path
+
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return free memory to the system; a worker that waits for its next task would hold it."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def id_and_bytes(docs: DataFrame) -> DataFrame:

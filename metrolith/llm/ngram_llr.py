@@ -135,6 +135,7 @@ def count_grams(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) ->
                 raw += np.bincount(bucket, minlength=buckets)
                 target += np.bincount(bucket[good[a:b][owner]], minlength=buckets)
         seen = np.flatnonzero(raw)
+        common.give_back()
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(raw[seen]), pa.array(target[seen])], ["bucket", "raw", "target"])
 
     part = rows.select("text", F.col("trusted_id").isNotNull().alias("good")).mapInArrow(count, "bucket long, raw long, target long")
@@ -162,6 +163,7 @@ def quality_rules(
             for a, b in common.slices(batch.column(1)):
                 found = score_texts(batch.column(1)[a:b], table, threshold)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], *(pa.array(found[n]) for n in names[1:])], names)
+        common.give_back()
 
     return common.id_and_bytes(docs).mapInArrow(score, SCHEMA)
 
@@ -179,5 +181,6 @@ def keep_good(spark: SparkSession, docs: DataFrame, trusted: DataFrame, **option
                 part = batch.slice(a, b - a)
                 texts = part.column(place).cast(pa.binary())
                 yield part.filter(pa.array(score_texts(texts, table, threshold)["kept"]))
+        common.give_back()
 
     return docs.mapInArrow(keep, docs.schema)

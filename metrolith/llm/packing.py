@@ -126,6 +126,7 @@ def token_lengths(spark: SparkSession, docs: DataFrame, *, model: str = tokens.M
             for a, b in common.slices(batch.column(1)):
                 found = tokens.Tokens(batch.column(1)[a:b], model, end_id)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(np.diff(found.offsets))], ["doc_id", "n_tokens"])
+        common.give_back()
 
     path = common.scratch(spark, "lengths")
     common.id_and_bytes(docs).mapInArrow(count, "doc_id long, n_tokens long").write.parquet(path)

@@ -67,4 +67,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_winnowing_line_dedup": line_winnow.oracle_sql()}
+    return {"op3_recompression_dedup": substring_dedup.oracle_sql(), "op8_winnowing_line_dedup": line_winnow.oracle_sql()}

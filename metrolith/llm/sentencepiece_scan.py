@@ -199,6 +199,7 @@ def encode(spark: SparkSession, docs: DataFrame, *, model: str = MODEL, giant: i
                 if decoded:
                     columns.append(_as_string(tool.decoded(ids, offsets)))
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "n_chunks", "decoded"][: len(columns)])
+        common.give_back()
 
     small = rows.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= giant).mapInArrow(here, schema)
 

@@ -39,8 +39,8 @@ from metrolith.llm import common, recompress
 
 WIDTH = 13
 #: Bytes of text in a batch and behind a bucket, about.
-BATCH_BYTES = 3_000_000
-BUCKET_BYTES = 8_000_000
+BATCH_BYTES = 2_000_000
+BUCKET_BYTES = 6_000_000
 
 _PARCEL = pa.schema([("dest", pa.int64()), ("batch", pa.int64()), ("bucket", pa.int64()), ("payload", pa.binary())])
 _PARCEL_SQL = "dest long, batch long, bucket long, payload binary"
@@ -210,7 +210,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, *, width: int = WIDTH,
     spill = 1 << 40  # parcels that a batch sends to itself go to groups of their own
 
     def ask(table: pa.Table) -> pa.Table:
-        return parcels(Batch(table, width, buckets).requests())
+        out = parcels(Batch(table, width, buckets).requests())
+        common.give_back()
+        return out
 
     def taught(table: pa.Table, replies: pa.Table) -> tuple[Batch, list[tuple[int, bytes]], list[tuple[int, bytes]]]:
         """The batch with what it was told of classes; that, and what it was told of windows."""
@@ -228,7 +230,10 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, *, width: int = WIDTH,
         batch, classes, _ = taught(table, replies)
         _, keys, least, _ = batch.doubtful(buckets)
         rows = [(k, batch.number, -1 - k, pack(keys[a:b], least[a:b])) for k, a, b in _runs(batch.key_bucket)]
-        return parcels(rows + [(spill + batch.number, batch.number, k, p) for k, p in classes])
+        rows += [(spill + batch.number, batch.number, k, p) for k, p in classes]
+        del batch, keys, least
+        common.give_back()
+        return parcels(rows)
 
     def pass_on(table: pa.Table) -> pa.Table:
         return table.select(_PARCEL.names).cast(_PARCEL) if table.column("dest")[0].as_py() >= spill else answer_windows(table)
@@ -255,6 +260,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, *, width: int = WIDTH,
         if keep_layout:
             texts = pc.if_else(pa.array(n_removed == 0), table.column("text").cast(pa.string()), texts)
         columns = [table.column("doc_id"), pa.array(np.diff(off)), pa.array(n_removed), texts]
+        del batch, w, gone, rows, keys, least, rank, edge, removed, total, off
+        common.give_back()
         return pa.table([*columns, *(table.column(f"carried_{i}") for i in range(len(carry)))], names=names)
 
     first = dealt.groupBy("batch").applyInArrow(ask, _PARCEL_SQL).groupBy("dest").applyInArrow(answer_classes, _PARCEL_SQL)
@@ -266,3 +273,24 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, *, width: int = WIDTH,
     out = dealt.groupBy("batch").cogroup(second.groupBy("batch")).applyInArrow(finish, schema)
     named = ["doc_id", "n_words", "n_removed", "kept_text"]
     return out.select(*named, *(F.col(f"carried_{i}").alias(f"input_{c}" if c in named else c) for i, c in enumerate(carry)))
+
+
+def oracle_sql(table: str = "documents", width: int = WIDTH) -> str:
+    """doc_id, n_words, n_removed and kept_sha256 by plain SQL: every window as a text of its own."""
+    return f"""
+with texts as (
+  select doc_id, row_number() over () as rn, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words from {table}
+), spans as (
+  select doc_id, rn, p, array_to_string(words[p : p + {width - 1}], ' ') as span_text from (select *, unnest(range(1, len(words) - {width - 2})) as p from texts where len(words) >= {width})
+), first as (
+  select span_text, min(doc_id) as holder from spans group by 1
+), gone as (
+  select distinct rn, p + k as p from spans join first using (span_text), range({width}) t(k) where holder < doc_id
+), each as (
+  select rn, unnest(words) as word, unnest(range(1, len(words) + 1)) as p from texts
+), kept as (
+  select each.rn, count(*) as n_words, count(gone.rn) as n_removed, coalesce(string_agg(word, ' ' order by each.p) filter (where gone.rn is null), '') as kept
+  from each left join gone on gone.rn = each.rn and gone.p = each.p group by 1
+)
+select doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from texts left join kept using (rn)
+"""

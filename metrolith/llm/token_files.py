@@ -52,6 +52,7 @@ def stash_ids(spark: SparkSession, docs: DataFrame, path: str, model: str, end_i
                 held = pa.Array.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(found.ids().astype(kind).tobytes())])
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], held.cast(pa.binary()), pa.array(np.arange(row, row + b - a))], ["doc_id", "ids", "row"])
                 row += b - a
+        common.give_back()
 
     rows = common.id_and_bytes(docs).mapInArrow(run, "doc_id long, ids binary, row long")
     rows.write.option("compression", "zstd").parquet(path)

@@ -204,6 +204,7 @@ def fingerprint_table(docs: DataFrame, shingle: int, tables: int, check: Check |
                     lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * check.bands), pa.array(keys.reshape(-1).view(np.int64)))
                     parts += [pa.array(np.diff(at)), pa.array((total[at[1:]] - total[at[:-1]]).view(np.int64)), lists, text]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(2)[a:b], first, *parts], names)
+        common.give_back()
 
     return common.id_and_bytes(docs).withColumn("copy", F.xxhash64("text")).mapInArrow(make, schema)
 
@@ -225,6 +226,7 @@ def _shingle_sets(spark: SparkSession, table: DataFrame, nodes: DataFrame, check
                 counts = np.bincount(common.owner_of(at) * GIST + (hashes >> np.uint64(57)).astype(np.int64), minlength=(y - x) * GIST)
                 gist = np.minimum(counts, 255).astype(np.uint8).reshape(-1, GIST)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[x:y], lists, pa.array([g.tobytes() for g in gist], pa.binary())], ["node", "grams", "gist"])
+        common.give_back()
 
     path = common.scratch(spark, "shingle-sets")
     texts = table.select("node", "text").join(_few(spark, nodes.distinct()), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
@@ -383,6 +385,7 @@ def _labelled(spark: SparkSession, docs: DataFrame, shingle: int = 3, radius: in
         names = part["node"].to_numpy(np.int64)
         sketch = np.frombuffer(b"".join(part["sketch"]), np.uint64).reshape(len(part), -1) if check else None
         root = link_points(points, radius, sketch, most)
+        common.give_back()
         rows = np.flatnonzero(root != np.arange(len(root)))
         return pd.DataFrame({"a": names[rows], "b": names[root[rows]]})
 
