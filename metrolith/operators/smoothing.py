@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,12 +82,19 @@ def cells_of(series: dict[str, tuple[np.ndarray, np.ndarray]], n: int, neighbour
 _SERIES = ("classic", "ebike", "any")
 
 
-def _dense(cells: list[dict] | None) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Sums and sums of squares by series, in 96 bins; bins without a cell are zero."""
-    out = {m: (np.zeros(BINS), np.zeros(BINS)) for m in _SERIES}
-    for c in cells or ():
-        s, q = out[c["series"]]
-        s[c["bin"]], q[c["bin"]] = c["s"], c["q"]
+def _dense(cells: pa.Array) -> np.ndarray:
+    """Lists of (series, bin, s, q) as an array (row, series, sum or square, bin); bins without a cell are zero."""
+    if isinstance(cells, pa.ChunkedArray):
+        cells = cells.combine_chunks()
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(cells), 0))
+    out = np.zeros((len(cells), len(_SERIES), 2, BINS))
+    flat = cells.flatten()
+    if len(flat):
+        row = np.repeat(np.arange(len(cells)), sizes)
+        series = np.asarray(pc.index_in(flat.field("series"), pa.array(_SERIES)))
+        place = np.asarray(flat.field("bin"))
+        for k, name in enumerate(("s", "q")):
+            out[row, series, k, place] = np.asarray(flat.field(name), np.float64)
     return out
 
 
@@ -109,10 +117,19 @@ def smooth(tallies: DataFrame, active: DataFrame, neighbours: DataFrame, keys: D
 
     def run(batches):
         for batch in batches:
-            for r in batch.to_pylist():
-                around = [(x["days"], _dense(x["cells"])) for x in sorted(r["near"] or [], key=lambda x: x["rank"])]
-                made = cells_of(_dense(r["cells"]), r["n"], {m: [of[m][0] / days for days, of in around] for m in _SERIES}, kappas)
-                same = [pa.array([r[c]] * BINS, pa.string()) for c in side]
-                yield pa.RecordBatch.from_arrays([*same, pa.array(np.arange(BINS, dtype=np.int32)), *(pa.array(made[c], pa.int32()) for c in names[4:])], names)
+            own, near = _dense(batch.column("cells")), batch.column("near")
+            flat = near.flatten()
+            owner = np.repeat(np.arange(batch.num_rows), np.asarray(pc.fill_null(pc.list_value_length(near), 0)))
+            order = np.lexsort((np.asarray(flat.field("rank")), owner)) if len(flat) else np.empty(0, int)
+            lent = _dense(flat.field("cells"))[:, :, 0] / np.asarray(flat.field("days"), np.float64)[:, None, None] if len(flat) else np.zeros((0, 3, BINS))
+            at = np.searchsorted(owner[order], np.arange(batch.num_rows + 1))
+            made = []
+            for r, n in enumerate(batch.column("n").to_pylist()):
+                around = lent[order[at[r] : at[r + 1]]]
+                made.append(cells_of({m: (own[r, i, 0], own[r, i, 1]) for i, m in enumerate(_SERIES)}, n, {m: list(around[:, i]) for i, m in enumerate(_SERIES)}, kappas))
+            every = pa.array(np.repeat(np.arange(batch.num_rows), BINS))
+            same = [batch.column(c).take(every) for c in side]
+            bins = pa.array(np.tile(np.arange(BINS, dtype=np.int32), batch.num_rows))
+            yield pa.RecordBatch.from_arrays([*same, bins, *(pa.array(np.concatenate([m[c] for m in made]) if made else [], pa.int32()) for c in names[4:])], names)
 
     return rows.mapInArrow(run, CELL_SCHEMA)
