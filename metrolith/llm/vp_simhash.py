@@ -1,7 +1,7 @@
 """SimHash near-duplicates found by a vantage-point tree over Hamming distance (operator 7).
 
 1. Every text gets a 64-bit SimHash (see ``simhash``).  Equal fingerprints are one class.
-2. A vantage-point tree is built on the driver from at most ``SAMPLE`` distinct fingerprints, so its
+2. A vantage-point tree is built on the driver from at most ``MOST_SAMPLE`` distinct fingerprints, so its
    size is bounded.  It only decides how work is dealt, never which links are found.
 3. Every distinct fingerprint goes down the tree: at a node with vantage v and bound mu it goes inside if
    its distance d <= mu, else outside; and if mu < d <= mu + radius it is also sent inside, because by the
@@ -41,7 +41,9 @@ from pyspark.sql import functions as F
 from metrolith.llm import common, simhash
 from metrolith.llm.components import components
 
+#: Fingerprints that the tree is built from: 16 a leaf, but so many at least and at most.
 SAMPLE = 65_536
+MOST_SAMPLE = 2_000_000
 LEAF = 32_768
 BLOCK = 512
 HUBS = 3
@@ -361,8 +363,9 @@ def _labelled(spark: SparkSession, docs: DataFrame, shingle: int = 3, radius: in
     table.groupBy(*same, "node", *(["bands"] if check else [])).agg(F.min("doc_id").alias("first")).write.parquet(class_path)
     classes = spark.read.parquet(class_path)
     total = classes.count()
-    share = min(1.0, SAMPLE / max(total, 1))
-    picked = classes.where(F.pmod(F.xxhash64("keys", F.lit(7)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("keys").limit(2 * SAMPLE)
+    wanted = min(max(SAMPLE, 16 * total // LEAF), MOST_SAMPLE)
+    share = min(1.0, wanted / max(total, 1))
+    picked = classes.where(F.pmod(F.xxhash64("keys", F.lit(7)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("keys").limit(2 * wanted)
     sample = np.array([np.frombuffer(r["keys"], np.uint64) for r in picked.collect()], np.uint64).reshape(-1, tables)
     trees = [build_tree(np.unique(sample[:, t]), max(LEAF * len(sample) / max(total, 1), 8), radius) for t in range(tables)]
     most = check.most_apart() if check else 0
