@@ -55,7 +55,47 @@ def a4_daily_totals(spark, sf):
     return flows.daily_totals(_counts(spark, sf), *_window())
 
 
-@query()
+def _half(value: str, rounded: str = "round_even({}, 0)") -> str:
+    """SQL of the 16-bit pattern of a value, by its exponent ``e`` (see _EXPONENT)."""
+    return f"cast(case when {value} < pow(2.0, -14) then {rounded.format(f'{value} * 16777216.0')} else (e + 15) * 1024 + {rounded.format(f'{value} * pow(2.0, 10 - e)')} - 1024 end as integer)"
+
+
+def _with_exponent(table: str, value: str) -> str:
+    """SQL of a table's rows with ``c``, the value held at the largest finite one, and its exponent ``e``."""
+    return f"""(select *, case when c < pow(2.0, -14) then -14 when pow(2.0, e0) > c then e0 - 1 when pow(2.0, e0 + 1) <= c then e0 + 1 else e0 end as e from (select *, floor(log2(greatest(c, 1e-300))) as e0 from (select *, least({value}, 65504.0) as c from {table})))"""
+
+
+_VALUE = "case when {0} // 1024 = 0 then {0} * pow(2.0, -24) else (1024 + {0} % 1024) * pow(2.0, {0} // 1024 - 25) end"
+_BY_HOUR = "list_transform(range(0, 96), lambda b: (({0}[b // 4 * 4 + 1] + {0}[b // 4 * 4 + 2]) + {0}[b // 4 * 4 + 3]) + {0}[b // 4 * 4 + 4])"
+_LIMIT = (1000 * 1024 * 1_000_000 // 111_195) ** 2
+
+# the folds of the operator, in its order: lists of 96 bins, sums from left to right, neighbours by rank
+_SMOOTHED = f"""with {a.COUNTS}, {a.HOLIDAYS}, {_TALLY}, {_ACTIVE}, keys as (select distinct key from counts),
+pl as (select key, 40700000 + cast(key as bigint) * 7919 % 20000 as lat, -74000000 + cast(key as bigint) * 104729 % 20000 as lon from keys),
+pairs as (select x.key, y.key as neighbour, ((x.lat - y.lat) * 1024) * ((x.lat - y.lat) * 1024) + ((x.lon - y.lon) * 776) * ((x.lon - y.lon) * 776) as sq from pl x join pl y on x.key <> y.key),
+nb as (select key, neighbour, row_number() over (partition by key order by sq, neighbour) as rank from pairs where sq <= {_LIMIT} qualify rank <= 8),
+side as (select k.key, d.day_type, r.direction, coalesce(x.n, 0) as n from keys k cross join (values ('weekday'), ('weekend')) d(day_type) cross join (values ('arrivals'), ('departures')) r(direction) left join active x on x.key = k.key and x.day_type = d.day_type and x.direction = r.direction),
+dense as (select s.key, s.day_type, s.direction, s.n, v.series, list(coalesce(t.s, 0)::double order by b.bin) as s, list(coalesce(t.q, 0)::double order by b.bin) as q from side s cross join (values ('classic'), ('ebike'), ('any')) v(series) cross join range(0, 96) b(bin)
+  left join tally t on t.key = s.key and t.day_type = s.day_type and t.direction = s.direction and t.series = v.series and t.bin = b.bin group by all),
+means as (select *, list_transform(s, lambda x: case when n > 0 then x / n else 0.0::double end) as raw from dense),
+lent as (select nb.key, m.day_type, m.direction, m.series, list(m.raw order by nb.rank) as rs from nb join means m on m.key = nb.neighbour where m.n > 0 group by all),
+shaped as (select m.*, len(l.rs) as lenders, list_transform(range(1, 97), lambda i: case when l.rs is null then 0.0::double else list_reduce(list_transform(l.rs, lambda r: r[i]), lambda x, y: x + y) end) as shape from means m left join lent l on l.key = m.key and l.day_type = m.day_type and l.direction = m.direction and l.series = m.series),
+folded as (select *, list_reduce(shape, lambda x, y: x + y) as mass, list_reduce(raw, lambda x, y: x + y) as total from shaped),
+priored as (select *, list_transform(shape, lambda x: case when mass > 0 then x / mass * (case when n > 0 then total else mass / lenders end) else total / 96 end) as prior from folded),
+hourly as (select *, {_BY_HOUR.format('s')} as hs, {_BY_HOUR.format('prior')} as hp, {_BY_HOUR.format('raw')} as busy, list_transform(range(1, 97), lambda i: case when n >= 2 then (n * q[i] - s[i] * s[i]) / (n * (n - 1)) else 0.0::double end) as variance from priored),
+varied as (select *, {_BY_HOUR.format('variance')} as hv from hourly),
+bins as (select key, day_type, direction, series, n, i - 1 as bin, (s[i] + 4.0::double * ((hs[i] + 8.0::double * hp[i]) / (4 * (n + 8.0::double)))) / (n + 4.0::double) as mean, raw[i] as raw, variance[i] as variance, case when busy[i] > 0 then hv[i] / busy[i] else 1.0::double end as ratio from varied, range(1, 97) t(i)),
+cells as (select key, day_type, direction, series, bin, mean, case when n < 2 then 1.0::double else greatest(1.0::double, (n * (case when raw > 0 then variance / raw else ratio end) + 6.0::double * ratio) / (n + 6.0::double)) end as phi from bins),
+two as (select *, mean as v, 'mean' as slot from cells where series <> 'any' union all select *, mean * phi, 'variance' from cells where series <> 'any'),
+stored as (select key, day_type, direction, bin, series, slot, {_half('c')} as bits from {_with_exponent('two', 'v')}),
+flat as (select key, day_type, direction, bin, max(bits) filter (where series = 'classic' and slot = 'mean') as mean_classic, max(bits) filter (where series = 'classic' and slot = 'variance') as variance_classic, max(bits) filter (where series = 'ebike' and slot = 'mean') as mean_ebike, max(bits) filter (where series = 'ebike' and slot = 'variance') as variance_ebike from stored group by all),
+whole as (select f.*, {_VALUE.format('f.mean_classic')} + {_VALUE.format('f.mean_ebike')} as least_any, (c.mean + e.mean) * y.phi as exact from flat f join cells c on c.series = 'classic' and c.key = f.key and c.day_type = f.day_type and c.direction = f.direction and c.bin = f.bin
+  join cells e on e.series = 'ebike' and e.key = f.key and e.day_type = f.day_type and e.direction = f.direction and e.bin = f.bin join cells y on y.series = 'any' and y.key = f.key and y.day_type = f.day_type and y.direction = f.direction and y.bin = f.bin),
+near as (select key, day_type, direction, bin, mean_classic, variance_classic, mean_ebike, variance_ebike, least_any, {_half('c')} as own from {_with_exponent('whole', 'exact')})
+select key, day_type, direction, cast(bin as integer) as bin, mean_classic, variance_classic, mean_ebike, variance_ebike, greatest(own, {_half('c', 'ceil({})')}) as variance_any from {_with_exponent('near', 'least_any')}"""
+
+
+@query(_SMOOTHED)
 def a5_a6_smoothed_cells(spark, sf):
     counts = flows.with_day_type(_counts(spark, sf), a.holidays(spark))
     keys = counts.select("key").distinct()

@@ -143,7 +143,22 @@ def f33_edge_costs(spark, sf):
     return rows.select("p_partkey", fields.walk_cost(F.col("dm"), k % 5 != 0, k % 7 == 0).alias("walk_ms"), fields.bike_cost(F.col("dm"), k % 3 != 0, k % 11 == 0, kind).alias("bike_ms"))
 
 
-@query()
+# the rules for ways that have only these tags, one case after another
+_STREET = """with t as (select p_partkey, list_value({routed}, 'motorway', 'construction')[p_partkey % 22 + 1] as highway, [null, 'yes', '-1', null, 'reversible'][p_partkey // 3 % 5 + 1] as oneway, [null, 'yes', 'no', null, 'designated', null][p_partkey // 5 % 6 + 1] as bicycle, [null, null, 'no', 'yes'][p_partkey // 7 % 4 + 1] as foot,
+  [null, null, null, 'private'][p_partkey // 11 % 4 + 1] as access, [null, 'lane', null, 'track', 'opposite_lane', 'shared_lane'][p_partkey // 13 % 6 + 1] as lane, [null, null, null, 'sidewalk', 'crossing'][p_partkey // 17 % 5 + 1] as footway, [null, 'Main St', null][p_partkey // 19 % 3 + 1] as own_name, [null, null, 'yes'][p_partkey // 23 % 3 + 1] as over from part),
+u as (select *, case when highway in ('motorway', 'construction') then 'not routed' end as first_drop, footway is not null as on_side, coalesce(bicycle in ('yes', 'designated'), false) as may_ride, access is not null as shut, case oneway when 'yes' then 1 when '-1' then -1 when 'reversible' then 2 else 0 end as road, coalesce(lane like 'opposite%', false) as counter, over is not null as bridge from t),
+v as (select *, first_drop is null and not on_side and coalesce(foot, '') <> 'no' and (not shut or coalesce(foot, '') = 'yes') as walk,
+  first_drop is null and highway <> 'steps' and coalesce(bicycle, '') <> 'no' and not (shut and not may_ride) and (highway not in ('trunk', 'trunk_link', 'footway', 'path', 'pedestrian', 'bridleway') or may_ride) and (not on_side or highway = 'cycleway' or may_ride) as rides,
+  case when counter and road in (1, -1) then 0 else road end as bike_way, case when counter then case when road = -1 then 1 else -1 end when road in (1, -1) then road else 0 end as serves, case when lane = 'track' then 0 when lane in ('lane', 'opposite_lane') then 1 when lane = 'shared_lane' then 2 else 3 end as side_class,
+  case when highway in ('cycleway', 'footway', 'path', 'track', 'bridleway') then 0 when highway like 'trunk%' or highway like 'primary%' or highway like 'secondary%' or highway like 'tertiary%' then 3 else 2 end as base from u),
+w as (select *, rides and bike_way in (0, 1) as forward, rides and bike_way in (0, -1) as backward from v),
+x as (select *, first_drop is null and not walk and not forward and not backward as useless, ['protected', 'painted', 'shared', 'arterial'] as classes,
+  case when highway = 'service' then 'service road' when bridge and highway in ('footway', 'path', 'cycleway', 'pedestrian', 'steps', 'track', 'bridleway') then 'bridge path' when highway = 'footway' then 'footpath' when highway = 'path' then 'path' when highway = 'cycleway' then 'bike path' when highway = 'steps' then 'steps' when highway = 'pedestrian' then 'pedestrian street' when highway = 'track' then 'track' when highway = 'bridleway' then 'bridle path' else 'road' end as label from w)
+select p_partkey, coalesce(first_drop, case when useless and on_side then 'sidewalk' when useless then 'no access' end) as "drop", walk, forward as bike_forward, backward as bike_backward, case when forward then classes[least(case when serves in (0, 1) then side_class else 3 end, base) + 1] end as class_forward,
+case when backward then classes[least(case when serves in (0, -1) then side_class else 3 end, base) + 1] end as class_backward, bridge, highway = 'steps' as stairs, case when first_drop is null then coalesce(own_name, label) end as name, case when first_drop is null then case when own_name is not null then 'name' else 'label' end end as name_kind, on_side as sidewalk from x""".replace("{routed}", ", ".join(f"'{v}'" for v in street_rules.ROUTED))
+
+
+@query(_STREET)
 def f35_p8_street_rules(spark, sf):
     k = F.col("p_partkey")
     pick = lambda values, by: F.element_at(F.array(*[F.lit(v) for v in values]), (by % len(values) + 1).cast("int"))

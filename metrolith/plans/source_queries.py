@@ -16,6 +16,7 @@ from metrolith.plans import adapters as a
 from metrolith.plans.registry import query, table
 from metrolith.session import scratch_path, ship_package
 from metrolith.sources import csv, gtfs, mobility, versions
+from metrolith.streaming import trip_stream
 
 LAYOUT = gtfs.LAYOUT
 
@@ -454,3 +455,20 @@ def p5_clipped_rules(spark, sf):
 @query("select p_partkey, row_number() over (order by p_name, p_size desc, p_partkey) - 1 as place from part")
 def t10_canonical_order(spark, sf):
     return numbered(table(spark, sf, "part"), [F.col("p_name"), F.col("p_size").desc(), F.col("p_partkey")], "place").select("p_partkey", "place")
+
+
+@query("""with t as (select event_id, concat('st', user_id) as a, case when event_id % 7 = 0 then '' else concat('en', event_id % 50) end as b, ts, ts + interval 10 minute as later, case when event_id % 3 = 0 then 'ebike' else 'classic' end as bike from events where event_id % 3 < 2),
+e as (select a as id, ts as at_, bike, 'departures' as direction from t union all select b, later, bike, 'arrivals' from t) select id, cast(at_ as date) as day, cast((hour(at_) * 60 + minute(at_)) // 15 as integer) as bin, bike, direction, count(*) as n from e where id <> '' group by all""")
+def s2_9_trip_stream(spark, sf):
+    """Monthly files as a stream, in two runs of one checkpoint: the second finds only what is new."""
+    e = table(spark, sf, "events").where("event_id % 3 < 2")
+    k, fmt = F.col("event_id"), "yyyy-MM-dd HH:mm:ss"
+    rows = e.select(
+        F.when(k % 3 == 0, "electric_bike").otherwise("classic_bike").alias("rideable_type"), F.date_format("ts", fmt).alias("started_at"), F.date_format(F.col("ts") + F.expr("interval 10 minutes"), fmt).alias("ended_at"),
+        _text("st", F.col("user_id")).alias("start_station_id"), F.when(k % 7 == 0, "").otherwise(_text("en", k % 50)).alias("end_station_id"), F.lit("a").alias("start_station_name"), F.lit("b").alias("end_station_name"), k,
+    )
+    folder, target, checkpoint = (scratch_path(spark, n) for n in ("arriving", "counts", "stream"))
+    for part in (0, 1):
+        rows.where(k % 2 == part).drop("event_id").write.mode("append").option("header", True).csv(folder)
+        trip_stream.start_incremental(trip_stream.read_trip_stream(spark, folder), target, checkpoint).awaitTermination()
+    return trip_stream.read_counts(spark, target)
