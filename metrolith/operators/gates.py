@@ -31,7 +31,7 @@ def trip_count_gate(current: DataFrame, previous: DataFrame, holidays: DataFrame
     beyond = (F.col("reference") > 0) & (F.abs(change) > F.col("reference") * most_percent)
     taken = F.col("system").isin(*accepted) if accepted else F.lit(False)
     status = (
-        F.when(F.col("basis") == "none", "not compared")
+        F.when(F.col("basis") == "none", "no reference")
         .when(~beyond, "ok")
         .when(taken & (-change <= F.col("reference") * floor_percent), "accepted")
         .otherwise("failed")
@@ -77,7 +77,7 @@ def artifact_gate(artifacts: DataFrame, required: list[tuple[str, int]]) -> Data
     """(kind, status): each required kind is there once, opens, and has the format that is asked for."""
     wanted = artifacts.sparkSession.createDataFrame(required, "kind string, wanted int")
     found = artifacts.groupBy("kind").agg(F.count("*").alias("n"), F.bool_and("opens").alias("opens"), F.max("format").alias("format"))
-    status = F.when(F.col("n").isNull(), "missing").when(F.col("n") > 1, "repeated").when(~F.col("opens"), "does not open").when(F.col("format") != F.col("wanted"), "wrong format").otherwise("ok")
+    status = F.when(F.col("n").isNull(), "missing").when(F.col("n") > 1, "repeated").when(~F.col("opens"), "unreadable").when(F.col("format") != F.col("wanted"), "wrong format").otherwise("ok")
     return wanted.join(found, "kind", "left").select("kind", status.alias("status"))
 
 
@@ -148,6 +148,103 @@ def swept(objects: DataFrame, manifests: DataFrame, keep_last: int, always: Colu
     return joined.select("name", F.when(keep, "keep").otherwise("delete").alias("action"))
 
 
+def rollback_plan(manifests: DataFrame, blobs: DataFrame, set_id: str, current_at: Column, now: Column) -> DataFrame:
+    """(name, status, generated_at): what putting an older set back finds for each of its artifacts, under a new time.
+
+    manifests: set_id, generated_at, name, sha, bytes - the newest manifest of the set counts; blobs: sha, bytes.  Status: ok,
+    missing, wrong size, or too early where the new time is not after the current set's.
+    """
+    own = manifests.where(F.col("set_id") == set_id)
+    newest = own.agg(F.max("generated_at").alias("_at"))
+    rows = own.join(F.broadcast(newest), F.col("generated_at") == F.col("_at"))  # one row
+    held = blobs.select(F.col("sha").alias("_sha"), F.col("bytes").alias("_bytes"))
+    status = F.when(now <= current_at, "too early").when(F.col("_bytes").isNull(), "missing").when(F.col("_bytes") != F.col("bytes"), "wrong size").otherwise("ok")
+    return rows.join(held, F.col("sha") == F.col("_sha"), "left").select("name", status.alias("status"), now.alias("generated_at"))
+
+
+def reference_check(rows: DataFrame, column: str, known: DataFrame | None, key: str, check: str) -> DataFrame:
+    """One row (check, checked, errors, status) of a reference check; skipped where what it refers to was carried forward."""
+    if known is None:
+        return rows.agg(F.lit(check).alias("check"), F.lit(0).cast("bigint").alias("checked"), F.lit(0).cast("bigint").alias("errors"), F.lit("skipped").alias("status"))
+    wrong = missing_references(rows, column, known, key).agg(F.count("*").alias("errors"))
+    total = rows.agg(F.count(column).alias("checked"))
+    status = F.when(F.col("errors") > 0, "failed").otherwise("ok")
+    return total.crossJoin(F.broadcast(wrong)).select(F.lit(check).alias("check"), "checked", "errors", status.alias("status"))  # one row each
+
+
+def vouched(artifacts: DataFrame, reports: DataFrame, previous: DataFrame) -> DataFrame:
+    """(name, status): an artifact is checked if a built report has its hash, skipped if the previous set holds the same one, else failed.
+
+    artifacts: name, sha; reports: name, sha, outcome, passed; previous: name, sha.
+    """
+    told = reports.select(F.col("name").alias("_r"), F.col("sha").alias("_rsha"), "outcome", "passed")
+    old = previous.select(F.col("name").alias("_p"), F.col("sha").alias("_psha"))
+    both = artifacts.join(told, F.col("name") == F.col("_r"), "left").join(old, F.col("name") == F.col("_p"), "left")
+    own = F.coalesce((F.col("outcome") == "built") & (F.col("_rsha") == F.col("sha")), F.lit(False))
+    same = F.coalesce(F.col("_psha") == F.col("sha"), F.lit(False))
+    return both.select("name", F.when(own & F.col("passed"), "ok").when(own, "failed").when(same, "skipped").otherwise("failed").alias("status"))
+
+
+# invariants of what is built: rows that break a rule
+
+
+def broken_offsets(offsets: DataFrame, total: DataFrame) -> DataFrame:
+    """(section, place, rule): offsets of a section begin at 0, never fall, and end at its number of entries.
+
+    offsets: section, place (from 0), value; total: section, entries.
+    """
+    before = F.lag("value").over(Window.partitionBy("section").orderBy("place"))
+    falls = offsets.withColumn("_b", before).where(F.col("value") < F.col("_b")).select("section", "place", F.lit("falls").alias("rule"))
+    starts = offsets.where("place = 0 and value <> 0").select("section", "place", F.lit("does not begin at 0").alias("rule"))
+    last = offsets.groupBy("section").agg(F.max(F.struct("place", "value")).alias("l")).select("section", "l.place", "l.value")
+    ends = last.join(total, "section").where("value <> entries").select("section", "place", F.lit("does not end at its entries").alias("rule"))
+    return starts.unionByName(falls).unionByName(ends)
+
+
+def broken_edges(edges: DataFrame, segments: DataFrame) -> DataFrame:
+    """(edge, rule): an edge may be used by some mode, and its segment joins its own ends in the stated direction.
+
+    edges: edge, src, dst, segment, reversed, walk, ride; segments: segment, a, b.
+    """
+    useless = edges.where(~(F.col("walk") | F.col("ride"))).select("edge", F.lit("no mode").alias("rule"))
+    held = segments.select(F.col("segment").alias("_s"), "a", "b")
+    joined = edges.join(held, F.col("segment") == F.col("_s"), "left")
+    start, end = F.when(F.col("reversed"), F.col("b")).otherwise(F.col("a")), F.when(F.col("reversed"), F.col("a")).otherwise(F.col("b"))
+    rule = F.when(F.col("_s").isNull(), "no segment").when((start != F.col("src")) | (end != F.col("dst")), "other ends")
+    return useless.unionByName(joined.select("edge", rule.alias("rule")).where("rule is not null"))
+
+
+def broken_hops(hops: DataFrame, rail: DataFrame) -> DataFrame:
+    """(origin, dest, rule): hops lead between different rail stops, once a pair, with a bound, pickups and docks without repeats.
+
+    hops: origin, dest, min_decameters, min_walk, pickups, docks (arrays, nulls only at the end); rail: stop.
+    """
+    stops = rail.select("stop").distinct()
+    pair = ["origin", "dest"]
+    found = hops.where("origin = dest").select(*pair, F.lit("to itself").alias("rule"))
+    for end in pair:
+        found = found.unionByName(hops.join(stops, F.col(end) == F.col("stop"), "left_anti").select(*pair, F.lit(f"{end} is no rail stop").alias("rule")))
+    found = found.unionByName(hops.groupBy(*pair).agg(F.count("*").alias("n")).where("n > 1").select(*pair, F.lit("repeated").alias("rule")))
+    found = found.unionByName(hops.where("min_decameters is null or min_walk is null").select(*pair, F.lit("no bound").alias("rule")))
+    for name in ("pickups", "docks"):
+        used = F.filter(name, lambda x: x.isNotNull())
+        rule = F.when(F.size(used) == 0, f"no {name}").when(F.exists(F.slice(name, F.lit(1), F.size(used)), lambda x: x.isNull()), f"gap in {name}").when(F.size(F.array_distinct(used)) < F.size(used), f"repeat in {name}")
+        found = found.unionByName(hops.select(*pair, rule.alias("rule")).where("rule is not null"))
+    return found
+
+
+def broken_patterns(patterns: DataFrame, stops: DataFrame, trips: DataFrame) -> DataFrame:
+    """(pattern, rule): a pattern has two stops and a trip at least, all of its trips as many times as it has stops.
+
+    patterns: pattern; stops: pattern, pos; trips: trip, pattern, calls.
+    """
+    n_stops = stops.groupBy("pattern").agg(F.count("*").alias("n_stops"))
+    of_trips = trips.groupBy("pattern").agg(F.min("calls").alias("low"), F.max("calls").alias("high"))
+    joined = patterns.join(n_stops, "pattern", "left").join(of_trips, "pattern", "left")
+    rule = F.when(F.coalesce("n_stops", F.lit(0)) < 2, "fewer than two stops").when(F.col("low").isNull(), "no trip").when((F.col("low") != F.col("n_stops")) | (F.col("high") != F.col("n_stops")), "a trip of another length")
+    return joined.select("pattern", rule.alias("rule")).where("rule is not null")
+
+
 #: Steps of a build and what they need; a failed step stops those that need it, the others go on.
 STEPS = {"streets": (), "timetables": (), "stations": ("streets",), "config": (), "links": ("streets", "timetables", "stations", "config"), "flows": (), "gate": ("streets", "timetables", "stations", "config", "links", "flows"), "manifest": ("gate",), "heartbeat": ()}
 

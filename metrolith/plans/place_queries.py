@@ -509,3 +509,43 @@ def f28_buffered_hulls(spark, sf):
     ring = rows.select("area", geo.hull_around(F.col("points"), F.lit(30.0)).alias("ring"))
     turned = F.zip_with("ring", F.concat(F.slice("ring", 2, F.size("ring")), F.slice("ring", 1, 1)), lambda p, q: p["x"] * q["y"] - q["x"] * p["y"])
     return ring.select("area", F.size("ring").alias("corners"), F.round(F.aggregate(turned, F.lit(0.0), lambda s, v: s + v) / 2).cast("bigint").alias("square_metres"))
+
+
+_ON_SEGMENTS = """st as (select s_suppkey as station, s_suppkey * 37 % 380 as a, s_suppkey * 37 % 380 + 20 as b, (s_suppkey % 9 + 1) / 10::double as f, (s_suppkey % 90)::double as leg from supplier), sg as (select st.*, x.cost as ahead, y.cost as back from st left join gr x on x.src = st.a and x.dst = st.b left join gr y on y.src = st.b and y.dst = st.a),
+seeds as (select station as origin, b as node, cast(floor(ahead * (1.0::double - f) + 0.5) as bigint) as cost from sg where ahead is not null union all select station, a, cast(floor(back * f + 0.5) as bigint) from sg where back is not null)"""
+
+
+@query(f"""with recursive {_GRID}, {_ON_SEGMENTS}, walk as (select origin, node, min(cost) as cost, 0 as hops from seeds group by all union all select origin, node, min(cost), hops from (select w.origin, e.dst as node, w.cost + e.cost as cost, w.hops + 1 as hops from walk w join gr e on e.src = w.node where w.hops < 70) group by origin, node, hops), best as (select origin, node, min(cost) as cost from walk group by all),
+options as (select b.origin, q.station as dest, b.cost + cast(floor(q.ahead * q.f + 0.5) as bigint) as cost, 1 as way, b.cost + q.ahead * q.f as dm from best b join sg q on q.a = b.node where q.ahead is not null union all select b.origin, q.station, b.cost + cast(floor(q.back * (1.0::double - q.f) + 0.5) as bigint), 2, b.cost + q.back * (1.0::double - q.f) from best b join sg q on q.b = b.node where q.back is not null
+union all select x.station, y.station, cast(floor((case when y.f >= x.f then x.ahead else x.back end) * abs(y.f - x.f) + 0.5) as bigint), 0, (case when y.f >= x.f then x.ahead else x.back end) * abs(y.f - x.f) from sg x join sg y on x.a = y.a and x.station <> y.station where case when y.f >= x.f then x.ahead else x.back end is not null),
+m as (select origin, dest, min(struct_pack(cost, way, dm)) as m from options where origin <> dest group by all) select origin, dest, cast(floor((p.leg + m.m.dm / 10 + q.leg) / 10 + 0.5) as bigint) as decameters from m join st p on p.station = origin join st q on q.station = dest union all select station, station, 0 from st""")
+def g5_matrix_on_segments(spark, sf):
+    k, edges = F.col("s_suppkey"), _grid(spark, sf)
+    own = table(spark, sf, "supplier").select(k.alias("station"), (k * 37 % 380).alias("segment"), (k * 37 % 380).alias("a"), (k * 37 % 380 + 20).alias("b"), ((k % 9 + 1) / 10).alias("fraction"), (k % 90).cast("double").alias("leg"))
+    for name, src, dst in (("ahead", "a", "b"), ("back", "b", "a")):
+        own = own.join(edges.select(F.col("src").alias(src), F.col("dst").alias(dst), F.col("cost").alias(f"{name}_cost"), F.col("length").alias(f"{name}_length")), ["a", "b"], "left")
+    return graph.matrix_on_segments(spark, edges, own)
+
+
+_PIECES = f"""{a.LINES}, pc as (select l_orderkey * 10 + l_linenumber as piece, l_orderkey % 2000 as a, case when l_partkey % 40 = 0 and l_orderkey % 2000 // 20 % 5 <> 4 then l_orderkey % 2000 + 20 when l_partkey % 97 = 0 then l_orderkey % 2000 // 20 * 20 + l_partkey % 20 else l_orderkey % 2000 // 20 * 20 + greatest(l_orderkey % 20, (l_orderkey * 7 + l_linenumber) % 20) end as b,
+  l_partkey + l_orderkey % 2000 // 400 * 300 as length, case when l_partkey % 7 <> 0 then l_linenumber % 3 end as region, l_partkey % 4 = 0 as walk, l_partkey % 3 = 0 as fw, l_partkey % 5 = 0 as bw from lines),
+us as (select * from pc where walk or fw or bw), n1 as (select a as x, b as y from us union select b, a from us), r1 as (select x as node, x as seen from n1 union select r.node, n.y from r1 r join n1 n on n.x = r.seen), c1 as (select node, min(seen) as component from r1 group by 1), m1 as (select us.*, component from us join c1 on c1.node = us.a)"""
+
+
+def _kept_sql(rows: str) -> str:
+    total = f"(select component, sum(length) as total from {rows} group by 1)"
+    return f"(select component from {total} where total * 100 >= (select max(total) from {total}) * 60 union select component from (select component, row_number() over (partition by region order by sum(length) desc, component) as rn from {rows} where region is not null group by region, component) where rn = 1)"
+
+
+@query(f"""with recursive {_PIECES}, k1 as (select * exclude (component) from m1 where component in {_kept_sql('m1')}), n2 as (select a as x, b as y from k1 where walk union select b, a from k1 where walk), r2 as (select x as node, x as seen from n2 union select r.node, n.y from r2 r join n2 n on n.x = r.seen), c2 as (select node, min(seen) as component from r2 group by 1),
+m2 as (select k1.*, component from k1 join c2 on c2.node = k1.a where walk), w2 as (select piece from m2 where component in {_kept_sql('m2')}), arcs as (select a as x, b as y from k1 where fw union select b, a from k1 where bw), n3 as (select x as node from arcs union select y from arcs), r3 as (select node, node as seen from n3 union select r.node, e.y from r3 r join arcs e on e.x = r.seen),
+c3 as (select p.node, min(p.seen) as component from r3 p join r3 q on q.node = p.seen and q.seen = p.node group by 1), m3 as (select k1.*, x.component from k1 join c3 x on x.node = k1.a join c3 y on y.node = k1.b where (fw or bw) and x.component = y.component), w3 as (select piece from m3 where component in {_kept_sql('m3')}),
+f as (select piece, walk and piece in (select piece from w2) as walk, fw and piece in (select piece from w3) as forward, bw and piece in (select piece from w3) as backward from k1) select * from f where walk or forward or backward""")
+def g10_usable_pieces(spark, sf):
+    k, p, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
+    node, block = k % 2_000, F.floor(k % 2_000 / 20)
+    b = F.when((p % 40 == 0) & (block % 5 != 4), node + 20).when(p % 97 == 0, block * 20 + p % 20).otherwise(block * 20 + F.greatest(k % 20, (k * 7 + line) % 20))
+    pieces = a.lines(spark, sf).select(
+        (k * 10 + line).alias("piece"), node.alias("a"), b.alias("b"), (p + F.floor(node / 400) * 300).alias("length"), F.when(p % 7 != 0, line % 3).alias("region"), (p % 4 == 0).alias("walk"), (p % 3 == 0).alias("forward"), (p % 5 == 0).alias("backward"),
+    )
+    return graph.usable_pieces(spark, pieces, 60)

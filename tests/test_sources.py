@@ -130,7 +130,7 @@ def test_hand_kept_lists():
     for bad in ("date,name,profile\n20260704,x,weekend\n", "date,name,profile\n20260703,x,other\n", "date,name\n", "date,name,profile\n20260703,a,weekday\n20260703,b,weekday\n"):
         with pytest.raises(csv.CsvError):
             mobility.holidays(bad)
-    assert mobility.month_list("202611-202702") == [202611, 202612, 202701, 202702]
+    assert mobility.month_list("203010-203101") == [203010, 203011, 203012, 203101]
     with pytest.raises(ValueError):
         mobility.month_list("202611,202701")
     with pytest.raises(ValueError):
