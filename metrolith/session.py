@@ -63,9 +63,31 @@ def checkpoint_root(spark: SparkSession) -> str:
     return named or context.getCheckpointDir()
 
 
+#: Paths given out and not dropped yet.
+_GIVEN: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _GIVEN.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession, mark: int, *keep: str) -> None:
+    """Delete the scratch paths given out since ``mark`` (see ``scratch_mark``) but those to keep.
+
+    Only for a job whose result is written: a DataFrame that still reads from such a path would lose its rows.
+    """
+    jvm = spark._jvm
+    for path in [p for p in _GIVEN[mark:] if p not in keep]:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _GIVEN.remove(path)
+
+
+def scratch_mark() -> int:
+    return len(_GIVEN)
 
 
 def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
