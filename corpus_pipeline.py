@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metrolith.llm import common, line_winnow, ngram_llr, packing, substring_dedup, vp_simhash
+from metrolith.session import drop_scratch, scratch_mark
 
 #: Near copies: five trees over two-word fingerprints find pairs, five-word shingles at 0.8 confirm them.
 NEAR = {"shingle": 2, "radius": 3, "tables": 5, "check": vp_simhash.Check(shingle=5, similarity=0.8)}
@@ -73,10 +74,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written as Parquet in the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; each result is written as Parquet in the shared folder and read again.
+
+    What a stage wrote on its way goes when its result is there, and that result when the next one is.
+    """
+    docs, mark = spark.read.parquet(f"{sf_dir}/documents.parquet"), scratch_mark()
     for name, stage in STAGES[:-1]:
         path = common.scratch(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
+        drop_scratch(spark, mark, path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

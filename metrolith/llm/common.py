@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,8 +39,15 @@ scratch = scratch_path
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
+_gave_back = time.monotonic()
+
+
 def give_back() -> None:
-    """Return free memory to the system; a worker that waits for its next task would hold it."""
+    """Return free memory to the system, now and then; a worker that waits for its next task would hold it."""
+    global _gave_back
+    if time.monotonic() - _gave_back < 2:
+        return
+    _gave_back = time.monotonic()
     pa.default_memory_pool().release_unused()
     if _trim is not None:
         _trim(0)
@@ -141,15 +149,18 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int
 def mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of MurmurHash3 for 64 bits, a bijection."""
     x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xFF51AFD7ED558CCD)
-    x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(33)
+    x *= np.uint64(0xC4CEB9FE1A85EC53)
+    x ^= x >> np.uint64(33)
+    return x
 
 
 def join_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """A hash of ordered pairs of hashes."""
-    return mix(a * np.uint64(0x9E3779B97F4A7C15) + mix(b + np.uint64(0x2545F4914F6CDD1D)))
+    right = mix(b + np.uint64(0x2545F4914F6CDD1D))
+    right += a * np.uint64(0x9E3779B97F4A7C15)
+    return mix(right)
 
 
 def window_hash(hashes: np.ndarray, k: int) -> np.ndarray:

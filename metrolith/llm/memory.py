@@ -9,11 +9,11 @@ import pandas as pd
 
 from metrolith.llm import common
 
-#: Bytes that a memory holds, about; it is emptied when full.
+#: Bytes that a memory holds, about; when full it keeps the spans that were asked for again.
 MOST_BYTES = 48_000_000
-_YOUNG = 50_000
+_YOUNG = 80_000
 #: A settled span's hashes, place and size; a young one's, as Python numbers in a dict and three lists.
-_OLD_BYTES, _YOUNG_BYTES = 28, 260
+_OLD_BYTES, _YOUNG_BYTES = 29, 260
 
 
 def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,6 +51,7 @@ class SpanMemory:
         self.second = np.empty(0, np.uint64)
         self.start = np.empty(0, np.int64)
         self.size = np.empty(0, np.int32)
+        self.again = np.empty(0, bool)
         self.pool = np.empty(0, self.kind)
         self.young: dict[int, int] = {}
         self.new: tuple[list, list, list] = ([], [], [])  # second, start, size of the young
@@ -63,12 +64,13 @@ class SpanMemory:
     def find(self, hashes: np.ndarray, second: np.ndarray, span: Callable[[int], bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(pool, start, size) of distinct spans; ``span(i)`` gives the bytes of one that is not known."""
         if self.held() > self.most:
-            self.clear()
+            self._forget()
         start, size = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
         at = np.searchsorted(self.key, hashes)
         at[at == len(self.key)] = 0
         hit = (self.key[at] == hashes) & (self.second[at] == second) if len(self.key) else np.zeros(len(hashes), bool)
         start[hit], size[hit] = self.start[at[hit]], self.size[at[hit]]
+        self.again[at[hit]] = True
         rest = np.flatnonzero(~hit)
         wanted = list(zip(rest.tolist(), hashes[rest].tolist(), second[rest].tolist()))
         unknown = []
@@ -99,4 +101,17 @@ class SpanMemory:
             order = np.argsort(key, kind="stable")
             self.key = key[order]
             self.second, self.start, self.size = (np.concatenate((old, new))[order] for old, new in zip((self.second, self.start, self.size), columns))
+            self.again = np.concatenate((self.again, np.zeros(len(place), bool)))[order]
             self.young, self.new = {}, ([], [], [])
+
+    def _forget(self) -> None:
+        """Keep the spans that were met again since the last time, or none if these are too many."""
+        self._settle(True)
+        keep = np.flatnonzero(self.again)
+        pool = gather(self.pool, self.start[keep], self.size[keep].astype(np.int64))
+        key, second, size = self.key[keep], self.second[keep], self.size[keep]
+        self.clear()
+        if _OLD_BYTES * len(key) + pool.nbytes <= self.most // 2:
+            self.key, self.second, self.size, self.pool, self.end = key, second, size, pool, len(pool)
+            self.start = np.cumsum(size, dtype=np.int64) - size
+            self.again = np.zeros(len(key), bool)

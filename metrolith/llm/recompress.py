@@ -53,10 +53,12 @@ def parse(hashes: np.ndarray, offsets: np.ndarray, rounds: int = ROUNDS) -> Symb
         before, after = first - 1, np.minimum(last, len(hashes) - 1)
         like_left = has_left & (hashes[before] == hashes[last - 1])
         like_right = has_right & (hashes[after] == hashes[first])
-        new_low = np.minimum(low, np.where(like_left, np.roll(low, 1), before))
-        new_low = np.where(like_right, np.minimum(new_low, np.roll(low, -1)), new_low)
-        new_high = np.maximum(high, np.where(like_right, np.roll(high, -1), last + 1))
-        new_high = np.where(like_left, np.maximum(new_high, np.roll(high, 1)), new_high)
+        left, right = np.flatnonzero(like_left), np.flatnonzero(like_right)
+        new_low, new_high = np.minimum(low, before), np.maximum(high, last + 1)
+        new_low[left] = np.minimum(low[left], low[left - 1])
+        new_low[right] = np.minimum(new_low[right], low[right + 1])
+        new_high[right] = np.maximum(high[right], high[right + 1])
+        new_high[left] = np.maximum(new_high[left], high[left - 1])
         low, high = new_low, new_high
         runs = np.flatnonzero(size > 1)
         if len(runs):
@@ -68,8 +70,14 @@ def parse(hashes: np.ndarray, offsets: np.ndarray, rounds: int = ROUNDS) -> Symb
         paired[begin] = True
         paired[begin + 1] = True
         wait_right, wait_left = ~paired & is_left, ~paired & ~is_left
-        new_low = np.where(wait_right & has_right, np.minimum(low, np.roll(low, -1)), np.where(wait_left, np.where(has_left, np.minimum(low, np.roll(low, 1)), first - 1), low))
-        new_high = np.where(wait_left & has_left, np.maximum(high, np.roll(high, 1)), np.where(wait_right, np.where(has_right, np.maximum(high, np.roll(high, -1)), last + 1), high))
+        new_low, new_high = low.copy(), high.copy()
+        for wait, near_side, step in ((wait_right, has_right, 1), (wait_left, has_left, -1)):
+            at = np.flatnonzero(wait & near_side)
+            new_low[at], new_high[at] = np.minimum(low[at], low[at + step]), np.maximum(high[at], high[at + step])
+        at = np.flatnonzero(wait_right & ~has_right)
+        new_high[at] = last[at] + 1
+        at = np.flatnonzero(wait_left & ~has_left)
+        new_low[at] = first[at] - 1
         new_low[begin] = np.minimum(low[begin], low[begin + 1])
         new_high[begin] = np.maximum(high[begin], high[begin + 1])
         name = name.copy()
@@ -136,7 +144,9 @@ def windows(hashes: np.ndarray, offsets: np.ndarray, width: int, rounds: int = R
     shift = np.zeros(len(start), np.uint64)
     shift[inside] = (low[symbol[inside]] - start[inside]).astype(np.uint64)
     item = np.where(inside, chosen, len(fits) + np.arange(len(start)))
-    seen, number = np.unique(item, return_inverse=True)
-    span = np.zeros(len(seen), np.uint64)
+    used = np.zeros(len(fits) + len(start), bool)
+    used[item] = True
+    number = (np.cumsum(used) - 1)[item]  # items without gaps
+    span = np.zeros(int(used.sum()), np.uint64)
     np.add.at(span, number, common.mix(content + shift * np.uint64(0x9E3779B97F4A7C15)))
     return Windows(start, doc[start], content, name, number, common.mix(span)[number])

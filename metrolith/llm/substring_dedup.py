@@ -94,7 +94,9 @@ class Batch:
         self.words = common.scan_words(table.column("text"))
         self.windows = w = recompress.windows(self.words.hashes, self.words.offsets, width)
         self.holder = self.ids[w.doc]
-        _, at, item = np.unique(w.item, return_index=True, return_inverse=True)
+        item = w.item  # numbers without gaps
+        at = np.empty(int(item.max()) + 1 if len(item) else 0, np.int64)
+        at[item[::-1]] = np.arange(len(item))[::-1]
         name, span, holder = w.name[at], w.span[at], self.holder[at]
         bucket = (common.mix(name) % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((span, name, bucket))
