@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,33 +90,46 @@ def binary_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-_RANDOM = np.random.Generator(np.random.PCG64(20240229))
-_TABLE = _RANDOM.integers(0, 2**64, 64 * 256, np.uint64)
-_SECOND_TABLE = _RANDOM.integers(0, 2**64, 64 * 256, np.uint64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_IS_WORD = np.ones(256, bool)
-_IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
-#: Words hashed at a time, which bounds the memory of a very long text.
-_WORDS_AT_ONCE = 300_000
+#: Of a load of eight bytes, those of a span's last n.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Odd factors of the two span hashes.
+_FACTORS = ((np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)), (np.uint64(0xE7037ED1A0B428DB), np.uint64(0xA0761D6478BD642F)))
+#: Longer spans are hashed one by one, in one call each.
+_LONG_SPAN = 256
+
+
+def word_bytes(data: np.ndarray) -> np.ndarray:
+    """Of each byte whether it is part of a word: all but space and 0x09 to 0x0D."""
+    return ~((data == 0x20) | (data - np.uint8(9) <= 4))
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, second: bool = False) -> np.ndarray:
-    """Tabulation hash of data[start:end], none empty; ``second`` asks for another, independent one."""
-    table = _SECOND_TABLE if second else _TABLE
-    out = np.empty(len(starts), np.uint64)
-    for a in range(0, len(starts), _WORDS_AT_ONCE):
-        s, e = starts[a : a + _WORDS_AT_ONCE], ends[a : a + _WORDS_AT_ONCE]
-        width = e - s
-        first = np.cumsum(width) - width
-        place = np.arange(first[-1] + width[-1]) - np.repeat(first, width)
-        piece = data[np.repeat(s, width) + place]
-        value = table[((place & 63) << 8) | piece]
-        if width.max() > 64:
-            far = np.flatnonzero(place >= 64)
-            value[far] = mix(value[far] + (place[far] >> 6).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        out[a : a + len(s)] = mix(np.add.reduceat(value, first) + width.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return out
+    """A 64-bit hash of data[start:end], none empty, eight bytes at a time; ``second`` asks for another, independent one."""
+    factor, sizes = _FACTORS[second]
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    loads = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    width = ends - starts
+    out = width.astype(np.uint64) * sizes
+    some, at, left = None, starts, width
+    while len(at):
+        value = loads[at] & _FIRST_BYTES[np.minimum(left, 8)]
+        value ^= out if some is None else out[some]
+        value *= factor
+        value ^= value >> np.uint64(29)
+        if some is None:
+            out = value
+            some = np.flatnonzero((width > 8) & (width <= _LONG_SPAN))
+            at, left = starts[some] + 8, width[some] - 8
+        else:
+            out[some] = value
+            more = left > 8
+            some, at, left = some[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(width > _LONG_SPAN):
+        out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes(), int(factor))
+    return mix(out)
 
 
 def scan_words(column: pa.Array, hashed: bool = True, lower: bool = False) -> Words:
@@ -123,7 +137,7 @@ def scan_words(column: pa.Array, hashed: bool = True, lower: bool = False) -> Wo
     data, at = binary_parts(column)
     if lower:
         data = _LOWER[data]
-    is_word = _IS_WORD[data]
+    is_word = word_bytes(data)
     begin, finish = is_word.copy(), is_word.copy()
     if len(data):
         begin[1:] &= ~is_word[:-1]

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 
-from metrolith.llm import common
-
 #: Bytes that a memory holds, about; when full it keeps the spans that were asked for again.
 MOST_BYTES = 48_000_000
-_YOUNG = 80_000
-#: A settled span's hashes, place and size; a young one's, as Python numbers in a dict and three lists.
-_OLD_BYTES, _YOUNG_BYTES = 29, 260
+#: Spans of the younger level, which is sorted anew whenever some are added.
+_YOUNG = 60_000
+_SEPARATOR = 0xFF  # in no text
 
 
 def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -39,79 +38,97 @@ def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return flat[np.repeat(start - at, size) + np.arange(int(size.sum()))]
 
 
+def texts_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
+    """The spans of UTF-8 bytes as texts, cut from one buffer."""
+    if not len(starts):
+        return []
+    width = ends - starts
+    filled = np.ones(int((width + 1).sum()), bool)
+    filled[np.cumsum(width + 1) - 1] = False
+    out = np.full(len(filled), _SEPARATOR, np.uint8)
+    out[filled] = gather(data, starts, width)
+    return [x.decode() for x in out[:-1].tobytes().split(bytes([_SEPARATOR]))]
+
+
+@dataclass
+class _Level:
+    """Spans sorted by their first hash: a second hash, the run in the pool, and whether they were met again."""
+
+    key: np.ndarray
+    second: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    again: np.ndarray
+
+    @classmethod
+    def none(cls) -> "_Level":
+        return cls(np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool))
+
+    def columns(self) -> tuple[np.ndarray, ...]:
+        return self.key, self.second, self.start, self.size, self.again
+
+    def nbytes(self) -> int:
+        return sum(c.nbytes for c in self.columns())
+
+    def merged(self, other: "_Level") -> "_Level":
+        key = np.concatenate((self.key, other.key))
+        order = np.argsort(key, kind="stable")
+        return _Level(key[order], *(np.concatenate(x)[order] for x in zip(self.columns()[1:], other.columns()[1:])))
+
+    def look_up(self, hashes: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which spans are here, and where."""
+        if not len(self.key):
+            return np.zeros(len(hashes), bool), np.empty(0, np.int64)
+        at = np.searchsorted(self.key, hashes)
+        at[at == len(self.key)] = 0
+        hit = (self.key[at] == hashes) & (self.second[at] == second)
+        at = at[hit]
+        self.again[at] = True
+        return hit, at
+
+
 class SpanMemory:
-    """What ``make`` turns distinct spans into (arrays of ``kind``), found again by two 64-bit hashes."""
+    """What ``make`` turns distinct spans into - a flat array of ``kind`` and the run lengths - found again by two 64-bit hashes."""
 
-    def __init__(self, make: Callable[[list[bytes]], list[np.ndarray]], kind: type, most: int = MOST_BYTES):
+    def __init__(self, make: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], kind: type, most: int = MOST_BYTES):
         self.make, self.kind, self.most = make, kind, most
         self.clear()
 
     def clear(self) -> None:
-        self.key = np.empty(0, np.uint64)
-        self.second = np.empty(0, np.uint64)
-        self.start = np.empty(0, np.int64)
-        self.size = np.empty(0, np.int32)
-        self.again = np.empty(0, bool)
+        self.old, self.young = _Level.none(), _Level.none()
         self.pool = np.empty(0, self.kind)
-        self.young: dict[int, int] = {}
-        self.new: tuple[list, list, list] = ([], [], [])  # second, start, size of the young
-        self.tail: list[np.ndarray] = []
-        self.end = 0
 
     def held(self) -> int:
-        return _OLD_BYTES * len(self.key) + _YOUNG_BYTES * len(self.young) + self.pool.nbytes
+        return self.old.nbytes() + self.young.nbytes() + self.pool.nbytes
 
-    def find(self, hashes: np.ndarray, second: np.ndarray, span: Callable[[int], bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(pool, start, size) of distinct spans; ``span(i)`` gives the bytes of one that is not known."""
+    def find(self, hashes: np.ndarray, second: np.ndarray, texts: Callable[[np.ndarray], list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pool, start, size) of distinct spans; ``texts(rows)`` gives those that are not known."""
         if self.held() > self.most:
             self._forget()
         start, size = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
-        at = np.searchsorted(self.key, hashes)
-        at[at == len(self.key)] = 0
-        hit = (self.key[at] == hashes) & (self.second[at] == second) if len(self.key) else np.zeros(len(hashes), bool)
-        start[hit], size[hit] = self.start[at[hit]], self.size[at[hit]]
-        self.again[at[hit]] = True
-        rest = np.flatnonzero(~hit)
-        wanted = list(zip(rest.tolist(), hashes[rest].tolist(), second[rest].tolist()))
-        unknown = []
-        for i, h, s in wanted:
-            place = self.young.get(h)
-            if place is not None and self.new[0][place] == s:
-                start[i], size[i] = self.new[1][place], self.new[2][place]
-            else:
-                unknown.append((i, h, s))
-        for (i, h, s), made in zip(unknown, self.make([span(i) for i, _, _ in unknown])):
-            start[i], size[i] = self.end, len(made)
-            self.young[h] = len(self.new[0])
-            for column, value in zip(self.new, (s, self.end, len(made))):
-                column.append(value)
-            self.tail.append(made)
-            self.end += len(made)
-        self._settle(len(self.young) > _YOUNG)
+        unknown = np.arange(len(hashes))
+        for level in (self.old, self.young):
+            hit, at = level.look_up(hashes[unknown], second[unknown])
+            start[unknown[hit]], size[unknown[hit]] = level.start[at], level.size[at]
+            unknown = unknown[~hit]
+        if len(unknown):
+            flat, runs = self.make(texts(unknown))
+            size[unknown] = runs
+            start[unknown] = len(self.pool) + np.cumsum(runs) - runs
+            self.pool = np.concatenate((self.pool, flat))
+            order = unknown[np.argsort(hashes[unknown], kind="stable")]
+            self.young = self.young.merged(_Level(hashes[order], second[order], start[order], size[order], np.zeros(len(order), bool)))
+            if len(self.young.key) > _YOUNG:
+                self.old, self.young = self.old.merged(self.young), _Level.none()
         return self.pool, start, size
 
-    def _settle(self, sort: bool) -> None:
-        if self.tail:
-            self.pool = np.concatenate([self.pool, *self.tail])
-            self.tail = []
-        if sort:
-            place = np.fromiter(self.young.values(), np.int64, len(self.young))
-            columns = [np.array(c, t)[place] for c, t in zip(self.new, (np.uint64, np.int64, np.int32))]
-            key = np.concatenate((self.key, np.fromiter(self.young.keys(), np.uint64, len(self.young))))
-            order = np.argsort(key, kind="stable")
-            self.key = key[order]
-            self.second, self.start, self.size = (np.concatenate((old, new))[order] for old, new in zip((self.second, self.start, self.size), columns))
-            self.again = np.concatenate((self.again, np.zeros(len(place), bool)))[order]
-            self.young, self.new = {}, ([], [], [])
-
     def _forget(self) -> None:
         """Keep the spans that were met again since the last time, or none if these are too many."""
-        self._settle(True)
-        keep = np.flatnonzero(self.again)
-        pool = gather(self.pool, self.start[keep], self.size[keep].astype(np.int64))
-        key, second, size = self.key[keep], self.second[keep], self.size[keep]
+        level, pool = self.old.merged(self.young), self.pool
+        keep = np.flatnonzero(level.again)
         self.clear()
-        if _OLD_BYTES * len(key) + pool.nbytes <= self.most // 2:
-            self.key, self.second, self.size, self.pool, self.end = key, second, size, pool, len(pool)
-            self.start = np.cumsum(size, dtype=np.int64) - size
-            self.again = np.zeros(len(key), bool)
+        size = level.size[keep]
+        pool = gather(pool, level.start[keep], size)
+        kept = _Level(level.key[keep], level.second[keep], np.cumsum(size) - size, size, np.zeros(len(keep), bool))
+        if kept.nbytes() + pool.nbytes <= self.most // 2:
+            self.old, self.pool = kept, pool

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metrolith.llm import common, pieces, tokens
-from metrolith.llm.memory import SpanMemory, distinct, gather
+from metrolith.llm.memory import SpanMemory, distinct, gather, texts_of
 
 MODEL = "piece_bpe_32k.model"
 GIANT = 65_536
@@ -47,10 +47,16 @@ class Encoder:
         self.piece_size = np.array([len(r) for r in raw], np.int64)
         self.piece_bytes = np.frombuffer(b"".join(raw), np.uint8)
 
-    def units(self, raw: list[bytes]) -> list[np.ndarray]:
+    def units(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of units, given with the dummy prefix where they have one."""
         ids, unit = self.model.ids, self.model.unit
-        return [np.array(ids(unit(u.decode().replace(" ", pieces.MARK))), np.int32) for u in raw]
+        flat: list[int] = []
+        sizes: list[int] = []
+        for u in texts:
+            found = ids(unit(u.replace(" ", pieces.MARK)))
+            flat += found
+            sizes.append(len(found))
+        return np.array(flat, np.int32), np.array(sizes, np.int64)
 
     def column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and n+1 offsets."""
@@ -65,9 +71,13 @@ class Encoder:
         hashes = common.hash_spans(w.data, begin, end) ^ heads
         code, first = distinct(w.data, begin, end, hashes)
         second = common.hash_spans(w.data, begin[first], end[first], second=True) ^ heads[first]
-        prefix = b" " if self.model.prefix else b""
-        span = lambda i: prefix * bool(head[first[i]]) + w.data[begin[first[i]] : end[first[i]]].tobytes()
-        pool, start, size = self.memory.find(hashes[first], second, span)
+        prefix = " " if self.model.prefix else ""
+
+        def texts(rows: np.ndarray) -> list[str]:
+            at = first[rows]
+            return [prefix + u if h else u for u, h in zip(texts_of(w.data, begin[at], end[at]), head[at].tolist())]
+
+        pool, start, size = self.memory.find(hashes[first], second, texts)
         asked = size[code]
         ids = gather(pool, start[code], asked)
         each = np.bincount(owner, weights=asked, minlength=len(w.offsets) - 1).astype(np.int64)

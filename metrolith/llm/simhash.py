@@ -15,11 +15,11 @@ def _joined(w: common.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All words in one buffer with one space after each; their places and widths there."""
     width = w.ends - w.starts
     at = np.cumsum(width + 1) - (width + 1)
-    out = np.full(int((width + 1).sum()) + 8, 0x20, np.uint8)
-    for a in range(0, len(width), 300_000):
-        n, s, t = width[a : a + 300_000], w.starts[a : a + 300_000], at[a : a + 300_000]
-        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        out[np.repeat(t, n) + place] = w.data[np.repeat(s, n) + place]
+    total = int((width + 1).sum())
+    out = np.full(total + 8, 0x20, np.uint8)
+    filled = np.ones(total, bool)
+    filled[at + width] = False
+    out[:total][filled] = w.data[w.is_word]
     return out, at, width
 
 

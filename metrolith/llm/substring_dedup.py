@@ -188,10 +188,9 @@ def kept_texts(words: common.Words, keep: np.ndarray) -> pa.Array:
     end = np.cumsum(step)
     at = end - step
     out = np.full(int(end[-1]) if len(end) else 0, 0x20, np.uint8)
-    for a in range(0, len(rows), 300_000):
-        n, s, t = width[a : a + 300_000], words.starts[rows[a : a + 300_000]], at[a : a + 300_000]
-        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        out[np.repeat(t, n) + place] = words.data[np.repeat(s, n) + place]
+    filled = np.ones(len(out), bool)
+    filled[(at + width)[~final]] = False
+    out[filled] = words.data[words.is_word][np.repeat(keep, words.ends - words.starts)]
     sizes = np.bincount(owner, weights=step, minlength=n_texts).astype(np.int64) if len(rows) else np.zeros(n_texts, np.int64)
     offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
     return pa.Array.from_buffers(pa.large_string(), n_texts, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())]).cast(pa.string())

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 from metrolith.llm import common
-from metrolith.llm.memory import SpanMemory, distinct, gather
+from metrolith.llm.memory import SpanMemory, distinct, gather, texts_of
 
 MODEL = "word_bpe_49k.json"
 END_ID = 1
@@ -43,11 +43,15 @@ class WordTokens:
         self.encode = getattr(self.model, "encode_batch_fast", self.model.encode_batch)
         self.memory = SpanMemory(self.ids, _KIND)
 
-    def ids(self, words: list[bytes]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flat: list[int] = []
+        sizes: list[int] = []
         for a in range(0, len(words), 10_000):
-            out += [np.array(e.ids, _KIND) for e in self.encode([w.decode() for w in words[a : a + 10_000]], add_special_tokens=False)]
-        return out
+            for e in self.encode(words[a : a + 10_000], add_special_tokens=False):
+                found = e.ids
+                flat += found
+                sizes.append(len(found))
+        return np.array(flat, _KIND), np.array(sizes, np.int64)
 
 
 _MODELS: dict[str, WordTokens] = {}
@@ -66,7 +70,7 @@ class Tokens:
         w = common.scan_words(column)
         self._code, first = distinct(w.data, w.starts, w.ends, w.hashes)
         second = common.hash_spans(w.data, w.starts[first], w.ends[first], second=True)
-        self._flat, self._start, self._size = model(name).memory.find(w.hashes[first], second, lambda i: w.word(first[i]))
+        self._flat, self._start, self._size = model(name).memory.find(w.hashes[first], second, lambda rows: texts_of(w.data, w.starts[first[rows]], w.ends[first[rows]]))
         self._end = end_id
         n_words = np.concatenate(([0], np.cumsum(self._size[self._code])))
         self.offsets = n_words[w.offsets] + (0 if end_id is None else 1) * np.arange(len(w.offsets))
