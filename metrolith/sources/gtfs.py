@@ -62,6 +62,21 @@ def table_of_zips(files: DataFrame, file: str, required: list[str], optional: li
     return files.mapInPandas(parse, ", ".join([*(f"`{c}` string" for c in names), "ord bigint", "file string"]))
 
 
+def entries_of_zips(files: DataFrame) -> set[str]:
+    """The names of the tables that any of the archives (path, content) holds; some dozens at most."""
+    ship_package(files.sparkSession)
+
+    def names(batches):
+        for frame in batches:
+            found = set()
+            for content in frame["content"]:
+                with zipfile.ZipFile(io.BytesIO(bytes(content))) as archive:
+                    found |= {e.rsplit("/", 1)[-1] for e in archive.namelist() if not e.startswith("__MACOSX/")}
+            yield pd.DataFrame({"name": sorted(n[:-4] for n in found if n.endswith(".txt"))}, dtype=object)
+
+    return {r["name"] for r in files.mapInPandas(names, "name string").distinct().collect() if r["name"] in LAYOUT}
+
+
 def present(c: Column) -> Column:
     return F.coalesce(c, F.lit("")) != ""
 
@@ -201,11 +216,14 @@ def coverage(rules: DataFrame, exceptions: DataFrame) -> DataFrame:
 def read_feed(spark: SparkSession, path: str, zipped: bool = False) -> Feed:
     """A feed from a folder of .txt files, or from zip archives."""
 
+    held = entries_of_zips(spark.read.format("binaryFile").load(path).select("path", "content")) if zipped else set()
+
     def load(name: str) -> DataFrame | None:
         required, optional = LAYOUT[name]
         if zipped:
-            rows = read_zip(spark, path, name, required, optional)
-            return rows if rows.limit(1).count() or name in REQUIRED else None
+            if name in REQUIRED and name not in held:
+                raise CsvError(f"a feed needs {name}.txt")
+            return read_zip(spark, path, name, required, optional) if name in held else None
         try:
             return read_exact_csv(spark, f"{path}/{name}.txt", required, optional)
         except Exception as error:  # only a file that is not there may be left out

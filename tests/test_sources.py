@@ -75,6 +75,26 @@ def test_feed(spark, tmp_path):
         gtfs.read_feed(spark, str(tmp_path)).tables["rule_exception"].collect()
 
 
+def test_large_files_are_read_in_splits_in_their_order(spark, tmp_path):
+    for name, n in (("a.csv", 900), ("b.csv", 40)):
+        rows = [f'{k},"v, {k}",{name}\r\n' for k in range(n)]
+        (tmp_path / name).write_text("id,value , file\r\n" + "".join(rows), newline="")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1000")
+    try:
+        found = csv.read_split_csv(spark, str(tmp_path), ["id", "file"], ["value", "none"])
+        assert found.rdd.getNumPartitions() > 10
+        rows = found.collect()
+    finally:
+        spark.conf.set(key, before)
+    for name, n in (("a.csv", 900), ("b.csv", 40)):
+        own = sorted((r for r in rows if r[1] == name), key=lambda r: r["ord"])
+        assert [(r["id"], r["value"], r["none"]) for r in own] == [(str(k), f"v, {k}", None) for k in range(n)]
+    with pytest.raises(csv.CsvError):
+        csv.read_split_csv(spark, str(tmp_path), ["other"])
+
+
 def test_entrances(spark):
     raw = spark.createDataFrame([("A12; D13", "Stair", "YES", "no", "40.5", "-73.5"), ("", "Stair", "YES", "YES", "40.5", "-73.5")], "`GTFS Stop ID` string, `Entrance Type` string, `Entry Allowed` string, `Exit Allowed` string, `Entrance Latitude` string, `Entrance Longitude` string")
     assert sorted(tuple(r)[:4] for r in gtfs.entrances(raw).collect()) == [("A12", "Stair", True, False), ("D13", "Stair", True, False)]
