@@ -642,20 +642,38 @@ def test_the_sample_size_does_not_move_the_odds():
 # 10
 
 
+def plain_mix(x):
+    x ^= x >> 33
+    x = x * 0xFF51AFD7ED558CCD % 2**64
+    x ^= x >> 33
+    x = x * 0xC4CEB9FE1A85EC53 % 2**64
+    return x ^ x >> 33
+
+
+def plain_hash(word):
+    """The hash of a word's bytes, one word and eight bytes after another."""
+    factor, sizes = 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93
+    h = len(word) * sizes % 2**64
+    for k in range(0, len(word), 8):
+        h = (h ^ int.from_bytes(word[k : k + 8], "little")) * factor % 2**64
+        h ^= h >> 29
+    return plain_mix(xxhash.xxh64_intdigest(word, factor) if len(word) > 256 else h)
+
+
+def plain_pair(a, b):
+    return plain_mix((a * 0x9E3779B97F4A7C15 + plain_mix((b + 0x2545F4914F6CDD1D) % 2**64)) % 2**64)
+
+
 def test_quality_rules_equal_brute_force(spark):
     trusted = spark.createDataFrame([(i,) for i in range(0, 60, 6)] + [(None,), (0,)], "doc_id long")
     buckets = 64
     found = ngram_llr.quality_rules(spark, frame(spark, ROWS), trusted, buckets=buckets, threshold=0.0)
     got = found.collect()
-    from metrolith.llm import common
-
     wanted = Counter()
     grams = []
     for _, t in ROWS:
-        w = common.scan_words(pa.array([(t or "").encode()], pa.binary()))
-        b = common.mix(w.hashes) & np.uint64(buckets - 1)
-        pairs = [int(common.join_hash(w.hashes[k : k + 1], w.hashes[k + 1 : k + 2])[0] & np.uint64(buckets - 1)) for k in range(len(w.hashes) - 1)]
-        grams.append([int(x) for x in b] + pairs)
+        h = [plain_hash(w) for w in words_of(t)]
+        grams.append([plain_mix(x) % buckets for x in h] + [plain_pair(x, y) % buckets for x, y in zip(h, h[1:])])
     raw, target = Counter(), Counter()
     for (i, _), g in zip(ROWS, grams):
         raw.update(g)
