@@ -182,7 +182,7 @@ _WINDOW = r"^([1-7]+) ((?:[01][0-9]|2[0-3]):[0-5][0-9]|24:00)-((?:[01][0-9]|2[0-
 
 
 def valet_windows(c: Column) -> Column:
-    """Windows such as '12345 07:00-19:00|67 10:00-16:00' as a sorted array of struct(weekdays, start, end); null for an empty
+    """Windows such as '135 08:15-12:30|6 09:00-24:00' as a sorted array of struct(weekdays, start, end); null for an empty
     cell, an error for any other text.  weekdays are ascending ISO numbers, times are minutes."""
     minutes = lambda t: F.substring(t, 1, 2).cast("int") * 60 + F.substring(t, 4, 2).cast("int")
 
