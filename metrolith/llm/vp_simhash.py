@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from metrolith.llm import common, simhash
 from metrolith.llm.components import components
+from metrolith.session import drop_scratch, scratch_mark
 
 #: Fingerprints that the tree is built from: 16 a leaf, but so many at least and at most.
 SAMPLE = 65_536
@@ -47,7 +48,7 @@ MOST_SAMPLE = 2_000_000
 LEAF = 32_768
 BLOCK = 512
 HUBS = 3
-GIST = 128
+GIST = 64
 #: Ids are broadcast only up to this number (8 bytes each).
 BROADCAST_IDS = 1_000_000
 
@@ -225,7 +226,7 @@ def _shingle_sets(spark: SparkSession, table: DataFrame, nodes: DataFrame, check
             for x, y in common.slices(batch.column(1)):
                 hashes, at = simhash.shingle_sets(batch.column(1)[x:y], check.shingle)
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64)))
-                counts = np.bincount(common.owner_of(at) * GIST + (hashes >> np.uint64(57)).astype(np.int64), minlength=(y - x) * GIST)
+                counts = np.bincount(common.owner_of(at) * GIST + (hashes >> np.uint64(58)).astype(np.int64), minlength=(y - x) * GIST)
                 gist = np.minimum(counts, 255).astype(np.uint8).reshape(-1, GIST)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[x:y], lists, pa.array([g.tobytes() for g in gist], pa.binary())], ["node", "grams", "gist"])
         common.give_back()
@@ -236,8 +237,11 @@ def _shingle_sets(spark: SparkSession, table: DataFrame, nodes: DataFrame, check
     return spark.read.parquet(path)
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, check: Check) -> DataFrame:
-    """The ``pairs`` (a, b) whose shingle sets are as similar as ``check`` asks."""
+def _similar(spark: SparkSession, pairs: DataFrame, sets: DataFrame, check: Check) -> DataFrame:
+    """The ``pairs`` (a, b) whose shingle sets are as similar as ``check`` asks.
+
+    Only the sets that a side asks for are shuffled; pairs of many texts with few hubs should have the hubs as b.
+    """
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # sets differ in at least as many shingles as their counts do, so this drops no pair that is similar enough
@@ -247,13 +251,30 @@ def _similar(pairs: DataFrame, sets: DataFrame, check: Check) -> DataFrame:
             keep = np.abs(p - q).sum(axis=1) <= (1 - check.similarity) / (1 + check.similarity) * sizes + 1e-6
             yield batch.select([0, 1]).filter(pa.array(keep))
 
-    for end in ("b", "a"):
-        pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("gist").alias(f"gist_{end}"), F.size("grams").alias(f"n_{end}")), end)
-    pairs = pairs.select("a", "b", "gist_a", "gist_b", (F.col("n_a") + F.col("n_b")).alias("sizes")).mapInArrow(near, "a long, b long")
-    for end in ("b", "a"):
-        pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("grams").alias(f"grams_{end}")), end)
+    pairs = pairs.checkpoint()
+    if not pairs.limit(1).count():
+        return pairs
+    close = pairs
+    for end in ("a", "b"):
+        close = close.join(sets.select(F.col("node").alias(end), F.col("gist").alias(f"gist_{end}"), F.size("grams").alias(f"n_{end}")), end)
+    close = close.select("a", "b", "gist_a", "gist_b", (F.col("n_a") + F.col("n_b")).alias("sizes")).mapInArrow(near, "a long, b long").checkpoint()
+    counted = close
+    for end in ("a", "b"):
+        asked = _few(spark, close.select(F.col(end).alias("node")).distinct())
+        counted = counted.join(sets.join(asked, "node", "left_semi").select(F.col("node").alias(end), F.col("grams").alias(f"grams_{end}")), end)
     both = F.size(F.array_intersect("grams_a", "grams_b"))
-    return pairs.where(both / (F.size("grams_a") + F.size("grams_b") - both) >= check.similarity).select("a", "b").checkpoint()
+    return counted.where(both / (F.size("grams_a") + F.size("grams_b") - both) >= check.similarity).select("a", "b").checkpoint()
+
+
+def _merged(spark: SparkSession, labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) of the components that ``labels`` (node, root, roots included) make together with new links: only roots are linked anew."""
+    if not links.limit(1).count():
+        return labels
+    for end in ("a", "b"):
+        links = links.join(labels.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    found = components(spark, links.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+    moved = labels.join(found.select(F.col("node").alias("root"), F.col("root").alias("_new")), "root", "left").select("node", F.coalesce("_new", "root").alias("root"))
+    return moved.unionByName(found.join(labels.select("node"), "node", "left_anti")).checkpoint()
 
 
 def _ordered(rows: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
@@ -268,19 +289,20 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _confirmed(spark: SparkSession, found: DataFrame, table: DataFrame, classes: DataFrame, check: Check) -> DataFrame:
-    """Links (a, b) among classes, each counted on its shingle sets; ``found`` are pairs from elsewhere to count too.
+    """(node, root) of the classes that links join, each link counted on its shingle sets; ``found`` are pairs from elsewhere to count too.
 
     Three rounds, each only for what the one before left apart: every text with its best hub, with the other hubs of
     its buckets, and across the components that still share a bucket.
     """
+    mark = scratch_mark()
     path, tried_path, found_path = (common.scratch(spark, n) for n in ("buckets", "pairs", "tree-pairs"))
     # the place of a key is part of it (see band_keys); texts without a shingle are one class and have no pair
     members = classes.where("n > 0").select("node", "n", F.explode("bands").alias("key"))
     several = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = members.join(several, "key")
     # the text in the middle of a group shares the most buckets with others: it is the best hub
-    weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
-    members.join(weights, "node").select("key", "node", "n", "weight").write.parquet(path)
+    nodes = members.groupBy("node", "n").agg(F.sum("size").alias("weight"), F.collect_list("key").alias("keys"))  # a key a band
+    nodes.select("node", "n", "weight", F.explode("keys").alias("key")).write.parquet(path)
     members = spark.read.parquet(path)
     found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().write.parquet(found_path)
     found = spark.read.parquet(found_path)
@@ -295,16 +317,18 @@ def _confirmed(spark: SparkSession, found: DataFrame, table: DataFrame, classes:
     tried = spark.read.parquet(tried_path)
 
     best = tried.groupBy("x").agg(F.max(F.struct("weight", "y")).alias("best")).select("x", F.col("best.y").alias("y"))
-    links = _similar(_ordered(best).unionByName(found).distinct(), sets, check)
-    other = _apart(_ordered(tried), components(spark, links)).join(_ordered(best), ["a", "b"], "left_anti")
-    links = links.unionByName(_similar(other, sets, check))
-
-    comps = components(spark, links)
+    best = best.select(F.col("x").alias("a"), F.col("y").alias("b"))
+    links = _similar(spark, best.unionByName(found), sets, check)
+    comps = components(spark, links).checkpoint()
+    other = _apart(tried.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), comps).join(best, ["a", "b"], "left_anti")
+    comps = _merged(spark, comps, _similar(spark, other, sets, check))
     grouped = members.join(comps, "node", "left").withColumn("comp", F.coalesce("root", "node")).select("key", "comp", "node", "n")
     mixed = grouped.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
     unsettled = grouped.join(mixed, "key", "left_semi").select("node", "comp", "n").distinct()
     rest = _across(spark, unsettled, sets, check).join(_ordered(tried), ["a", "b"], "left_anti").checkpoint()
-    return links.unionByName(_similar(rest, sets, check))
+    comps = _merged(spark, comps, _similar(spark, rest, sets, check))
+    drop_scratch(spark, mark)
+    return comps
 
 
 def _across(spark: SparkSession, unsettled: DataFrame, sets: DataFrame, check: Check) -> DataFrame:
@@ -317,9 +341,9 @@ def _across(spark: SparkSession, unsettled: DataFrame, sets: DataFrame, check: C
     passage that very many texts share comes last in their order, so it makes no pairs.
     """
     t = check.similarity
-    path, shared_path = common.scratch(spark, "grams"), common.scratch(spark, "shared-grams")
-    unsettled.join(sets.select("node", "grams"), "node").select("node", "comp", "n", F.explode("grams").alias("gram")).write.parquet(path)
-    grams = spark.read.parquet(path)
+    path, shared_path = common.scratch(spark, "unsettled-sets"), common.scratch(spark, "shared-grams")
+    sets.select("node", "grams").join(_few(spark, unsettled), "node").write.parquet(path)
+    grams = spark.read.parquet(path).select("node", "comp", "n", F.explode("grams").alias("gram"))
     # counted in two steps, so that a shingle of very many texts is one row a task
     spread = grams.groupBy("gram", "comp").agg(F.lit(1).alias("one")).groupBy("gram").agg(F.count("*").alias("comps")).where("comps > 1")
     spread.write.parquet(shared_path)
@@ -358,7 +382,7 @@ def _labelled(spark: SparkSession, docs: DataFrame, shingle: int = 3, radius: in
     path, class_path = common.scratch(spark, "fingerprints"), common.scratch(spark, "classes")
     # a class: texts with equal keys (and sketch and shingle set), named by their hash and known by the smallest doc_id
     same = ["keys", "sketch"] + (["n", "mark"] if check else [])
-    fingerprint_table(docs, shingle, tables, check).withColumn("node", F.xxhash64(*same) if check else F.xxhash64("keys")).write.parquet(path)
+    fingerprint_table(docs, shingle, tables, check).withColumn("node", F.xxhash64(*same) if check else F.xxhash64("keys")).write.option("compression", "zstd").parquet(path)
     table = spark.read.parquet(path)
     table.groupBy(*same, "node", *(["bands"] if check else [])).agg(F.min("doc_id").alias("first")).write.parquet(class_path)
     classes = spark.read.parquet(class_path)
@@ -394,7 +418,7 @@ def _labelled(spark: SparkSession, docs: DataFrame, shingle: int = 3, radius: in
 
     dealt = classes.select("keys", "node", "sketch").mapInArrow(deal, "leaf long, fp long, node long, sketch binary")
     links = dealt.groupBy("leaf").applyInPandas(link, "a long, b long")
-    roots = components(spark, _confirmed(spark, links, table, classes, check) if check else links)
+    roots = _confirmed(spark, links, table, classes, check) if check else components(spark, links)
     # only linked classes have a root; the least doc_id of each root is a small table of its own, so that the join
     # with a very large component has two shuffled sides, which adaptive execution can split
     smallest = classes.join(roots, "node").groupBy("root").agg(F.min("first").alias("least")).checkpoint()
