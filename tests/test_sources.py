@@ -78,12 +78,12 @@ def test_feed(spark, tmp_path):
 def test_large_files_are_read_in_splits_in_their_order(spark, tmp_path):
     for name, n in (("a.csv", 900), ("b.csv", 40)):
         rows = [f'{k},"v, {k}",{name}\r\n' for k in range(n)]
-        (tmp_path / name).write_text("id,value , file\r\n" + "".join(rows), newline="")
+        (tmp_path / name).write_text("id,value , origin\r\n" + "".join(rows), newline="")
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
     spark.conf.set(key, "1000")
     try:
-        found = csv.read_split_csv(spark, str(tmp_path), ["id", "file"], ["value", "none"])
+        found = csv.read_split_csv(spark, str(tmp_path), ["id", "origin"], ["value", "none"])
         assert found.rdd.getNumPartitions() > 10
         rows = found.collect()
     finally:
