@@ -7,6 +7,19 @@ from pyspark.sql import functions as F
 
 from metrolith.session import scratch_path
 
+#: Rows of a few numbers that may go to every task.
+MOST_SENT = 1_000_000
+
+
+def sent(rows: DataFrame) -> DataFrame:
+    """``rows`` to be sent to all tasks if they are few (counted), so that a join that makes many rows of them needs no shuffle."""
+    return F.broadcast(rows) if rows.count() <= MOST_SENT else rows
+
+
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """``rows`` dealt over all tasks: few rows of which a join makes many would else be put in one."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
 
 def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
     """``rows`` with their place (from 0) in a total order: ranges are sorted apart, and moved on by the sizes of those before.
