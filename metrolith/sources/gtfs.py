@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from metrolith.functions import fields
 from metrolith.operators.timetable import first_by, known_only, last_by
-from metrolith.session import ship_package
+from metrolith.session import scratch_path, ship_package
 from metrolith.sources.csv import CsvError, frames, read_exact_csv, records
 
 WEEK = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
@@ -234,6 +234,13 @@ def read_feed(spark: SparkSession, path: str, zipped: bool = False) -> Feed:
     return parse_feed(spark, {name: load(name) for name in LAYOUT})
 
 
+def kept_rows(rows: DataFrame) -> DataFrame:
+    """``rows``, written once in the shared folder, for files that are asked for several times."""
+    path = scratch_path(rows.sparkSession, "rows")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def parse_feed(spark: SparkSession, raw: dict[str, DataFrame | None]) -> Feed:
     """A feed from its files' rows; files that are not there are None."""
     if raw["calendar"] is None and raw["calendar_dates"] is None:
