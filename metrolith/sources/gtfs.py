@@ -242,9 +242,10 @@ def kept_rows(rows: DataFrame) -> DataFrame:
 
 
 def parse_feed(spark: SparkSession, raw: dict[str, DataFrame | None]) -> Feed:
-    """A feed from its files' rows; files that are not there are None."""
+    """A feed from its files' rows; files that are not there are None.  Files are parsed once, when this is called."""
     if raw["calendar"] is None and raw["calendar_dates"] is None:
         raise CsvError("a feed needs calendar.txt or calendar_dates.txt")
+    raw = {name: kept_rows(rows) if rows is not None and name in REQUIRED else rows for name, rows in raw.items()}
     feed = Feed()
     t = feed.tables
     t["agency"] = agencies(raw["agency"])
