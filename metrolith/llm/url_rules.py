@@ -4,9 +4,12 @@ Given rules (host, path) decide first: a rule fits its host and all subdomains i
 rule's, and the longest fitting rule wins.  Other urls are judged by rules mined from labels:
 
 1. tokens of bad urls count if they have the support and a larger share of bad rows than all rows together have; tokens
-   of exactly the same bad urls are one item, and of a url's items the ``BASKET_ITEMS`` of the largest share are mined;
-2. FP-growth over the bad urls finds the frequent combinations, of which those of up to ``RULE_ITEMS`` items are counted in all
-   labelled urls through an inverted index under their rarest token;
+   of exactly the same bad urls are one item;
+2. the frequent combinations of up to ``RULE_ITEMS`` items are found and counted in all labelled urls through an inverted
+   index under their rarest token.  FP-growth mines the bad urls if none has more than ``BASKET_ITEMS`` items, as it lists
+   all 2^n subsets of n common items.  If some have more, items that no good url has are taken as rules by themselves, to
+   which more items would add nothing; if the others are still more, sets of them grow by an item at a time, which finds
+   the same ones of that size;
 3. those with enough support and confidence block, less any that a more general one makes needless.
 
 A url is compared only with the rules that its own tokens lead to, by the same inverted index.
@@ -30,7 +33,7 @@ RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.6
 MIN_ROWS = 8
-#: Items of a url that are mined: those with the largest share of bad rows. With them a url has at most 2^8 item sets.
+#: Items of a url up to which FP-growth mines all urls: 2^8 item sets of a url. With more, sets grow by levels; none is left out.
 BASKET_ITEMS = 8
 #: Items of a rule at most.
 RULE_ITEMS = 4
@@ -76,6 +79,23 @@ def _held_by(sets: DataFrame, urls: DataFrame) -> DataFrame:
     return led.join(sets, F.col("token") == F.col("anchor")).where(F.size(F.array_except("tokens", "has")) == 0)
 
 
+def _grown_sets(baskets: DataFrame, least: int) -> DataFrame:
+    """items: the sets of up to ``RULE_ITEMS`` items that baskets (of_url, n_bad, item) with ``least`` rows hold, by levels.
+
+    A set grows by items after its last one, in the urls that hold it: only frequent sets grow.
+    """
+    alone = baskets.select("of_url", "n_bad", F.array("item").alias("items"))
+    found = level = alone.groupBy("items").agg(F.sum("n_bad").alias("n")).where(F.col("n") >= least).select("items").checkpoint()
+    held = alone
+    more = baskets.select("of_url", "item")
+    for _ in range(RULE_ITEMS - 1):
+        held = held.join(level, "items", "left_semi").join(more, "of_url").where(F.col("item") > F.element_at("items", -1))
+        held = held.select("of_url", "n_bad", F.concat("items", F.array("item")).alias("items"))
+        level = held.groupBy("items").agg(F.sum("n_bad").alias("n")).where(F.col("n") >= least).select("items").checkpoint()
+        found = found.unionByName(level)
+    return found
+
+
 def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_rows: int = MIN_ROWS) -> DataFrame:
     """tokens (sorted), anchor (the rarest), confidence, rows: mined rules that lead to a bad label."""
     asked = labels.select(F.col("doc_id").cast("long").alias("labelled"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")).where("labelled is not null")
@@ -93,16 +113,25 @@ def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT,
     counted = tokens.groupBy("token").agg(F.sum("n").alias("rows"), F.sum("n_bad").alias("bad_rows"), mark(1).alias("one"), mark(2).alias("two")).checkpoint()
     leading = counted.where((F.col("bad_rows") >= least) & (F.col("bad_rows") * total["n"] > F.col("rows") * total["bad"]))
     items = leading.groupBy("bad_rows", "one", "two").agg(F.array_sort(F.collect_list("token")).alias("members"), F.max(F.col("bad_rows") / F.col("rows")).alias("share"))
-    items = items.select("bad_rows", "share", F.array_join("members", _JOINT).alias("item"), F.element_at("members", 1).alias("token"))
+    items = items.select("share", F.array_join("members", _JOINT).alias("item"), F.element_at("members", 1).alias("token")).checkpoint()
     # there are at most (tokens of a url) / min_support items, since each takes that share of the labelled urls' tokens
-    bad = tokens.where("n_bad > 0").join(F.broadcast(items), "token").groupBy("of_url", "n_bad").agg(F.array_sort(F.collect_list(F.struct(-F.col("share"), -F.col("bad_rows"), "item"))).alias("ranked"))
-    baskets = bad.select(F.slice(F.col("ranked.item"), 1, BASKET_ITEMS).alias("items"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_bad"))).alias("again"))
-    baskets = baskets.select("items").checkpoint()
-    n_baskets = baskets.count()
-    if not n_baskets:
+    bad = tokens.where("n_bad > 0").join(F.broadcast(items), "token").select("of_url", "n_bad", "item", (F.col("share") == 1).alias("sure")).checkpoint()
+    sizes = bad.groupBy("of_url").agg(F.count("*").alias("n"), F.count_if(~F.col("sure")).alias("n_mixed"))
+    most = sizes.agg(F.max("n").alias("n"), F.max("n_mixed").alias("n_mixed")).first()
+    if not most["n"]:
         return none
-    model = FPGrowth(itemsCol="items", minSupport=least / n_baskets * (1 - 1e-9), minConfidence=min_confidence).fit(baskets)
-    sets = model.freqItemsets.where(F.size("items") <= RULE_ITEMS).select(F.array_sort("items").alias("items"))
+    sets = None
+    if most["n"] > BASKET_ITEMS:
+        sets = items.where("share = 1").select(F.array("item").alias("items"))
+        bad = bad.where(~F.col("sure"))
+    if most["n"] > BASKET_ITEMS and most["n_mixed"] > BASKET_ITEMS:
+        sets = sets.unionByName(_grown_sets(bad, least))
+    elif most["n"] <= BASKET_ITEMS or most["n_mixed"]:
+        whole = bad.groupBy("of_url", "n_bad").agg(F.collect_list("item").alias("items"))
+        baskets = whole.select("items", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_bad")))).select("items").checkpoint()
+        model = FPGrowth(itemsCol="items", minSupport=least / baskets.count() * (1 - 1e-9), minConfidence=min_confidence).fit(baskets)
+        mined = model.freqItemsets.where(F.size("items") <= RULE_ITEMS).select(F.array_sort("items").alias("items"))
+        sets = mined if sets is None else sets.unionByName(mined)
     sets = sets.withColumn("tokens", F.array_sort(F.flatten(F.transform("items", lambda x: F.split(x, _JOINT)))))
     anchors = sets.select("items", F.explode("tokens").alias("token")).join(counted.select("token", F.col("rows").alias("token_rows")), "token")
     anchors = anchors.groupBy("items").agg(F.min(F.struct("token_rows", "token")).alias("rarest"))
